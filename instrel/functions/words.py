@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from instrel.functions.once import with_once
+
 
 def word_count(text: Column) -> Column:
     """Number of runs of non-space characters."""
@@ -16,16 +18,17 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def word_ngrams(text: Column, n: int) -> Column:
-    """Distinct word n-grams of already normalised text."""
-    words = F.split(text, " ")
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - F.lit(n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.coalesce(F.array_distinct(grams), F.array().cast("array<string>"))
+def with_ngrams(df: DataFrame, text: str, name: str, n: int) -> DataFrame:
+    """Add the distinct word n-grams of a column of normalised text."""
+    df = with_once(df, _words=F.split(text, " "))
+    starts = F.when(
+        F.size("_words") >= n, F.sequence(F.lit(1), F.size("_words") - F.lit(n - 1))
+    ).otherwise(F.array().cast("array<int>"))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice("_words", i, F.lit(n)), " "))
+    return with_once(df, **{name: F.array_distinct(grams)}).drop("_words")
 
 
-def containment(part: Column, whole: Column, n: int) -> Column:
-    """Share of ``part``'s distinct word n-grams that ``whole`` has too; 0 if it has none."""
-    grams = word_ngrams(part, n)
-    shared = F.size(F.array_intersect(grams, word_ngrams(whole, n)))
-    return F.when(F.size(grams) == 0, F.lit(0.0)).otherwise(shared / F.size(grams))
+def containment(part: Column, whole: Column) -> Column:
+    """Share of the n-grams in ``part`` that ``whole`` has too; 0 if it has none."""
+    shared = F.size(F.array_intersect(part, whole))
+    return F.when(F.size(part) == 0, F.lit(0.0)).otherwise(shared / F.size(part))

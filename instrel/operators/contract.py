@@ -14,8 +14,9 @@ from instrel.constants import (
     NEGATIVES_COUNT, POSITIVE, POSITIVE_WORDS,
 )
 from instrel.functions.json_text import STRICT, json_fields, json_value
+from instrel.functions.once import with_once
 from instrel.functions.scores import is_score
-from instrel.functions.words import containment, normalised, word_count
+from instrel.functions.words import containment, normalised, with_ngrams, word_count
 
 KEYS = ("id", "choice_index")
 
@@ -94,9 +95,9 @@ def check_evidence(packages: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def check_error_envelope(completions: DataFrame) -> DataFrame:
     """Completions that report an error instead of passages, with what they report."""
-    fields = json_fields(json_value(F.col("content")))
+    read = with_once(completions, fields=json_fields(json_value(F.col("content"))))
     return (
-        completions.select("request_id", "choice_index", fields.alias("fields"))
+        read
         .where(F.col("fields")["error"].isNotNull())
         .select(
             "request_id", "choice_index",
@@ -110,13 +111,15 @@ def check_error_envelope(completions: DataFrame) -> DataFrame:
 
 def check_answer_leak(packages: DataFrame, ngram: int = 3, threshold: float = 0.5) -> DataFrame:
     """Does the instruction give the answer: word for word, or most of its word n-grams?"""
-    texts = packages.select(
-        *KEYS, normalised(F.col("instruction")).alias("said"), normalised(F.col("og_positive")).alias("answer")
+    texts = with_once(
+        packages.select(*KEYS, "instruction", "og_positive"),
+        said=normalised(F.col("instruction")), answer=normalised(F.col("og_positive")),
     )
-    return texts.select(
+    grams = with_ngrams(with_ngrams(texts, "answer", "answer_grams", ngram), "said", "said_grams", ngram)
+    return grams.select(
         *KEYS,
         ((F.col("answer") != "") & F.contains("said", "answer")).alias("verbatim"),
-        containment(F.col("answer"), F.col("said"), ngram).alias("overlap"),
+        containment(F.col("answer_grams"), F.col("said_grams")).alias("overlap"),
     ).withColumn("leaks", F.col("verbatim") | (F.col("overlap") >= threshold))
 
 
@@ -134,7 +137,7 @@ def check_doc_partition(completions: DataFrame) -> DataFrame:
     docs = F.from_json(
         json_value(F.col("content")), "struct<relevant_docs: array<int>, non_relevant_docs: array<int>>", STRICT
     )
-    read = completions.select("request_id", "choice_index", docs.alias("d"))
+    read = with_once(completions, d=docs)
     relevant, other = F.col("d.relevant_docs"), F.col("d.non_relevant_docs")
     return read.select(
         "request_id", "choice_index",

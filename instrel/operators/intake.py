@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from instrel.functions.json_text import is_json_list, json_fields, json_value
+from instrel.functions.once import with_once
 from instrel.operators.requests import INSTRUCTION_STAGE, PASSAGE_STAGE
 
 
@@ -27,10 +28,10 @@ def _rejects(df: DataFrame, stage: str, reason: Column, raw: Column | None = Non
 def _read_instruction(completions: DataFrame) -> DataFrame:
     """First choice only: its fields and, where it cannot be used, the reason."""
     first = completions.where(F.col("choice_index") == 0)
-    read = first.withColumn("fields", json_fields(json_value(F.col("content"))))
-    reason = (
-        F.when(json_value(F.col("content")).isNull(), "bad_json")
-        .when(F.col("fields")["instruction"].isNull(), "no_instruction")
+    read = with_once(first, value=json_value(F.col("content")))
+    read = with_once(read, fields=json_fields(F.col("value")))
+    reason = F.when(F.col("value").isNull(), "bad_json").when(
+        F.col("fields")["instruction"].isNull() | F.col("fields").isNull(), "no_instruction"
     )
     return read.select(
         "request_id", "choice_index", "content",
@@ -64,8 +65,8 @@ def instruction_rejects(requests: DataFrame, completions: DataFrame) -> DataFram
 
 def read_passage_choices(completions: DataFrame) -> DataFrame:
     """Every choice with its list text (``examples``) and ``reason``, NULL for a usable one."""
-    value = json_value(F.col("content"))
-    read = completions.withColumn("value", value).withColumn("fields", json_fields(F.col("value")))
+    read = with_once(completions, value=json_value(F.col("content")))
+    read = with_once(read, fields=json_fields(F.col("value")))
     examples = F.col("fields")["examples"]
     reason = (
         F.when(F.col("value").isNull(), "bad_json")

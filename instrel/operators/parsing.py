@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from instrel.functions.json_text import json_items
 from instrel.functions.literals import literal_as_json
-from instrel.functions.scores import probe_score, try_score
+from instrel.functions.once import with_once
+from instrel.functions.scores import is_score, probe_score, try_score
 
 
 def parse_items(
@@ -23,13 +24,14 @@ def parse_items(
     if mode not in ("auto", "json", "literal"):
         raise ValueError("mode is auto, json or literal")
     if mode == "json":
-        return df.withColumn("items", json_items(F.col(text), drop_non_dict))
+        return with_once(df, items=json_items(F.col(text), drop_non_dict))
     to_json = literal_as_json(wrap_single=mode == "literal", drop_non_dict=drop_non_dict)
     if mode == "literal":
-        return df.withColumn("items", json_items(to_json(F.col(text))))
-    read = df.withColumn("_json", json_items(F.col(text), drop_non_dict))
+        return with_once(df, items=json_items(to_json(F.col(text))))
+    read = with_once(df, _json=json_items(F.col(text), drop_non_dict))
     rest = F.when(F.col("_json").isNull(), F.col(text))
-    return read.withColumn("items", F.coalesce(F.col("_json"), json_items(to_json(rest)))).drop("_json")
+    read = read.withColumn("_rest", to_json(rest))
+    return with_once(read, items=F.coalesce(F.col("_json"), json_items(F.col("_rest")))).drop("_json", "_rest")
 
 
 def _field(item: Column, key: str, default: Column) -> Column:
@@ -80,8 +82,7 @@ def package_reason(items: Column) -> Column:
     """Why a parsed package cannot be analysed, NULL if it can."""
     return (
         F.when(items.isNull(), "bad_package")
-        .when(~F.forall(items, lambda item: F.coalesce(~F.isnan(try_score(item["confidence"])), F.lit(False))),
-              "no_confidence")
+        .when(~F.forall(items, lambda item: is_score(try_score(item["confidence"]))), "no_confidence")
         .when(~F.forall(items, lambda item: F.map_contains_key(item, F.lit("label"))), "no_label")
     )
 

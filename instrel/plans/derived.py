@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instrel.constants import ERROR_TOO_FEW_NEGATIVES, FAILURE_MODES
+from instrel.functions.once import with_once
 from instrel.operators.parsing import explode_candidates
 from instrel.operators.requests import INSTRUCTION_STAGE, PASSAGE_STAGE, assign_variant
 
@@ -76,45 +77,33 @@ FIELDS = (
 )
 
 
-def _response(i: int, fields: tuple[str, ...]) -> Column:
+def _response(i: Column, fields: tuple[str, ...]) -> Column:
     """Passage ``i`` of a package, with only the wanted fields."""
     id_ = F.col("id")
+    first = i == 0
     modes = F.array(*[F.lit(mode) for mode in FAILURE_MODES])
     mode = F.get(modes, F.when(id_ % 3 == 0, id_ * i % 6).otherwise((id_ + i) % 6).cast("int"))
-    if i == 0:
-        label = F.when(id_ % 41 == 5, "Positive").otherwise("positive")
-        neg_type = F.when(id_ % 43 == 2, mode)
-        explanation = F.lit("says what is asked for")
-        why = F.when(id_ % 23 != 0, "maps to the instruction")
-        score = (id_ * 37 % 41 + 60) / F.lit(100.0)
-    else:
-        label = F.when((id_ % 37 == 1) & F.lit(i == 1), "positive").otherwise("negative")
-        neg_type = F.when(id_ % 59 != 7, mode)
-        explanation = F.when((id_ + i) % 27 != 0, F.concat(mode, F.lit(" - fails the instruction")))
-        why = F.when((id_ % 47 == 3) & F.lit(i == 2), F.lit("should not be here"))
-        score = (id_ * 29 % 40 + (id_ * 6 + i) * 17 % 45) / F.lit(100.0)
-        if i == 1:
-            score = F.when(id_ % 53 == 9, F.lit(1.2)).otherwise(score)
+    size, parts = F.size("words"), F.col("parts")
+    start = F.floor(size * i / parts).cast("int")
+    end = F.floor(size * (i + 1) / parts).cast("int")
     built = {
-        "id": F.lit(i),
-        "label": label,
-        "neg_type": neg_type,
-        "title": F.concat(F.lit("Text "), _text("id"), F.lit(f" part {i}")),
-        "explanation": explanation,
-        "why_relevant": why,
-        "confidence": score,
+        "id": i,
+        "label": F.when(first & (id_ % 41 == 5), "Positive")
+        .when(first | ((id_ % 37 == 1) & (i == 1)), "positive").otherwise("negative"),
+        "neg_type": F.when(F.when(first, id_ % 43 == 2).otherwise(id_ % 59 != 7), mode),
+        "title": F.concat(F.lit("Text "), _text("id"), F.lit(" part "), i.cast("string")),
+        "passage": F.array_join(F.slice("words", start + 1, end - start), " "),
+        "explanation": F.when(first, "says what is asked for")
+        .when((id_ + i) % 27 != 0, F.concat(mode, F.lit(" - fails the instruction"))),
+        "why_relevant": F.when(first & (id_ % 23 != 0), "maps to the instruction")
+        .when((id_ % 47 == 3) & (i == 2), "should not be here"),
+        "confidence": F.when(first, (id_ * 37 % 41 + 60) / F.lit(100.0))
+        .when((id_ % 53 == 9) & (i == 1), 1.2)
+        .otherwise((id_ * 29 % 40 + (id_ * 6 + i) * 17 % 45) / F.lit(100.0)),
         "evidence": F.when((id_ + i) % 4 == 0, F.array().cast("array<string>")).otherwise(
             F.array(F.concat(F.lit("c"), ((id_ + i) % 9).cast("string")))
         ),
     }
-    if "passage" in fields:
-        size = F.size("words")
-        start = F.floor(size * i / F.col("parts")).cast("int")
-        end = F.floor(size * (i + 1) / F.col("parts")).cast("int")
-        # An unused part of a package with no parts at all has no bounds either.
-        built["passage"] = F.when(
-            F.col("parts") > i, F.array_join(F.slice("words", start + 1, end - start), " ")
-        )
     return F.struct(*[built[name].alias(name) for name in fields])
 
 
@@ -126,9 +115,12 @@ def packages(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = FIELDS)
     """
     docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
     parts = F.when(_hits(31, 7), 0).when(_hits(29, 3), 2).when(_hits(9, 4), 5).otherwise(PARTS)
-    cut = docs.withColumn("parts", parts).withColumn("words", F.split("text", " "))
-    passages = F.array(*[_response(i, fields) for i in range(PARTS)])
-    built = cut.select(
+    cut = docs.withColumn("parts", parts)
+    if "passage" in fields:
+        cut = with_once(cut, words=F.split("text", " "))
+    numbers = F.slice(F.sequence(F.lit(0), F.lit(PARTS - 1)), F.lit(1), F.col("parts"))
+    built = with_once(cut, responses=F.transform(numbers, lambda i: _response(i, fields)))
+    return assign_variant(built).select(
         "id", F.lit(0).alias("choice_index"),
         F.concat(
             F.lit("What does the "), F.col("lang"), F.lit(" text "), _text("id"),
@@ -136,10 +128,7 @@ def packages(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = FIELDS)
         ).alias("query"),
         F.col("text").alias("og_positive"),
         _instruction().alias("instruction"),
-        F.slice(passages, F.lit(1), F.col("parts")).alias("responses"),
-    )
-    return assign_variant(built).select(
-        "id", "choice_index", "query", "og_positive", "instruction", "style", "length", "responses"
+        "style", "length", "responses",
     )
 
 
@@ -235,8 +224,9 @@ def package_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_hits(13, 6), F.lit('{"id":1,"label":"positive","confidence":0.4}'))
         .otherwise(F.concat(F.lit("["), items, F.lit("]")))
     )
-    return packages(spark, sf_dir).select("id", "choice_index", "query", "og_positive", "instruction",
-                                          text.alias("response"))
+    return with_once(packages(spark, sf_dir), response=text).select(
+        "id", "choice_index", "query", "og_positive", "instruction", "response"
+    )
 
 
 def instruction_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,9 +280,8 @@ def passage_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_hits(37, 8) & ~first, F.lit('{"examples":{"id":0}}'))
         .otherwise(good)
     )
-    return base.select(
-        F.concat(F.lit(f"{PASSAGE_STAGE}:"), _text("id")).alias("request_id"),
-        "choice_index", content.alias("content"),
+    return with_once(base, content=content).select(
+        F.concat(F.lit(f"{PASSAGE_STAGE}:"), _text("id")).alias("request_id"), "choice_index", "content"
     )
 
 

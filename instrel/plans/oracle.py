@@ -201,7 +201,7 @@ def _normalised(column: str) -> str:
 def _grams(column: str) -> str:
     return (
         f"list_distinct(list_transform(range(1, len({column}) - 1), "
-        f"i -> array_to_string({column}[i : i + 2], ' ')))"
+        f"lambda i: array_to_string({column}[i : i + 2], ' ')))"
     )
 
 
