@@ -38,8 +38,13 @@ def json_items(text: Column, drop_non_dict: bool = False) -> Column:
     return F.when(F.forall(items, lambda item: item.isNotNull()), items)
 
 
+def json_object(text: Column) -> Column:
+    """``map<string,string>`` of the members if ``text`` is exactly one JSON object, else NULL."""
+    return _whole(text, "map<string,string>", "{}")
+
+
 def json_fields(text: Column) -> Column:
-    """``map<string,string>`` of a JSON object's members, NULL for any other text."""
+    """Members of a value known to be JSON, NULL if it is no object."""
     return F.from_json(text, "map<string,string>", STRICT)
 
 

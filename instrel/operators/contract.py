@@ -13,7 +13,7 @@ from instrel.constants import (
     ERROR_TOO_FEW_NEGATIVES, FAILURE_MODES, MIN_FAILURE_MODES, NEGATIVE, NEGATIVE_WORDS,
     NEGATIVES_COUNT, POSITIVE, POSITIVE_WORDS,
 )
-from instrel.functions.json_text import STRICT, json_fields, json_value
+from instrel.functions.json_text import STRICT, json_object, json_value
 from instrel.functions.once import with_once
 from instrel.functions.scores import is_score
 from instrel.functions.words import containment, normalised, with_ngrams, word_count
@@ -95,7 +95,7 @@ def check_evidence(packages: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def check_error_envelope(completions: DataFrame) -> DataFrame:
     """Completions that report an error instead of passages, with what they report."""
-    read = with_once(completions, fields=json_fields(json_value(F.col("content"))))
+    read = with_once(completions, fields=json_object(F.col("content")))
     return (
         read
         .where(F.col("fields")["error"].isNotNull())

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from instrel.constants import HISTOGRAM_BINS, NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD
+from instrel.functions.once import with_once
 from instrel.functions.scores import is_score, label_class
 
 OVERALL = "overall"
@@ -45,8 +46,9 @@ def ranked_scores(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     cuts = counts.agg(
         F.percentile_approx("score", [i / ranges for i in range(1, ranges)], 100 * ranges)
     ).scalar()
-    ranged = counts.withColumn("cuts", cuts).withColumn(
-        "rng", F.size(F.filter("cuts", lambda cut: cut < F.col("score")))
+    # Kept as a column of its own, or the join below would test it on the raw rows.
+    ranged = with_once(
+        counts.withColumn("cuts", cuts), rng=F.size(F.filter("cuts", lambda cut: cut < F.col("score")))
     ).drop("cuts")
     group = Window.partitionBy("grp")
     earlier = group.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)

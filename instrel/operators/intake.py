@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instrel.functions.json_text import is_json_list, json_fields, json_value
+from instrel.functions.json_text import is_json_list, json_object, json_value
 from instrel.functions.once import with_once
 from instrel.operators.requests import INSTRUCTION_STAGE, PASSAGE_STAGE
 
@@ -25,13 +25,17 @@ def _rejects(df: DataFrame, stage: str, reason: Column, raw: Column | None = Non
     )
 
 
+def _not_json() -> Column:
+    """Only a text that is no JSON object is looked at again: JSON of another kind, or none?"""
+    return F.col("fields").isNull() & F.when(F.col("fields").isNull(), json_value(F.col("content"))).isNull()
+
+
 def _read_instruction(completions: DataFrame) -> DataFrame:
     """First choice only: its fields and, where it cannot be used, the reason."""
     first = completions.where(F.col("choice_index") == 0)
-    read = with_once(first, value=json_value(F.col("content")))
-    read = with_once(read, fields=json_fields(F.col("value")))
-    reason = F.when(F.col("value").isNull(), "bad_json").when(
-        F.col("fields")["instruction"].isNull() | F.col("fields").isNull(), "no_instruction"
+    read = with_once(first, fields=json_object(F.col("content")))
+    reason = F.when(_not_json(), "bad_json").when(
+        F.col("fields").isNull() | F.col("fields")["instruction"].isNull(), "no_instruction"
     )
     return read.select(
         "request_id", "choice_index", "content",
@@ -65,11 +69,10 @@ def instruction_rejects(requests: DataFrame, completions: DataFrame) -> DataFram
 
 def read_passage_choices(completions: DataFrame) -> DataFrame:
     """Every choice with its list text (``examples``) and ``reason``, NULL for a usable one."""
-    read = with_once(completions, value=json_value(F.col("content")))
-    read = with_once(read, fields=json_fields(F.col("value")))
+    read = with_once(completions, fields=json_object(F.col("content")))
     examples = F.col("fields")["examples"]
     reason = (
-        F.when(F.col("value").isNull(), "bad_json")
+        F.when(_not_json(), "bad_json")
         .when(F.col("fields")["error"].isNotNull() & ~F.coalesce(is_json_list(examples), F.lit(False)),
               "error_envelope")
         .when(~F.coalesce(is_json_list(examples), F.lit(False)), "no_examples")

@@ -472,7 +472,8 @@ def check_error_envelope(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_answer_leak(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(contract.check_answer_leak(derived.packages(spark, sf, ("id",))).drop("choice_index"))
+    texts = derived.spread(derived.packages(spark, sf, ("id",)))
+    return _rounded(contract.check_answer_leak(texts).drop("choice_index"))
 
 
 @query

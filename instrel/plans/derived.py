@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores, as of a small test file, over all cores.
+
+    A large table has more splits than cores and stays as it is scanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -117,7 +126,7 @@ def packages(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = FIELDS)
     parts = F.when(_hits(31, 7), 0).when(_hits(29, 3), 2).when(_hits(9, 4), 5).otherwise(PARTS)
     cut = docs.withColumn("parts", parts)
     if "passage" in fields:
-        cut = with_once(cut, words=F.split("text", " "))
+        cut = with_once(spread(cut), words=F.split("text", " "))
     numbers = F.slice(F.sequence(F.lit(0), F.lit(PARTS - 1)), F.lit(1), F.col("parts"))
     built = with_once(cut, responses=F.transform(numbers, lambda i: _response(i, fields)))
     return assign_variant(built).select(

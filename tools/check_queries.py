@@ -21,6 +21,9 @@ TABLES = (
 ).split()
 
 
+SPENT: dict[str, float] = {}
+
+
 def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
@@ -44,8 +47,10 @@ def rows(names: list[str], values: list[tuple]) -> list[tuple]:
 
 def compare(spark, connection, name: str, folder: str) -> str:
     """Empty if query and SQL agree, else what differs."""
+    begin = time.time()
     frame = queries()[name](spark, folder)
     got = rows(frame.columns, [tuple(r) for r in frame.collect()])
+    SPENT[name] = time.time() - begin
     result = connection.execute(ORACLE[name])
     columns = [c[0] for c in result.description]
     wanted = rows(columns, result.fetchall())
@@ -70,7 +75,7 @@ def main() -> None:
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(problem)
-        print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.2f}s {problem[:1200]}", flush=True)
+        print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.2f}s (Spark {SPENT.get(name, 0):.2f}s) {problem[:1200]}", flush=True)
     print(f"{len(names) - failed} of {len(names)} agree")
 
 
