@@ -6,38 +6,38 @@ JSON could read and hands JSON text back, so both paths share the typed part.
 
 from __future__ import annotations
 
-import ast
-import json
-
 import pandas as pd
 from pyspark.sql import functions as F
 
 
-def _to_json(text: str | None, wrap_single: bool, drop_non_dict: bool) -> str | None:
-    if text is None:
-        return None
-    try:
-        value = ast.literal_eval(text)
-        if not isinstance(value, list):
-            if not wrap_single:
-                return None
-            value = [value]
-        if drop_non_dict:
-            value = [item for item in value if isinstance(item, dict)]
-        return json.dumps(value)
-    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-        return None
-
-
 def literal_as_json(wrap_single: bool = False, drop_non_dict: bool = False):
     """Arrow function: Python literal text -> JSON text of a list, or NULL.
 
     ``wrap_single`` turns a single value into a one-element list,
     ``drop_non_dict`` leaves out list elements that are not dictionaries.
+    All it needs is inside, so executors need no copy of this package.
     """
 
+    def to_json(text):
+        import ast
+        import json
+
+        if text is None:
+            return None
+        try:
+            value = ast.literal_eval(text)
+            if wrap_single and not isinstance(value, list):
+                value = [value]
+            if not isinstance(value, list):
+                return None
+            if drop_non_dict:
+                value = [item for item in value if isinstance(item, dict)]
+            return json.dumps(value)
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+
     @F.pandas_udf("string")
     def convert(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: _to_json(text, wrap_single, drop_non_dict))
+        return texts.map(to_json)
 
     return convert

@@ -391,27 +391,30 @@ def relevance_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(relevance.verdicts(derived.logits(spark, sf)).drop("choice_index"))
 
 
-def word_scorer() -> relevance.Scorer:
+def word_scorer() -> Callable[[], relevance.Scorer]:
     """Stands in for a model: logits from the numbers of distinct and of all words."""
 
-    def score(texts: pd.Series) -> pd.DataFrame:
-        words = texts.str.split(" ")
-        return pd.DataFrame({"t": words.map(lambda w: len(set(w)) / 8), "f": words.map(len) / 16})
+    def make():
+        def score(texts):
+            words = texts.str.split(" ")
+            return pd.DataFrame({"t": words.map(lambda w: len(set(w)) / 8), "f": words.map(len) / 16})
 
-    return score
+        return score
+
+    return make
 
 
 @query
 def score_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = relevance.relevance_pairs(derived.candidates(spark, sf))
-    return relevance.score_pairs(pairs, word_scorer).drop("choice_index")
+    return relevance.score_pairs(pairs, word_scorer()).drop("choice_index")
 
 
 @query
 def route_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs scored in place, then routed."""
     candidates = derived.candidates(spark, sf)
-    scored = relevance.score_pairs(relevance.relevance_pairs(candidates), word_scorer)
+    scored = relevance.score_pairs(relevance.relevance_pairs(candidates), word_scorer())
     narrow = candidates.select(*relevance.PAIR_KEYS, "label")
     routed = relevance.route_candidates(narrow, relevance.pair_logits(scored))
     return routed.select("id", "pos", "bucket")

@@ -8,7 +8,7 @@ id decides which defects are planted, so that every rule has something to find.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instrel.constants import ERROR_TOO_FEW_NEGATIVES, FAILURE_MODES
@@ -16,15 +16,49 @@ from instrel.functions.once import with_once
 from instrel.operators.parsing import explode_candidates
 from instrel.operators.requests import INSTRUCTION_STAGE, PASSAGE_STAGE, assign_variant
 
-# Passages have six parts and a package cites chunks c0..c8, of which c8 does not exist.
-PARTS = 6
+# A package cites chunks c0..c8, of which c8 does not exist.
 CHUNKS = 8
 
+QUESTION = "concat('What does the ', lang, ' text ', id, ' from ', source, ' say?')"
+
+# Every tenth instruction gives the answer away.
+INSTRUCTION = """if(id % 10 = 0, concat('A relevant passage must say: ', text),
+    concat('A relevant passage must name ', source, ' and be in ', lang))"""
+
+# Six passages mostly, some packages have five, two or none.
+PARTS = "case when id % 31 = 7 then 0 when id % 29 = 3 then 2 when id % 9 = 4 then 5 else 6 end"
+
+MODE = "get(array({}), cast(if(id % 3 = 0, id * i % 6, (id + i) % 6) as int))".format(
+    ", ".join(f"'{mode}'" for mode in FAILURE_MODES)
+)
+
+# Fields of passage i of a package.
+FIELDS = {
+    "id": "i",
+    "label": """case when i = 0 and id % 41 = 5 then 'Positive'
+        when i = 0 or (i = 1 and id % 37 = 1) then 'positive' else 'negative' end""",
+    "neg_type": f"if(if(i = 0, id % 43 = 2, id % 59 <> 7), {MODE}, null)",
+    "title": "concat('Text ', id, ' part ', i)",
+    "passage": """array_join(slice(words, cast(size(words) * i div parts as int) + 1,
+        cast(size(words) * (i + 1) div parts - size(words) * i div parts as int)), ' ')""",
+    "explanation": f"""case when i = 0 then 'says what is asked for'
+        when (id + i) % 27 <> 0 then concat({MODE}, ' - fails the instruction') end""",
+    "why_relevant": """case when i = 0 and id % 23 <> 0 then 'maps to the instruction'
+        when i = 2 and id % 47 = 3 then 'should not be here' end""",
+    "confidence": """case when i = 0 then (60 + id * 37 % 41) / 100.0D when i = 1 and id % 53 = 9 then 1.2D
+        else (id * 29 % 40 + (id * 6 + i) * 17 % 45) / 100.0D end""",
+    "evidence": """if((id + i) % 4 = 0, cast(array() as array<string>), array(concat('c', (id + i) % 9)))""",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan of fewer splits than cores, as of a small test file, over all cores.
 
@@ -34,110 +68,42 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
-def _hits(divisor: int, rest: int, column: str = "id") -> Column:
-    return F.col(column) % divisor == rest
-
-
 def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, question, answer, chunk: one input per document, some without an answer."""
-    question = F.concat(
-        F.lit("What does the "), F.col("lang"), F.lit(" text "), _text("id"),
-        F.lit(" from "), F.col("source"), F.lit(" say?"),
-    )
-    return table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id").select(
-        "id", question.alias("question"),
-        F.when(~_hits(50, 49), F.col("text")).alias("answer"),
-        F.when(_hits(3, 0), F.concat(F.lit("Other texts come from "), F.col("source"))).alias("chunk"),
+    return spread(documents(spark, sf_dir)).selectExpr(
+        "id", f"{QUESTION} as question",
+        "if(id % 50 = 49, null, text) as answer",
+        "if(id % 3 = 0, concat('Other texts come from ', source), null) as chunk",
     )
 
 
 def conversation_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn with the assistant turn right after it."""
     turns = table(spark, sf_dir, "conversations")
-    users = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
-    answers = turns.where("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
-    )
-    return users.join(answers, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "question", "answer"
+    users = turns.where("role = 'user'").selectExpr("conv_id", "turn", "text as question")
+    answers = turns.where("role = 'assistant'").selectExpr("conv_id", "turn - 1 as turn", "text as answer")
+    return users.join(answers, ["conv_id", "turn"]).selectExpr(
+        "conv_id * 1000 + turn as id", "question", "answer"
     )
 
 
 def done(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids that an earlier run has finished: the labelled documents."""
-    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
-
-
-def _instruction() -> Column:
-    """Every tenth instruction gives the answer away."""
-    return F.when(
-        _hits(10, 0), F.concat(F.lit("A relevant passage must say: "), F.col("text"))
-    ).otherwise(
-        F.concat(F.lit("A relevant passage must name "), F.col("source"), F.lit(" and be in "), F.col("lang"))
-    )
+    return table(spark, sf_dir, "labels").selectExpr("doc_id as id")
 
 
-FIELDS = (
-    "id", "label", "neg_type", "title", "passage", "explanation", "why_relevant", "confidence", "evidence",
-)
-
-
-def _response(i: Column, fields: tuple[str, ...]) -> Column:
-    """Passage ``i`` of a package, with only the wanted fields."""
-    id_ = F.col("id")
-    first = i == 0
-    modes = F.array(*[F.lit(mode) for mode in FAILURE_MODES])
-    mode = F.get(modes, F.when(id_ % 3 == 0, id_ * i % 6).otherwise((id_ + i) % 6).cast("int"))
-    size, parts = F.size("words"), F.col("parts")
-    start = F.floor(size * i / parts).cast("int")
-    end = F.floor(size * (i + 1) / parts).cast("int")
-    built = {
-        "id": i,
-        "label": F.when(first & (id_ % 41 == 5), "Positive")
-        .when(first | ((id_ % 37 == 1) & (i == 1)), "positive").otherwise("negative"),
-        "neg_type": F.when(F.when(first, id_ % 43 == 2).otherwise(id_ % 59 != 7), mode),
-        "title": F.concat(F.lit("Text "), _text("id"), F.lit(" part "), i.cast("string")),
-        "passage": F.array_join(F.slice("words", start + 1, end - start), " "),
-        "explanation": F.when(first, "says what is asked for")
-        .when((id_ + i) % 27 != 0, F.concat(mode, F.lit(" - fails the instruction"))),
-        "why_relevant": F.when(first & (id_ % 23 != 0), "maps to the instruction")
-        .when((id_ % 47 == 3) & (i == 2), "should not be here"),
-        "confidence": F.when(first, (id_ * 37 % 41 + 60) / F.lit(100.0))
-        .when((id_ % 53 == 9) & (i == 1), 1.2)
-        .otherwise((id_ * 29 % 40 + (id_ * 6 + i) * 17 % 45) / F.lit(100.0)),
-        "evidence": F.when((id_ + i) % 4 == 0, F.array().cast("array<string>")).otherwise(
-            F.array(F.concat(F.lit("c"), ((id_ + i) % 9).cast("string")))
-        ),
-    }
-    return F.struct(*[built[name].alias(name) for name in fields])
-
-
-def packages(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """Nested packages: six passages mostly, some with five, two or none.
-
-    Responses have the given fields only, as a scan of a stored nested table
-    would read no others.
-    """
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    parts = F.when(_hits(31, 7), 0).when(_hits(29, 3), 2).when(_hits(9, 4), 5).otherwise(PARTS)
-    cut = docs.withColumn("parts", parts)
+def packages(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = tuple(FIELDS)) -> DataFrame:
+    """Nested packages whose responses have the given fields only, as a scan of a
+    stored nested table would read no others."""
+    cut = documents(spark, sf_dir).selectExpr("*", f"{PARTS} as parts")
     if "passage" in fields:
         cut = with_once(spread(cut), words=F.split("text", " "))
-    numbers = F.slice(F.sequence(F.lit(0), F.lit(PARTS - 1)), F.lit(1), F.col("parts"))
-    built = with_once(cut, responses=F.transform(numbers, lambda i: _response(i, fields)))
-    return assign_variant(built).select(
-        "id", F.lit(0).alias("choice_index"),
-        F.concat(
-            F.lit("What does the "), F.col("lang"), F.lit(" text "), _text("id"),
-            F.lit(" from "), F.col("source"), F.lit(" say?"),
-        ).alias("query"),
-        F.col("text").alias("og_positive"),
-        _instruction().alias("instruction"),
-        "style", "length", "responses",
+    members = ", ".join(f"'{name}', {FIELDS[name]}" for name in fields)
+    numbers = "slice(array(0, 1, 2, 3, 4, 5), 1, parts)"
+    built = with_once(cut, responses=F.expr(f"transform({numbers}, i -> named_struct({members}))"))
+    return assign_variant(built).selectExpr(
+        "id", "0 as choice_index", f"{QUESTION} as query", "text as og_positive",
+        f"{INSTRUCTION} as instruction", "style", "length", "responses",
     )
 
 
@@ -148,59 +114,57 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label and confidence of every passage; no text is read for it."""
-    scored = packages(spark, sf_dir, ("label", "confidence"))
-    return scored.select(F.inline("responses"))
+    return packages(spark, sf_dir, ("label", "confidence")).selectExpr("inline(responses)")
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scorer output per candidate: true and false logits for both texts, ties included."""
-    base = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.lit(0).alias("choice_index"),
-        F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("pos"),
-    )
-    n = F.col("id") * PARTS + F.col("pos")
-    return base.select(
+    return documents(spark, sf_dir).selectExpr(
+        "id", "0 as choice_index", "explode(array(0, 1, 2, 3, 4, 5)) as pos"
+    ).selectExpr("*", "id * 6 + pos as n").selectExpr(
         "id", "choice_index", "pos",
-        ((n * 13 % 17 - 8) / F.lit(2.0)).alias("q_true"), ((n * 29 % 19 - 9) / F.lit(2.0)).alias("q_false"),
-        ((n * 7 % 23 - 11) / F.lit(2.0)).alias("i_true"), ((n * 5 % 29 - 14) / F.lit(2.0)).alias("i_false"),
+        "(n * 13 % 17 - 8) / 2.0D as q_true", "(n * 29 % 19 - 9) / 2.0D as q_false",
+        "(n * 7 % 23 - 11) / 2.0D as i_true", "(n * 5 % 29 - 14) / 2.0D as i_false",
     )
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source chunks c0..c7 of every package."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.explode(F.sequence(F.lit(0), F.lit(CHUNKS - 1))).alias("n")
-    ).select("id", F.concat(F.lit("c"), F.col("n").cast("string")).alias("chunk_id"))
+    return documents(spark, sf_dir).selectExpr(
+        "id", f"explode(sequence(0, {CHUNKS - 1})) as n"
+    ).selectExpr("id", "concat('c', n) as chunk_id")
 
 
-def _quoted(text: Column) -> Column:
+def _quoted(text: str) -> str:
     """Python source of a text, ``None`` for NULL."""
-    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    escaped = F.replace(escaped, F.lit("'"), F.lit("\\'"))
-    escaped = F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
-    return F.when(text.isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
+    escaped = f"replace(replace({text}, '\\\\', '\\\\\\\\'), '\\'', '\\\\\\'')"
+    escaped = f"replace(replace({escaped}, '\\n', '\\\\n'), '\\r', '\\\\r')"
+    return f"if({text} is null, 'None', concat('\\'', {escaped}, '\\''))"
 
 
 _STRINGS = ("label", "neg_type", "title", "passage", "explanation", "why_relevant")
 
 
-def _python_item(r: Column, score: Column) -> Column:
-    fields = [F.concat(F.lit(f"'{name}': "), _quoted(r[name])) for name in _STRINGS]
-    evidence = F.concat(
-        F.lit("'evidence': ["), F.array_join(F.transform(r["evidence"], _quoted), ", "), F.lit("]")
-    )
-    return F.concat(
-        F.lit("{'id': "), r["id"].cast("string"), F.lit(", "), F.concat_ws(", ", *fields, evidence, score),
-        F.lit("}"),
-    )
+def _python_item() -> str:
+    """Python source of passage ``r``, but for the score and the closing brace."""
+    fields = [f"', \\'{name}\\': ', {_quoted('r.' + name)}" for name in _STRINGS]
+    evidence = f"', \\'evidence\\': [', array_join(transform(r.evidence, e -> {_quoted('e')}), ', '), '], '"
+    return f"concat('{{\\'id\\': ', r.id, {', '.join(fields)}, {evidence})"
 
 
-def _json_item(r: Column, score: Column) -> Column:
-    text = F.to_json(
-        F.struct(r["id"].alias("id"), *[r[n].alias(n) for n in _STRINGS], r["evidence"].alias("evidence")),
-        {"ignoreNullFields": "false"},
-    )
-    return F.concat(F.rtrim(text, F.lit("}")), F.lit(","), score, F.lit("}"))
+def _json_item() -> str:
+    """JSON of passage ``r``, but for the score and the closing brace."""
+    members = ", ".join(f"'{name}', r.{name}" for name in ("id", *_STRINGS, "evidence"))
+    return f"concat(rtrim('}}', to_json(named_struct({members}), map('ignoreNullFields', 'false'))), ', ')"
+
+
+def _score(quote: str) -> str:
+    """The score of passage ``r``: usually its confidence, see ``package_text``."""
+    number = "cast(r.confidence as string)"
+    return f"""case
+        when id % 7 = 1 and r.id = 1 then concat('{quote}score{quote}: {quote}x{quote}, {quote}probability{quote}: ', {number})
+        when id % 11 = 2 then concat('{quote}confidence{quote}: {quote}', {number}, '{quote}')
+        else concat('{quote}confidence{quote}: ', {number}) end"""
 
 
 def package_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,56 +175,32 @@ def package_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     id % 11 = 2, and where id % 7 = 1 item 1 has a useless ``score`` and a
     ``probability`` instead of a confidence.
     """
-
-    def score(r: Column, quote: str, colon: str) -> Column:
-        def key(name: str) -> Column:
-            return F.lit(f"{quote}{name}{quote}{colon}")
-
-        number = r["confidence"].cast("string")
-        probed = F.concat(key("score"), F.lit(f"{quote}x{quote},"), key("probability"), number)
-        return (
-            F.when(_hits(7, 1) & (r["id"] == 1), probed)
-            .when(_hits(11, 2), F.concat(key("confidence"), F.lit(quote), number, F.lit(quote)))
-            .otherwise(F.concat(key("confidence"), number))
-        )
-
-    as_json = F.transform("responses", lambda r: _json_item(r, score(r, '"', ":")))
-    as_python = F.transform("responses", lambda r: _python_item(r, score(r, "'", ": ")))
-    items = F.array_join(F.when(_hits(2, 0), as_json).otherwise(as_python), ", ")
-    text = (
-        F.when(_hits(17, 3), F.concat(F.lit("["), F.rtrim(items, F.lit("}]"))))
-        .when(_hits(19, 5), F.concat(F.lit("["), items, F.lit(", 5]")))
-        .when(_hits(13, 6), F.lit('{"id":1,"label":"positive","confidence":0.4}'))
-        .otherwise(F.concat(F.lit("["), items, F.lit("]")))
+    quoted = "\\'"
+    as_json = "transform(responses, r -> concat({}, {}, '}}'))".format(_json_item(), _score('"'))
+    as_python = "transform(responses, r -> concat({}, {}, '}}'))".format(_python_item(), _score(quoted))
+    items = with_once(
+        packages(spark, sf_dir), items=F.expr(f"array_join(if(id % 2 = 0, {as_json}, {as_python}), ', ')")
     )
-    return with_once(packages(spark, sf_dir), response=text).select(
-        "id", "choice_index", "query", "og_positive", "instruction", "response"
+    return items.selectExpr(
+        "id", "choice_index", "query", "og_positive", "instruction",
+        """case when id % 17 = 3 then concat('[', rtrim('}]', items))
+            when id % 19 = 5 then concat('[', items, ', 5]')
+            when id % 13 = 6 then '{"id":1,"label":"positive","confidence":0.4}'
+            else concat('[', items, ']') end as response""",
     )
 
 
 def instruction_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two choices per instruction request; some missing, some not JSON, some without the key."""
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    base = assign_variant(docs).withColumn("said", _instruction())
-    good = F.to_json(
-        F.struct(
-            F.concat(F.col("said"), F.when(F.col("choice_index") == 0, "").otherwise(" (again)")).alias("instruction"),
-            F.when(_hits(10, 3), "other").when(~_hits(10, 6), F.col("style")).alias("style"),
-            F.when(_hits(15, 4), "other").otherwise(F.col("length")).alias("length"),
-        )
-    )
-    content = (
-        F.when(_hits(16, 5), F.concat(F.lit("{'instruction': "), F.col("said"), F.lit("'}")))
-        .when(_hits(21, 4), F.to_json(F.struct(F.col("said").alias("text"))))
-        .otherwise(good)
-    )
-    return (
-        base.where(~_hits(17, 11))
-        .withColumn("choice_index", F.explode(F.array(F.lit(0), F.lit(1))))
-        .select(
-            F.concat(F.lit(f"{INSTRUCTION_STAGE}:"), _text("id")).alias("request_id"),
-            "choice_index", content.alias("content"),
-        )
+    base = assign_variant(documents(spark, sf_dir)).selectExpr("*", f"{INSTRUCTION} as said")
+    return base.where("id % 17 <> 11").selectExpr("*", "explode(array(0, 1)) as choice_index").selectExpr(
+        f"concat('{INSTRUCTION_STAGE}:', id) as request_id", "choice_index",
+        """case when id % 16 = 5 then concat('{\\'instruction\\': ', said, '\\'}')
+            when id % 21 = 4 then to_json(named_struct('text', said))
+            else to_json(named_struct(
+                'instruction', concat(said, if(choice_index = 0, '', ' (again)')),
+                'style', case when id % 10 = 3 then 'other' when id % 10 <> 6 then style end,
+                'length', if(id % 15 = 4, 'other', length))) end as content""",
     )
 
 
@@ -270,43 +210,28 @@ def passage_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Planted: none at all (id % 17 = 5), an error instead of passages (id % 13 = 0,
     choice 0), truncated JSON (id % 11 = 0, choice 1), no list (id % 37 = 8, choice 1).
     """
-    base = packages(spark, sf_dir).where(~_hits(17, 5)).withColumn(
-        "choice_index", F.explode(F.array(F.lit(0), F.lit(1)))
+    good = "named_struct('query', query, 'instruction', instruction, 'examples', responses)"
+    built = packages(spark, sf_dir).where("id % 17 <> 5").selectExpr(
+        "id", f"to_json({good}, map('ignoreNullFields', 'false')) as good"
     )
-    first = F.col("choice_index") == 0
-    good = F.to_json(
-        F.struct("query", "instruction", F.col("responses").alias("examples")), {"ignoreNullFields": "false"}
-    )
-    error = F.to_json(
-        F.struct(
-            F.lit(ERROR_TOO_FEW_NEGATIVES).alias("error"), F.lit("too short").alias("reason"),
-            (F.col("id") % 5).alias("produced_negatives"),
-        )
-    )
-    content = (
-        F.when(_hits(13, 0) & first, error)
-        .when(_hits(11, 0) & ~first, F.rtrim(good, F.lit("]}")))
-        .when(_hits(37, 8) & ~first, F.lit('{"examples":{"id":0}}'))
-        .otherwise(good)
-    )
-    return with_once(base, content=content).select(
-        F.concat(F.lit(f"{PASSAGE_STAGE}:"), _text("id")).alias("request_id"), "choice_index", "content"
+    content = f"""case
+        when id % 13 = 0 and choice_index = 0 then to_json(named_struct(
+            'error', '{ERROR_TOO_FEW_NEGATIVES}', 'reason', 'too short', 'produced_negatives', id % 5))
+        when id % 11 = 0 and choice_index = 1 then rtrim(']}}', good)
+        when id % 37 = 8 and choice_index = 1 then '{{"examples":{{"id":0}}}}'
+        else good end"""
+    return built.selectExpr("id", "good", "explode(array(0, 1)) as choice_index").selectExpr(
+        f"concat('{PASSAGE_STAGE}:', id) as request_id", "choice_index", f"{content} as content"
     )
 
 
 def doc_partition_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Completions that name relevant and other documents; some overlap, some are empty."""
-    lists = F.to_json(
-        F.struct(
-            F.concat(F.lit("Must be by "), F.col("source")).alias("instruction"),
-            F.when(F.col("doc_id") % 8 == 3, F.array().cast("array<int>")).otherwise(F.array(F.lit(1)))
-            .alias("relevant_docs"),
-            F.when(F.col("doc_id") % 6 == 1, F.array(F.lit(2), F.lit(1)))
-            .when(F.col("doc_id") % 14 != 2, F.array(F.lit(2))).alias("non_relevant_docs"),
-        )
-    )
-    return table(spark, sf_dir, "documents").select(
-        F.concat(F.lit(f"{INSTRUCTION_STAGE}:"), _text("doc_id")).alias("request_id"),
-        F.lit(0).alias("choice_index"),
-        lists.alias("content"),
+    return documents(spark, sf_dir).selectExpr(
+        f"concat('{INSTRUCTION_STAGE}:', id) as request_id", "0 as choice_index",
+        """to_json(named_struct(
+            'instruction', concat('Must be by ', source),
+            'relevant_docs', if(id % 8 = 3, cast(array() as array<int>), array(1)),
+            'non_relevant_docs', case when id % 6 = 1 then array(2, 1) when id % 14 <> 2 then array(2) end
+        )) as content""",
     )
