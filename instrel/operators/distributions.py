@@ -24,16 +24,14 @@ RANGES = 64
 
 def score_counts(candidates: DataFrame, overall: bool = True, by_label: bool = True) -> DataFrame:
     """(grp, score, n) for all passages together and for each label class."""
-    counts = (
-        candidates.where(is_score(F.col("confidence")))
-        .groupBy(label_class(F.col("label")).alias("grp"), F.col("confidence").alias("score"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if not overall:
-        return counts
-    groups = F.array(F.lit(OVERALL), F.col("grp")) if by_label else F.array(F.lit(OVERALL))
-    both = counts.select(F.explode(groups).alias("grp"), "score", "n")
-    return both.groupBy("grp", "score").agg(F.sum("n").alias("n"))
+    scored = candidates.where(is_score(F.col("confidence"))).select(
+        label_class(F.col("label")).alias("grp"), F.col("confidence").alias("score")
+    )
+    if overall and by_label:
+        scored = scored.select(F.explode(F.array(F.lit(OVERALL), F.col("grp"))).alias("grp"), "score")
+    elif overall:
+        scored = scored.withColumn("grp", F.lit(OVERALL))
+    return scored.groupBy("grp", "score").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ranked_scores(counts: DataFrame, ranges: int = RANGES) -> DataFrame:

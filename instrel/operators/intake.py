@@ -15,13 +15,13 @@ from instrel.functions.once import with_once
 from instrel.operators.requests import INSTRUCTION_STAGE, PASSAGE_STAGE
 
 
-def _rejects(df: DataFrame, stage: str, reason: Column, raw: Column | None = None) -> DataFrame:
+def _rejects(df: DataFrame, stage: str, reason: Column, raw: Column) -> DataFrame:
     return df.select(
         F.lit(stage).alias("stage"),
         F.col("id").cast("string").alias("id"),
         F.col("choice_index"),
         reason.alias("reason"),
-        (F.lit(None).cast("string") if raw is None else raw).alias("raw"),
+        raw.alias("raw"),
     )
 
 
@@ -111,20 +111,19 @@ def passage_rejects(
     requests: DataFrame, completions: DataFrame, on_bad: str = "lose_row"
 ) -> DataFrame:
     """Choices not taken in, and requests without any completion."""
-    wanted = requests.select("request_id", "id")
     choices = read_passage_choices(completions)
-    bad = wanted.join(choices.where(F.col("reason").isNotNull()), "request_id")
-    out = _rejects(bad, PASSAGE_STAGE, F.col("reason"), F.col("content"))
+    reason = F.col("reason")
     if on_bad == "lose_row":
-        lost = choices.where(F.col("reason").isNull()).join(
-            broken_requests(choices), "request_id", "left_semi"
-        )
-        out = out.unionByName(
-            _rejects(wanted.join(lost, "request_id"), PASSAGE_STAGE, F.lit("row_lost"), F.col("content"))
-        )
-    silent = wanted.join(completions.select("request_id").distinct(), "request_id", "left_anti")
-    silent = silent.withColumn("choice_index", F.lit(None).cast("int"))
-    return out.unionByName(_rejects(silent, PASSAGE_STAGE, F.lit("no_completion")))
+        broken = broken_requests(choices).withColumn("broken", F.lit(True))
+        choices = choices.join(broken, "request_id", "left")
+        reason = F.coalesce(reason, F.when(F.col("broken"), "row_lost"))
+    answered = requests.select("request_id", "id").join(choices, "request_id", "left")
+    answered = answered.withColumn(
+        "reason", F.when(F.col("choice_index").isNull(), "no_completion").otherwise(reason)
+    )
+    return _rejects(
+        answered.where(F.col("reason").isNotNull()), PASSAGE_STAGE, F.col("reason"), F.col("content")
+    )
 
 
 def assemble_packages(taken: DataFrame) -> DataFrame:

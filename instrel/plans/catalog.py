@@ -171,8 +171,9 @@ def _second_requests(spark: SparkSession, sf: str) -> DataFrame:
     return flows.with_request_id(derived.qa(spark, sf), requests.PASSAGE_STAGE)
 
 
-def _generated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return flows.generate(
+def _run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inputs and both completion tables of a whole generation run."""
+    return (
         derived.qa(spark, sf), derived.instruction_completions(spark, sf), derived.passage_completions(spark, sf)
     )
 
@@ -202,7 +203,7 @@ def passage_intake_skip_choice(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def packages(spark: SparkSession, sf: str) -> DataFrame:
     """The whole generation flow, down to one row per passage."""
-    text, _ = _generated(spark, sf)
+    text = flows.generated_packages(*_run(spark, sf))
     nested = parsing.to_responses(parsing.parse_items(text))
     return parsing.explode_candidates(nested, "query", "instruction", "style", "length").select(
         "id", "choice_index", "query", "instruction", "style", "length", "pos", "label", "passage", "confidence"
@@ -211,8 +212,7 @@ def packages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def intake_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    _, rejects = _generated(spark, sf)
-    return rejects.select("stage", "id", "choice_index", "reason")
+    return flows.generation_rejects(*_run(spark, sf)).select("stage", "id", "choice_index", "reason")
 
 
 # Parsing
@@ -501,8 +501,10 @@ def rule_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def yield_audit(spark: SparkSession, sf: str) -> DataFrame:
-    text, rejects = _generated(spark, sf)
-    return reports.yield_audit(derived.qa(spark, sf), text, rejects)
+    tables_in = _run(spark, sf)
+    return reports.yield_audit(
+        tables_in[0], flows.generated_packages(*tables_in), flows.generation_rejects(*tables_in)
+    )
 
 
 @query

@@ -63,21 +63,34 @@ def _input_rejects(qa: DataFrame) -> DataFrame:
     )
 
 
-def generate(
-    qa: DataFrame, instruction_completions: DataFrame, passage_completions: DataFrame, salt: str = ""
+def _requested(
+    qa: DataFrame, instruction_completions: DataFrame, salt: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Packages as text, and all rejects."""
+    """Instruction requests, and the passage requests of those that got an instruction."""
     complete = requests.assign_variant(requests.complete_inputs(qa), salt)
     first = with_request_id(complete, requests.INSTRUCTION_STAGE)
     instructed = intake.intake_instruction(first, instruction_completions).drop("request_id")
-    second = with_request_id(instructed, requests.PASSAGE_STAGE)
-    packages = intake.assemble_packages(intake.intake_passages(second, passage_completions))
-    rejects = (
+    return first, with_request_id(instructed, requests.PASSAGE_STAGE)
+
+
+def generated_packages(
+    qa: DataFrame, instruction_completions: DataFrame, passage_completions: DataFrame, salt: str = ""
+) -> DataFrame:
+    """Packages as text, from inputs and both completion tables."""
+    _, second = _requested(qa, instruction_completions, salt)
+    return intake.assemble_packages(intake.intake_passages(second, passage_completions))
+
+
+def generation_rejects(
+    qa: DataFrame, instruction_completions: DataFrame, passage_completions: DataFrame, salt: str = ""
+) -> DataFrame:
+    """Everything of the same run that is in no package. Only ids are joined."""
+    first, second = _requested(qa, instruction_completions, salt)
+    return (
         _input_rejects(qa)
         .unionByName(intake.instruction_rejects(first, instruction_completions))
         .unionByName(intake.passage_rejects(second, passage_completions))
     )
-    return packages, rejects
 
 
 def analyse(package_text: DataFrame) -> dict[str, DataFrame]:
