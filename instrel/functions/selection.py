@@ -11,45 +11,51 @@ from pyspark.sql import functions as F
 from instrel.constants import BOTTOM_NEGATIVES, NEGATIVE, NEGATIVE_THRESHOLD, POSITIVE, POSITIVE_THRESHOLD
 
 
-def _picked(responses: Column, position: Column) -> Column:
-    response = F.get(responses, position)
-    return F.struct(
-        position.alias("pos"), response["confidence"].alias("confidence"), response.alias("response")
-    )
-
-
-def top_positive(
-    responses: Column, threshold: float = POSITIVE_THRESHOLD, respect_label: bool = False
+def top_rank(
+    scores: Column, labels: Column | None = None, threshold: float = POSITIVE_THRESHOLD
 ) -> Column:
-    """Struct (pos, confidence, response) of the highest score >= threshold, else NULL.
+    """Struct (confidence, pos) of the highest score >= threshold, else NULL.
 
-    The label plays no part unless ``respect_label`` is set.
+    With ``labels`` given, only passages labelled positive count; otherwise the
+    label plays no part.
     """
 
-    def rank(response: Column, i: Column) -> Column:
-        wanted = response["confidence"] >= threshold
-        if respect_label:
-            wanted = wanted & (response["label"] == POSITIVE)
-        return F.when(wanted, F.struct(response["confidence"].alias("c"), (-i).alias("p")))
+    def rank(score: Column, i: Column) -> Column:
+        wanted = score >= threshold
+        if labels is not None:
+            wanted = wanted & (F.get(labels, i) == POSITIVE)
+        return F.when(wanted, F.struct(score.alias("confidence"), (-i).alias("back")))
 
-    best = F.array_max(F.transform(responses, rank))
-    return F.when(best.isNotNull(), _picked(responses, -best["p"]))
+    best = F.array_max(F.transform(scores, rank))
+    return F.when(
+        best.isNotNull(), F.struct(best["confidence"].alias("confidence"), (-best["back"]).alias("pos"))
+    )
 
 
-def bottom_negatives(
-    responses: Column,
+def bottom_ranks(
+    scores: Column,
+    labels: Column | None = None,
     threshold: float = NEGATIVE_THRESHOLD,
     k: int = BOTTOM_NEGATIVES,
-    respect_label: bool = False,
 ) -> Column:
-    """Up to ``k`` structs (pos, confidence, response) with score <= threshold, lowest first."""
-
-    def rank(response: Column, i: Column) -> Column:
-        wanted = response["confidence"] <= threshold
-        if respect_label:
-            wanted = wanted & (response["label"] == NEGATIVE)
-        return F.when(wanted, F.struct(response["confidence"].alias("c"), i.alias("p")))
-
-    ranks = F.filter(F.transform(responses, rank), lambda r: r.isNotNull())
-    lowest = F.slice(F.array_sort(ranks), 1, k)
-    return F.transform(lowest, lambda r: _picked(responses, r["p"]))
+    """Up to ``k`` structs (confidence, pos) with score <= threshold, lowest first."""
+
+    def rank(score: Column, i: Column) -> Column:
+        wanted = score <= threshold
+        if labels is not None:
+            wanted = wanted & (F.get(labels, i) == NEGATIVE)
+        return F.when(wanted, F.struct(score.alias("confidence"), i.alias("pos")))
+
+    ranks = F.filter(F.transform(scores, rank), lambda r: r.isNotNull())
+    return F.slice(F.array_sort(ranks), 1, k)
+
+
+def with_response(rank: Column, responses: Column) -> Column:
+    """Struct (pos, confidence, response) for a rank, NULL for none."""
+    return F.when(
+        rank.isNotNull(),
+        F.struct(
+            rank["pos"].alias("pos"), rank["confidence"].alias("confidence"),
+            F.get(responses, rank["pos"]).alias("response"),
+        ),
+    )

@@ -14,6 +14,7 @@ from instrel.constants import (
     NEGATIVES_COUNT, POSITIVE, POSITIVE_WORDS,
 )
 from instrel.functions.json_text import STRICT, json_object, json_value
+from instrel.functions.nested import members
 from instrel.functions.once import with_once
 from instrel.functions.scores import is_score
 from instrel.functions.words import containment, normalised, with_ngrams, word_count
@@ -21,14 +22,12 @@ from instrel.functions.words import containment, normalised, with_ngrams, word_c
 KEYS = ("id", "choice_index")
 
 
-def _of_label(label: str) -> Column:
-    return F.filter("responses", lambda r: r["label"] == label)
-
-
 def check_counts(packages: DataFrame, fewest: int = NEGATIVES_COUNT, most: int = NEGATIVES_COUNT) -> DataFrame:
     """Exactly one positive, and a number of negatives within bounds."""
     counted = packages.select(
-        *KEYS, F.size(_of_label(POSITIVE)).alias("positives"), F.size(_of_label(NEGATIVE)).alias("negatives")
+        *KEYS,
+        F.size(F.filter("responses.label", lambda label: label == POSITIVE)).alias("positives"),
+        F.size(F.filter("responses.label", lambda label: label == NEGATIVE)).alias("negatives"),
     )
     return counted.withColumn(
         "ok", (F.col("positives") == 1) & F.col("negatives").between(fewest, most)
@@ -52,13 +51,14 @@ def check_word_length(
 def check_failure_modes(packages: DataFrame, at_least: int = MIN_FAILURE_MODES) -> DataFrame:
     """Distinct failure modes of the negatives, and how many are no known mode."""
     known = F.array(*[F.lit(mode) for mode in FAILURE_MODES])
-    modes = F.array_distinct(
-        F.filter(F.transform(_of_label(NEGATIVE), lambda r: r["neg_type"]), lambda m: m.isNotNull())
+    negatives = F.filter(
+        members("responses", "label", "neg_type"), lambda r: (r["label"] == NEGATIVE) & r["neg_type"].isNotNull()
     )
-    return packages.select(
+    read = with_once(packages.select(*KEYS, "responses"), modes=F.array_distinct(negatives["neg_type"]))
+    return read.select(
         *KEYS,
-        F.size(F.array_intersect(modes, known)).alias("distinct_modes"),
-        F.size(F.array_except(modes, known)).alias("unknown_modes"),
+        F.size(F.array_intersect("modes", known)).alias("distinct_modes"),
+        F.size(F.array_except("modes", known)).alias("unknown_modes"),
     ).withColumn("ok", (F.col("distinct_modes") >= at_least) & (F.col("unknown_modes") == 0))
 
 
@@ -75,9 +75,9 @@ def check_fields(packages: DataFrame) -> DataFrame:
         "negative_with_why": lambda r: negative(r) & r["why_relevant"].isNotNull(),
         "negative_without_explanation": lambda r: negative(r) & r["explanation"].isNull(),
     }
-    return packages.select(
-        *KEYS, *[F.size(F.filter("responses", rule)).alias(name) for name, rule in rules.items()]
-    )
+    fields = members("responses", "label", "neg_type", "explanation", "why_relevant", "confidence")
+    read = with_once(packages.select(*KEYS, "responses"), r=fields)
+    return read.select(*KEYS, *[F.size(F.filter("r", rule)).alias(name) for name, rule in rules.items()])
 
 
 def check_evidence(packages: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -86,8 +86,8 @@ def check_evidence(packages: DataFrame, chunks: DataFrame) -> DataFrame:
     The join key is package and chunk id; equal ids cited many times are
     counted before the shuffle.
     """
-    cited = packages.select(*KEYS, F.posexplode("responses").alias("pos", "r")).select(
-        *KEYS, F.explode("r.evidence").alias("chunk_id")
+    cited = packages.select(*KEYS, F.explode("responses.evidence").alias("evidence")).select(
+        *KEYS, F.explode("evidence").alias("chunk_id")
     )
     cited = cited.groupBy(*KEYS, "chunk_id").agg(F.count(F.lit(1)).alias("citations"))
     return cited.join(chunks.select("id", "chunk_id"), ["id", "chunk_id"], "left_anti")

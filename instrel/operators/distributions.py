@@ -11,6 +11,8 @@ a range starts from the counts of the ranges before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +29,9 @@ def score_counts(candidates: DataFrame, overall: bool = True, by_label: bool = T
     scored = candidates.where(is_score(F.col("confidence"))).select(
         label_class(F.col("label")).alias("grp"), F.col("confidence").alias("score")
     )
-    if overall and by_label:
-        scored = scored.select(F.explode(F.array(F.lit(OVERALL), F.col("grp"))).alias("grp"), "score")
-    elif overall:
-        scored = scored.withColumn("grp", F.lit(OVERALL))
+    if overall:
+        groups = [F.lit(OVERALL), F.col("grp")] if by_label else [F.lit(OVERALL)]
+        scored = scored.select(F.explode(F.array(*groups)).alias("grp"), "score")
     return scored.groupBy("grp", "score").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -41,12 +42,16 @@ def ranked_scores(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     There are at most three groups and ``ranges`` ranges, which bounds the table
     of range totals that is broadcast.
     """
+    # The sum keeps the counts in, so that this reads the same shuffle as the rest.
     cuts = counts.agg(
-        F.percentile_approx("score", [i / ranges for i in range(1, ranges)], 100 * ranges)
+        F.struct(
+            F.percentile_approx("score", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("at"),
+            F.sum("n").alias("n"),
+        )
     ).scalar()
     # Kept as a column of its own, or the join below would test it on the raw rows.
     ranged = with_once(
-        counts.withColumn("cuts", cuts), rng=F.size(F.filter("cuts", lambda cut: cut < F.col("score")))
+        counts.withColumn("cuts", cuts), rng=F.size(F.filter("cuts.at", lambda cut: cut < F.col("score")))
     ).drop("cuts")
     group = Window.partitionBy("grp")
     earlier = group.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
@@ -143,9 +148,14 @@ def label_share(candidates: DataFrame) -> DataFrame:
     )
 
 
+def any_score(test: Callable[[Column], Column]) -> Column:
+    """Does any score of the package meet the test? Reads nothing but the scores."""
+    return F.exists("responses.confidence", lambda score: F.coalesce(test(score), F.lit(False)))
+
+
 def responses_per_query(packages: DataFrame) -> DataFrame:
     """Number of packages, and mean, largest and smallest number of passages in one."""
-    n = F.size("responses")
+    n = F.size("responses.confidence")
     return packages.where(F.col("responses").isNotNull()).agg(
         F.count(F.lit(1)).alias("packages"),
         F.avg(n).alias("avg_responses"),
@@ -158,8 +168,8 @@ def query_threshold_distribution(
     packages: DataFrame, positive: float = POSITIVE_THRESHOLD, negative: float = NEGATIVE_THRESHOLD
 ) -> DataFrame:
     """Packages with a score at or above / at or below the thresholds, whatever the label."""
-    has_high = F.exists("responses", lambda r: F.coalesce(r["confidence"] >= positive, F.lit(False)))
-    has_low = F.exists("responses", lambda r: F.coalesce(r["confidence"] <= negative, F.lit(False)))
+    has_high = any_score(lambda score: score >= positive)
+    has_low = any_score(lambda score: score <= negative)
     counted = packages.where(F.col("responses").isNotNull()).agg(
         F.count(F.lit(1)).alias("packages"),
         F.count_if(has_high).alias("with_positive"),

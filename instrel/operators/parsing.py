@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from instrel.functions.json_text import json_items
 from instrel.functions.literals import literal_as_json
+from instrel.functions.nested import members
 from instrel.functions.once import with_once
 from instrel.functions.scores import is_score, probe_score, try_score
 
@@ -103,11 +104,17 @@ def parse_rejects(parsed: DataFrame, stage: str = "parse", text: str = "response
     )
 
 
-def explode_candidates(packages: DataFrame, *carry: str) -> DataFrame:
-    """One row per passage: package key, position and fields; empty packages give none."""
+CANDIDATE_FIELDS = ("id", "title", "passage", "label", "neg_type", "explanation", "confidence")
+
+
+def explode_candidates(
+    packages: DataFrame, *carry: str, fields: tuple[str, ...] = CANDIDATE_FIELDS
+) -> DataFrame:
+    """One row per passage: package key, position and fields; empty packages give none.
+
+    The passage's own id becomes ``item_id``. Only the given fields are read.
+    """
     keys = ["id", "choice_index", *carry]
-    return packages.select(*keys, F.posexplode("responses").alias("pos", "r")).select(
-        *keys, "pos",
-        F.col("r.id").alias("item_id"),
-        *[F.col(f"r.{c}") for c in ("title", "passage", "label", "neg_type", "explanation", "confidence")],
+    return packages.select(*keys, F.posexplode(members("responses", *fields)).alias("pos", "r")).select(
+        *keys, "pos", *[F.col(f"r.{c}").alias("item_id" if c == "id" else c) for c in fields]
     )

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from instrel.constants import LENGTHS, NEGATIVE, POSITIVE, STYLES
+from instrel.functions.nested import members
+from instrel.functions.once import with_once
 from instrel.functions.scores import is_score, label_class
 from instrel.operators.relevance import combine_query
 
@@ -62,11 +64,11 @@ def dataset_counts(packages: DataFrame) -> DataFrame:
     """
 
     def label(wanted):
-        return F.sum(F.size(F.filter("responses", lambda r: label_class(r["label"]) == wanted)))
+        return F.sum(F.size(F.filter("responses.label", lambda label: label_class(label) == wanted)))
 
     per_input = packages.groupBy("id").agg(
         F.count(F.lit(1)).alias("packages"),
-        F.sum(F.size("responses")).alias("passages"),
+        F.sum(F.size("responses.label")).alias("passages"),
         label(POSITIVE).alias("positives"),
         label(NEGATIVE).alias("negatives"),
     )
@@ -83,12 +85,14 @@ def training_pairs(packages: DataFrame) -> DataFrame:
     has more, they take turns: every passage is used, and the rows stay as many
     as the longer of both lists instead of their product.
     """
-    positives = F.filter("responses", lambda r: r["label"] == POSITIVE)
-    negatives = F.filter("responses", lambda r: r["label"] == NEGATIVE)
-    split = packages.select(
-        "id", "choice_index",
-        combine_query(F.col("query"), F.col("instruction")).alias("query"),
-        positives.alias("p"), negatives.alias("n"),
+    read = with_once(
+        packages.select("id", "choice_index", "query", "instruction", "responses"),
+        r=members("responses", "label", "passage", "neg_type"),
+    ).select("id", "choice_index", combine_query(F.col("query"), F.col("instruction")).alias("query"), "r")
+    split = with_once(
+        read,
+        p=F.filter("r", lambda r: r["label"] == POSITIVE),
+        n=F.filter("r", lambda r: r["label"] == NEGATIVE),
     ).where((F.size("p") > 0) & (F.size("n") > 0))
     rows = F.sequence(F.lit(0), F.greatest(F.size("p"), F.size("n")) - 1)
 

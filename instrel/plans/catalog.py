@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instrel.functions.scores import label_class
-from instrel.functions.selection import bottom_negatives, top_positive
 from instrel.operators import (
     contract, distributions, incremental, intake, parsing, relevance, reports, requests, selecting,
 )
@@ -298,7 +297,7 @@ def confidence_kurtosis(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def responses_per_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(distributions.responses_per_query(derived.packages(spark, sf, ("id",))))
+    return _rounded(distributions.responses_per_query(derived.packages(spark, sf, ("confidence",))))
 
 
 @query
@@ -335,22 +334,24 @@ def _full(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def best_passage(spark: SparkSession, sf: str) -> DataFrame:
-    picked = _full(spark, sf).select("id", top_positive(F.col("responses")).alias("t"))
+    picked = selecting.select_responses(_full(spark, sf))
     return picked.select(
-        "id", "t.pos", "t.confidence",
-        F.col("t.response.label").alias("label"), F.col("t.response.passage").alias("passage"),
+        "id", "top_positive.pos", "top_positive.confidence",
+        F.col("top_positive.response.label").alias("label"),
+        F.col("top_positive.response.passage").alias("passage"),
     )
 
 
 @query
 def best_labelled_passage(spark: SparkSession, sf: str) -> DataFrame:
-    picked = _full(spark, sf).select("id", top_positive(F.col("responses"), respect_label=True).alias("t"))
-    return picked.select("id", "t.pos", "t.confidence")
+    picked = selecting.ranked_positions(derived.packages(spark, sf, SCORED), respect_label=True)
+    return picked.select("id", "top.pos", "top.confidence")
 
 
 @query
 def bottom_negatives_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    picked = _full(spark, sf).select("id", F.posexplode(bottom_negatives(F.col("responses"))).alias("rank", "b"))
+    chosen = selecting.select_responses(_full(spark, sf))
+    picked = chosen.select("id", F.posexplode("bottom_negatives").alias("rank", "b"))
     return picked.select(
         "id", "rank", "b.pos", "b.confidence", F.col("b.response.passage").alias("passage")
     )
@@ -369,13 +370,12 @@ def filter_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def selection_summary(spark: SparkSession, sf: str) -> DataFrame:
-    chosen = selecting.select_responses(derived.packages(spark, sf, SCORED))
-    return _rounded(selecting.selection_summary(chosen))
+    return _rounded(selecting.selection_summary(derived.packages(spark, sf, SCORED)))
 
 
 @query
 def selection_preview(spark: SparkSession, sf: str) -> DataFrame:
-    return selecting.selection_preview(selecting.select_responses(derived.packages(spark, sf, SCORED)))
+    return selecting.selection_preview(derived.packages(spark, sf, SCORED))
 
 
 # Relevance
@@ -415,14 +415,14 @@ def route_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs scored in place, then routed."""
     candidates = derived.candidates(spark, sf)
     scored = relevance.score_pairs(relevance.relevance_pairs(candidates), word_scorer())
-    narrow = candidates.select(*relevance.PAIR_KEYS, "label")
+    narrow = parsing.explode_candidates(derived.packages(spark, sf, ("label",)), fields=("label",))
     routed = relevance.route_candidates(narrow, relevance.pair_logits(scored))
     return routed.select("id", "pos", "bucket")
 
 
 @query
 def route_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    candidates = _flat(derived.packages(spark, sf)).select(*relevance.PAIR_KEYS, "label")
+    candidates = parsing.explode_candidates(derived.packages(spark, sf, ("label",)), fields=("label",))
     routed = relevance.route_candidates(candidates, derived.logits(spark, sf), keep_unlabelled=True)
     return _rounded(routed.drop("choice_index"))
 
@@ -434,7 +434,7 @@ def filtered_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def filter_summary(spark: SparkSession, sf: str) -> DataFrame:
-    candidates = _flat(derived.packages(spark, sf)).select(*relevance.PAIR_KEYS, "label")
+    candidates = parsing.explode_candidates(derived.packages(spark, sf, ("label",)), fields=("label",))
     return relevance.filter_summary(relevance.route_candidates(candidates, derived.logits(spark, sf)))
 
 
@@ -446,9 +446,14 @@ def check_counts(spark: SparkSession, sf: str) -> DataFrame:
     return contract.check_counts(derived.packages(spark, sf, ("id", "label"))).drop("choice_index")
 
 
+def _worded(spark: SparkSession, sf: str) -> DataFrame:
+    fields = ("label", "passage")
+    return parsing.explode_candidates(derived.packages(spark, sf, fields), fields=fields)
+
+
 @query
 def check_word_length(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.check_word_length(derived.candidates(spark, sf)).drop("choice_index")
+    return contract.check_word_length(_worded(spark, sf)).drop("choice_index")
 
 
 @query
@@ -492,7 +497,7 @@ def check_doc_partition(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rule_violations(spark: SparkSession, sf: str) -> DataFrame:
-    checked = contract.check_word_length(derived.candidates(spark, sf)).withColumnRenamed("ok", "word_length")
+    checked = contract.check_word_length(_worded(spark, sf)).withColumnRenamed("ok", "word_length")
     return contract.violations(checked, "word_length")
 
 

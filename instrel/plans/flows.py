@@ -97,7 +97,7 @@ def analyse(package_text: DataFrame) -> dict[str, DataFrame]:
     """Reports on the packages of a text table, each lazy."""
     parsed = parsing.parse_items(package_text)
     packages = parsing.to_responses(parsing.strict_packages(parsed))
-    candidates = parsing.explode_candidates(packages)
+    candidates = parsing.explode_candidates(packages, fields=("label", "confidence"))
     return {
         "label_stats": distributions.label_stats(candidates),
         "responses_per_query": distributions.responses_per_query(packages),
@@ -110,7 +110,7 @@ def analyse(package_text: DataFrame) -> dict[str, DataFrame]:
 def filter_by_relevance(packages: DataFrame, logits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Kept passages and the summary of what was kept and discarded."""
     candidates = parsing.explode_candidates(packages, "query", "instruction")
-    narrow = candidates.select(*relevance.PAIR_KEYS, "label")
+    narrow = parsing.explode_candidates(packages, fields=("label",))
     return (
         relevance.filtered_passages(candidates, logits),
         relevance.filter_summary(relevance.route_candidates(narrow, logits)),
