@@ -134,7 +134,8 @@ def overall_stats(candidates: DataFrame) -> DataFrame:
 def label_stats(candidates: DataFrame) -> DataFrame:
     """Description per label class and of all scores, in one pass over the candidates."""
     counts = score_counts(candidates)
-    everything = counts.where(F.col("grp") == OVERALL).agg(F.sum("n")).scalar()
+    # A condition, not a filter: a filter would move below the shuffle and scan again.
+    everything = counts.agg(F.sum(F.when(F.col("grp") == OVERALL, F.col("n")))).scalar()
     stats = describe_scores(ranked_scores(counts))
     return stats.withColumn("percentage", F.col("count") / everything * 100)
 
