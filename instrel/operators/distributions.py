@@ -11,6 +11,7 @@ a range starts from the counts of the ranges before it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +22,7 @@ from instrel.functions.once import with_once
 from instrel.functions.scores import is_score, label_class
 
 OVERALL = "overall"
-RANGES = 64
+MOST_RANGES_SIDE = 32
 
 
 def score_counts(candidates: DataFrame, overall: bool = True, by_label: bool = True) -> DataFrame:
@@ -35,24 +36,45 @@ def score_counts(candidates: DataFrame, overall: bool = True, by_label: bool = T
     return scored.groupBy("grp", "score").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ranked_scores(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """Add to (grp, score, n): ``cum``, the count of scores up to this one, and the
-    group's ``total`` count and ``mean``.
+def _range_side(counts: DataFrame) -> int:
+    """Side k of k*k ranges: about as many ranges as shuffle partitions, at least 64."""
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_RANGES_SIDE, max(8, math.isqrt(partitions)))
 
-    There are at most three groups and ``ranges`` ranges, which bounds the table
-    of range totals that is broadcast.
-    """
+
+def _with_range(counts: DataFrame, side: int) -> DataFrame:
+    """Add ``rng``, the number of cuts below the score: first among every ``side``-th cut, then between two."""
+    ranges = side * side
+    shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
     # The sum keeps the counts in, so that this reads the same shuffle as the rest.
     cuts = counts.agg(
         F.struct(
-            F.percentile_approx("score", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("at"),
+            F.expr(f"percentile_approx(score, array({shares}), {100 * ranges})").alias("at"),
             F.sum("n").alias("n"),
         )
     ).scalar()
-    # Kept as a column of its own, or the join below would test it on the raw rows.
-    ranged = with_once(
-        counts.withColumn("cuts", cuts), rng=F.size(F.filter("cuts.at", lambda cut: cut < F.col("score")))
-    ).drop("cuts")
+    steps = F.sequence(F.lit(1), F.lit(side - 1))
+
+    def below(before: Column | int, step: int) -> Column:
+        return F.size(
+            F.filter(steps, lambda j: F.get("cuts.at", j * step + before - 1) < F.col("score"))
+        )
+
+    # Kept as columns of their own, or the join on them would be tested on the raw rows.
+    coarse = with_once(counts.withColumn("cuts", cuts), coarse=below(0, side))
+    first = F.col("coarse") * side
+    return with_once(coarse, rng=first + below(first, 1)).drop("cuts", "coarse")
+
+
+def ranked_scores(counts: DataFrame, side: int | None = None) -> DataFrame:
+    """Add to (grp, score, n): ``cum``, the count of scores up to this one, and the
+    group's ``total`` count and ``mean``.
+
+    The scores are cut into ``side`` * ``side`` ranges. There are at most three
+    groups and ``MOST_RANGES_SIDE`` squared ranges, which bounds the table of
+    range totals that is broadcast.
+    """
+    ranged = _with_range(counts, side or _range_side(counts))
     group = Window.partitionBy("grp")
     earlier = group.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
     totals = (

@@ -2,7 +2,9 @@
 
 Requests have one row per ``request_id``; a request may have any number of
 completions. Rules that hold for a whole request come from a pre-aggregated
-list of broken ids, so no request's completions have to meet in one task.
+list of broken ids, so no request's completions have to meet in one task, and the
+joins are of kinds whose completion side may be split where one request has very
+many.
 """
 
 from __future__ import annotations
@@ -46,11 +48,12 @@ def _read_instruction(completions: DataFrame) -> DataFrame:
     )
 
 
-def _answered(requests: DataFrame, completions: DataFrame) -> DataFrame:
-    """Instruction requests with their first choice; without one, reason ``no_completion``."""
-    joined = requests.join(_read_instruction(completions), "request_id", "left")
-    return joined.withColumn(
-        "reason", F.when(F.col("choice_index").isNull(), "no_completion").otherwise(F.col("reason"))
+def _silent(requests: DataFrame, completions: DataFrame, stage: str) -> DataFrame:
+    """Rejects for requests that got no completion. Reads ids only."""
+    unanswered = requests.join(completions.select("request_id").distinct(), "request_id", "left_anti")
+    return _rejects(
+        unanswered.withColumn("choice_index", F.lit(None).cast("int")), stage,
+        F.lit("no_completion"), F.lit(None).cast("string"),
     )
 
 
@@ -61,10 +64,11 @@ def intake_instruction(requests: DataFrame, completions: DataFrame) -> DataFrame
 
 
 def instruction_rejects(requests: DataFrame, completions: DataFrame) -> DataFrame:
-    bad = _answered(requests.select("request_id", "id"), completions)
-    return _rejects(
-        bad.where(F.col("reason").isNotNull()), INSTRUCTION_STAGE, F.col("reason"), F.col("content")
-    )
+    """First choices without a usable instruction, and requests without a first choice."""
+    wanted = requests.select("request_id", "id")
+    bad = wanted.join(_read_instruction(completions).where(F.col("reason").isNotNull()), "request_id")
+    silent = _silent(wanted, completions.where(F.col("choice_index") == 0), INSTRUCTION_STAGE)
+    return _rejects(bad, INSTRUCTION_STAGE, F.col("reason"), F.col("content")).unionByName(silent)
 
 
 def read_passage_choices(completions: DataFrame) -> DataFrame:
@@ -112,17 +116,14 @@ def passage_rejects(
 ) -> DataFrame:
     """Choices not taken in, and requests without any completion."""
     choices = read_passage_choices(completions)
-    reason = F.col("reason")
     if on_bad == "lose_row":
         broken = broken_requests(choices).withColumn("broken", F.lit(True))
-        choices = choices.join(broken, "request_id", "left")
-        reason = F.coalesce(reason, F.when(F.col("broken"), "row_lost"))
-    answered = requests.select("request_id", "id").join(choices, "request_id", "left")
-    answered = answered.withColumn(
-        "reason", F.when(F.col("choice_index").isNull(), "no_completion").otherwise(reason)
-    )
-    return _rejects(
-        answered.where(F.col("reason").isNotNull()), PASSAGE_STAGE, F.col("reason"), F.col("content")
+        lost = F.when(F.col("broken"), "row_lost")
+        choices = choices.join(broken, "request_id", "left").withColumn("reason", F.coalesce("reason", lost))
+    wanted = requests.select("request_id", "id")
+    bad = wanted.join(choices.where(F.col("reason").isNotNull()), "request_id")
+    return _rejects(bad, PASSAGE_STAGE, F.col("reason"), F.col("content")).unionByName(
+        _silent(wanted, completions, PASSAGE_STAGE)
     )
 
 
