@@ -16,7 +16,7 @@ from instrel.session import local_session
 
 HEADLINE = [
     "label_confidence_stats", "confidence_ecdf", "confidence_histogram", "query_level_distribution",
-    "filter_responses", "bottom_negatives_ranked", "candidates", "confidence_probe",
+    "filter_responses", "bottom_negatives", "candidates", "confidence_probe",
     "instruction_prompts", "instruction_intake", "passage_intake", "packages", "yield_audit",
     "pending_rows", "relevance_pairs", "filtered_passages", "check_word_length", "check_answer_leak",
     "variant_coverage", "training_pairs",

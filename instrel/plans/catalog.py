@@ -28,10 +28,19 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
+    """Register a query under its function's name, or under one given as ``named``."""
     _QUERIES[build.__name__] = build
     return build
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    def register(build: Query) -> Query:
+        _QUERIES[name] = build
+        return build
+
+    return register
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -144,7 +153,7 @@ def passage_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return requests.render_passage_prompt(instructed, PROMPTS.passage_template).select("id", "prompt")
 
 
-@query
+@named("requests")
 def build_requests(spark: SparkSession, sf: str) -> DataFrame:
     built = flows.instruction_requests(derived.conversation_qa(spark, sf), PROMPTS)
 
@@ -256,7 +265,7 @@ def parse_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return parsing.parse_rejects(parsed).select("id", "reason")
 
 
-@query
+@named("label_class")
 def label_class_counts(spark: SparkSession, sf: str) -> DataFrame:
     classed = derived.scores(spark, sf).select("label", label_class(F.col("label")).alias("label_class"))
     return classed.groupBy("label", "label_class").agg(F.count(F.lit(1)).alias("n"))
@@ -332,7 +341,7 @@ def _full(spark: SparkSession, sf: str) -> DataFrame:
     return derived.packages(spark, sf, ("id", "label", "passage", "confidence"))
 
 
-@query
+@named("top_positive")
 def best_passage(spark: SparkSession, sf: str) -> DataFrame:
     picked = selecting.select_responses(_full(spark, sf))
     return picked.select(
@@ -342,13 +351,13 @@ def best_passage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
+@named("top_positive_labelled")
 def best_labelled_passage(spark: SparkSession, sf: str) -> DataFrame:
     picked = selecting.ranked_positions(derived.packages(spark, sf, SCORED), respect_label=True)
     return picked.select("id", "top.pos", "top.confidence")
 
 
-@query
+@named("bottom_negatives")
 def bottom_negatives_ranked(spark: SparkSession, sf: str) -> DataFrame:
     chosen = selecting.select_responses(_full(spark, sf))
     picked = chosen.select("id", F.posexplode("bottom_negatives").alias("rank", "b"))

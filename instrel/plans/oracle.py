@@ -231,7 +231,7 @@ ORACLE: dict[str, str] = {
     "passage_prompts": f"""with {_BASE} select id,
         {_filled(PROMPTS.passage_template, Query="query", Instruction="instruction", SourceChunks="''")} as prompt
         from base""",
-    "build_requests": f"""with {_CONV} select 'instruction:' || cast(id as varchar) as request_id,
+    "requests": f"""with {_CONV} select 'instruction:' || cast(id as varchar) as request_id,
         {_quote(PROMPTS.model)} as model, 'json_object' as format, 'user' as first_role,
         {_filled(PROMPTS.instruction_template, Question="question", Response="answer",
                  OtherDocs="''", STYLE=_STYLE, LENGTH=_LENGTH)} as first_content,
@@ -263,7 +263,7 @@ ORACLE: dict[str, str] = {
         from passages p join fate f using (id) where f.sound or f.mixed""",
     "parse_rejects": f"""with {_TEXT} select id, case when not sound then 'bad_package' else 'no_confidence' end as reason
         from fate where not sound or (id % 7 = 1 and parts > 1)""",
-    "label_class_counts": f"""with {_PASSAGES} select label, label_class, count(*) as n from scored
+    "label_class": f"""with {_PASSAGES} select label, label_class, count(*) as n from scored
         group by label, label_class""",
     "overall_confidence_stats": f"with {_PASSAGES} select {_FIRST_STATS} from scored",
     "label_confidence_stats": f"""with {_GROUPED}, basic as (
@@ -302,14 +302,14 @@ ORACLE: dict[str, str] = {
         count(*) over (partition by label_class, x) as n,
         round(count(*) over (partition by label_class order by x)
           / count(*) over (partition by label_class), 6) as share from grouped""",
-    "best_passage": f"""with {_SELECTED} select b.id, h.pos, cast(h.confidence as double) as confidence, h.label, h.passage
+    "top_positive": f"""with {_SELECTED} select b.id, h.pos, cast(h.confidence as double) as confidence, h.label, h.passage
         from base b left join high h on h.id = b.id and h.r = 1""",
-    "best_labelled_passage": f"""with {_SELECTED}, labelled as (
+    "top_positive_labelled": f"""with {_SELECTED}, labelled as (
           select *, row_number() over (partition by id order by confidence desc, pos) as k
           from high where label = 'positive'
         ) select b.id, h.pos, cast(h.confidence as double) as confidence
         from base b left join labelled h on h.id = b.id and h.k = 1""",
-    "bottom_negatives_ranked": f"""with {_SELECTED} select id, cast(rank as int) as rank, pos,
+    "bottom_negatives": f"""with {_SELECTED} select id, cast(rank as int) as rank, pos,
         cast(confidence as double) as confidence, passage from low where rank < 3""",
     "filter_responses": f"""with {_SELECTED} select id, query, top_pos, bottom_pos,
         cast(parts as int) as passages from chosen""",

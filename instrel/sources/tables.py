@@ -6,6 +6,8 @@ files, convert it once with ``csv_to_parquet`` and work on Parquet from there.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,12 +68,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.options(header="true", quote='"', escape='"', quoteAll="true").mode("overwrite").csv(path)
 
 
-def append_packages(df: DataFrame, path: str, max_rows_per_file: int = 0) -> dict[str, int]:
-    """Append rows to a Parquet table and return how many were written."""
+def append_packages(df: DataFrame, path: str, max_rows_per_file: int = 0) -> dict[str, float]:
+    """Append rows to a Parquet table; returns rows written, seconds and rows per second."""
+    start = time.monotonic()
     progress = Observation("append_packages")
     observed = df.observe(progress, F.count(F.lit(1)).alias("rows"))
     observed.write.option("maxRecordsPerFile", max_rows_per_file).mode("append").parquet(path)
-    return progress.get
+    rows, seconds = progress.get["rows"], time.monotonic() - start
+    return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds if seconds else 0.0}
 
 
 def write_filtered(df: DataFrame, path: str) -> None:

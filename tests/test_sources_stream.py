@@ -55,7 +55,8 @@ def test_package_csv_with_other_width_is_refused(spark, folder):
 
 def test_append_and_replace(spark, folder):
     packages = package_frame(spark, [("positive", 0.5)], [])
-    assert tables.append_packages(packages, f"{folder}/t") == {"rows": 2}
+    progress = tables.append_packages(packages, f"{folder}/t")
+    assert progress["rows"] == 2 and progress["rows_per_second"] > 0
     tables.append_packages(packages, f"{folder}/t")
     assert tables.read_package_parquet(spark, f"{folder}/t").count() == 4
     tables.write_filtered(packages, f"{folder}/f")
