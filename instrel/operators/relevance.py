@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instrel.constants import SCORER_TEMPLATE
+from instrel.constants import NEGATIVE, POSITIVE, SCORER_TEMPLATE
 from instrel.functions.verdicts import relevance_verdict, routing_bucket
 
 PAIR_KEYS = ["id", "choice_index", "pos"]
@@ -91,11 +91,13 @@ def verdicts(logits: DataFrame) -> DataFrame:
 def route_candidates(candidates: DataFrame, logits: DataFrame, keep_unlabelled: bool = False) -> DataFrame:
     """Candidates with both verdicts and the bucket they fall into.
 
-    The join key names one candidate, so no key can be heavy.
+    A candidate with any other label than the two is left out, before the join, unless
+    ``keep_unlabelled`` is set. The join key names one candidate, so no key can be heavy.
     """
+    if not keep_unlabelled:
+        candidates = candidates.where(F.col("label").isin(POSITIVE, NEGATIVE))
     bucket = routing_bucket(F.col("label"), F.col("query_relevant"), F.col("instruction_relevant"))
-    routed = candidates.join(verdicts(logits), PAIR_KEYS).withColumn("bucket", bucket)
-    return routed if keep_unlabelled else routed.where(F.col("bucket") != "unlabelled")
+    return candidates.join(verdicts(logits), PAIR_KEYS).withColumn("bucket", bucket)
 
 
 def filtered_passages(candidates: DataFrame, logits: DataFrame) -> DataFrame:

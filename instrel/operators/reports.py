@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from instrel.constants import LENGTHS, NEGATIVE, POSITIVE, STYLES
@@ -78,6 +78,12 @@ def dataset_counts(packages: DataFrame) -> DataFrame:
     return per_input.agg(F.count(F.lit(1)).alias("entries"), *sums)
 
 
+def _positions(label: str) -> Column:
+    """Positions of the passages with this label."""
+    marked = F.transform("responses.label", lambda given, i: F.when(given == label, i))
+    return F.filter(marked, lambda i: i.isNotNull())
+
+
 def training_pairs(packages: DataFrame) -> DataFrame:
     """(query with instruction, positive, negative) rows.
 
@@ -88,16 +94,13 @@ def training_pairs(packages: DataFrame) -> DataFrame:
     read = with_once(
         packages.select("id", "choice_index", "query", "instruction", "responses"),
         r=members("responses", "label", "passage", "neg_type"),
-    ).select("id", "choice_index", combine_query(F.col("query"), F.col("instruction")).alias("query"), "r")
-    split = with_once(
-        read,
-        p=F.filter("r", lambda r: r["label"] == POSITIVE),
-        n=F.filter("r", lambda r: r["label"] == NEGATIVE),
+        p=_positions(POSITIVE), n=_positions(NEGATIVE),
     ).where((F.size("p") > 0) & (F.size("n") > 0))
     rows = F.sequence(F.lit(0), F.greatest(F.size("p"), F.size("n")) - 1)
 
-    def pair(i):
-        positive, negative = F.get("p", i % F.size("p")), F.get("n", i % F.size("n"))
+    def pair(i: Column) -> Column:
+        positive = F.get("r", F.get("p", i % F.size("p")))
+        negative = F.get("r", F.get("n", i % F.size("n")))
         return F.struct(
             i.alias("row"),
             positive["passage"].alias("positive"),
@@ -105,4 +108,5 @@ def training_pairs(packages: DataFrame) -> DataFrame:
             negative["neg_type"].alias("neg_type"),
         )
 
-    return split.select("id", "choice_index", "query", F.inline(F.transform(rows, pair)))
+    query = combine_query(F.col("query"), F.col("instruction")).alias("query")
+    return read.select("id", "choice_index", query, F.inline(F.transform(rows, pair)))

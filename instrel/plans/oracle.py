@@ -198,13 +198,6 @@ def _normalised(column: str) -> str:
     return _ANSWER.replace("text", column)
 
 
-def _grams(column: str) -> str:
-    return (
-        f"list_distinct(list_transform(range(1, len({column}) - 1), "
-        f"lambda i: array_to_string({column}[i : i + 2], ' ')))"
-    )
-
-
 ORACLE: dict[str, str] = {
     "limit_rows": f"with {_CONV} select id, question, answer from qa order by id limit 20",
     "pending_rows": f"""with {_QA} select id, question, answer from qa
@@ -367,11 +360,20 @@ ORACLE: dict[str, str] = {
           select id, {_normalised("text")} as answer, {_normalised("instruction")} as said from base
         ), worded as (
           select id, answer, said, string_split(answer, ' ') as aw, string_split(said, ' ') as sw from said
+        ), words as (
+          select id, 'a' as side, unnest(aw) as w, generate_subscripts(aw, 1) as i from worded
+          union all select id, 's', unnest(sw), generate_subscripts(sw, 1) from worded
         ), grams as (
-          select id, answer, said, {_grams("aw")} as ag, {_grams("sw")} as sg from worded
+          select distinct id, side, gram from (
+            select id, side, w || ' ' || lead(w) over t || ' ' || lead(w, 2) over t as gram
+            from words window t as (partition by id, side order by i))
+          where gram is not null
+        ), shares as (
+          select a.id, count(s.id) / count(*) as share from grams a
+          left join grams s on s.id = a.id and s.gram = a.gram and s.side = 's' where a.side = 'a' group by a.id
         ), measured as (
-          select id, answer <> '' and contains(said, answer) as verbatim,
-            case when len(ag) = 0 then 0.0 else round(len(list_intersect(ag, sg)) / len(ag), 6) end as overlap from grams
+          select w.id, answer <> '' and contains(said, answer) as verbatim, round(coalesce(share, 0.0), 6) as overlap
+          from worded w left join shares on shares.id = w.id
         ) select *, verbatim or overlap >= 0.5 as leaks from measured""",
     "check_variant_echo": f"""with {_INSTRUCTED}, echoed as (
           select id, style, length, case when id % 10 = 3 then 'other' when id % 10 <> 6 then style end as echo_style,

@@ -129,3 +129,28 @@ def test_run_metrics(spark, qa):
     packages = spark.createDataFrame([(1,), (1,), (4,)], "id bigint")
     assert tuple(incremental.run_metrics(qa, packages).first()) == (5, 5, 3, 3)
     assert tuple(incremental.run_metrics(qa, packages, 2).first()) == (5, 2, 2, 1)
+
+
+def test_one_request_with_a_third_of_all_completions(spark):
+    requests_, others, heavy = spark.range(201).selectExpr("id"), 200, 100
+    asked = flows.with_request_id(requests_, "passages")
+    rows = [(f"passages:{i}", 0, GOOD) for i in range(1, others + 1)]
+    rows += [("passages:0", c, GOOD) for c in range(heavy)]
+    kept = intake.intake_passages(asked, completions(spark, *rows))
+    assert kept.count() == others + heavy and kept.where("id = 0").count() == heavy
+    broken = completions(spark, *rows, ("passages:0", heavy, '{"examples":0}'))
+    assert intake.intake_passages(asked, broken).count() == others
+    reasons = intake.passage_rejects(asked, broken).groupBy("reason").count().collect()
+    assert {r["reason"]: r["count"] for r in reasons} == {"row_lost": heavy, "no_examples": 1}
+
+
+def test_skew_does_not_need_broadcast(spark, answered):
+    """The same results with sort-merge joins, as for tables too large to broadcast."""
+    expected = sorted(map(str, intake.passage_rejects(*answered).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = intake.passage_rejects(*answered)
+        assert sorted(map(str, frame.collect())) == expected
+        assert [(r["id"], r["choice_index"]) for r in intake.intake_passages(*answered).collect()] == [(1, 0)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
