@@ -79,8 +79,8 @@ def dataset_counts(packages: DataFrame) -> DataFrame:
 
 
 def _positions(label: str) -> Column:
-    """Positions of the passages with this label."""
-    marked = F.transform("responses.label", lambda given, i: F.when(given == label, i))
+    """Positions in ``r`` of the passages with this label."""
+    marked = F.transform("r.label", lambda given, i: F.when(given == label, i))
     return F.filter(marked, lambda i: i.isNotNull())
 
 
@@ -94,8 +94,8 @@ def training_pairs(packages: DataFrame) -> DataFrame:
     read = with_once(
         packages.select("id", "choice_index", "query", "instruction", "responses"),
         r=members("responses", "label", "passage", "neg_type"),
-        p=_positions(POSITIVE), n=_positions(NEGATIVE),
-    ).where((F.size("p") > 0) & (F.size("n") > 0))
+    ).drop("responses")
+    read = with_once(read, p=_positions(POSITIVE), n=_positions(NEGATIVE)).where((F.size("p") > 0) & (F.size("n") > 0))
     rows = F.sequence(F.lit(0), F.greatest(F.size("p"), F.size("n")) - 1)
 
     def pair(i: Column) -> Column:
