@@ -4,7 +4,25 @@ _HOST = r"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')
 _PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 _QUERY = r"coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*(.*)$', 1), '')"
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE = {
+    "op10_decontamination": rf"""
+with docs as (select doc_id, {_WORDS} as w from documents),
+items as (select item_id, {_WORDS} as w from benchmark),
+parts as (select item_id, w, least(len(w), 10) as n from items where len(w) > 0),
+windows as (select distinct item_id, n, array_to_string(w[s:s + n - 1], ' ') as gram
+  from (select *, unnest(range(1, len(w) - n + 2)) as s from parts)),
+spots as (select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') as gram from (
+  select doc_id, n, w, unnest(range(1, len(w) - n + 2)) as s from docs, (select distinct n from windows) where len(w) >= n)),
+hits as (select doc_id, item_id, spots.n, s from spots join windows on spots.n = windows.n and spots.gram = windows.gram),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from hits) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as listed
+  from (select distinct doc_id, cast(item_id as varchar) as item_id from hits) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, n_hit is not null as contaminated
+from docs left join words using (doc_id) left join named using (doc_id)""",
     "op6_url_filters": rf"""
 with parts as (select page_id, {_HOST} as host, {_PATH} as path, {_QUERY} as query from pages),
 sites as (select page_id, host, path, case

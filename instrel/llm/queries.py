@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from instrel.llm import op01_sharding, op03_quality, op06_url_filters
+from instrel.llm import op01_sharding, op03_quality, op05_simhash, op06_url_filters
+from instrel.llm import op10_decontamination as decontamination
 from instrel.llm.common import table
 
 SHARDS = 24
@@ -24,6 +26,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_quality.score_quality(docs, model)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return op05_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 #: Site rules come first; the patterns behind them tell listing, account and file urls from texts.
 URL_RULES = [
     op06_url_filters.site_rule("net", "/", "block"),
@@ -44,9 +51,19 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_url_filters.judge_with_sites(table(spark, sf_dir, "pages"), URL_RULES, URL_PATTERNS)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op3_quality": op3_quality,
+        "op5_simhash": op5_simhash,
         "op6_url_filters": op6_url_filters,
+        "op10_decontamination": op10_decontamination,
     }
