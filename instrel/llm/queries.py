@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instrel.llm import op01_sharding, op03_quality, op05_simhash, op06_url_filters
+from instrel.llm import op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm.common import table
 
@@ -51,6 +52,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_url_filters.judge_with_sites(table(spark, sf_dir, "pages"), URL_RULES, URL_PATTERNS)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return op09_secrets.digest(op09_secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -65,5 +71,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op5_simhash": op5_simhash,
         "op6_url_filters": op6_url_filters,
+        "op9_secrets": op9_secrets,
         "op10_decontamination": op10_decontamination,
     }
