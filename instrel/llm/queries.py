@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instrel.llm import op01_sharding, op03_quality, op05_simhash, op06_url_filters
-from instrel.llm import op09_secrets
+from instrel.llm import op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm.common import table
 
 SHARDS = 24
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +54,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_url_filters.judge_with_sites(table(spark, sf_dir, "pages"), URL_RULES, URL_PATTERNS)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, decoded again."""
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = op08_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return op08_bpe.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return op09_secrets.digest(op09_secrets.scan(table(spark, sf_dir, "documents")))
@@ -71,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op5_simhash": op5_simhash,
         "op6_url_filters": op6_url_filters,
+        "op8_bpe": op8_bpe,
         "op9_secrets": op9_secrets,
         "op10_decontamination": op10_decontamination,
     }
