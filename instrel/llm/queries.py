@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from instrel.llm import op01_sharding, op03_quality, op05_simhash, op06_url_filters
+from instrel.llm import op01_sharding, op03_quality, op04_toxicity, op05_simhash, op06_url_filters
 from instrel.llm import op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm.common import table
@@ -29,6 +29,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_quality.score_quality(docs, model)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return op04_toxicity.score_toxicity(docs, op04_toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return op05_simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -79,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op3_quality": op3_quality,
+        "op4_toxicity": op4_toxicity,
         "op5_simhash": op5_simhash,
         "op6_url_filters": op6_url_filters,
         "op8_bpe": op8_bpe,
