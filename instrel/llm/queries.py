@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from instrel.llm import op01_sharding, op03_quality, op04_toxicity, op05_simhash, op06_url_filters
+from instrel.llm import op01_sharding, op02_context_tree, op03_quality, op04_toxicity, op05_simhash, op06_url_filters
 from instrel.llm import op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm.common import table
@@ -22,6 +22,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op01_sharding.shard_documents(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a context-tree model of those not held out."""
+    return op02_context_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -84,6 +89,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_context_tree": op2_context_tree,
         "op3_quality": op3_quality,
         "op4_toxicity": op4_toxicity,
         "op5_simhash": op5_simhash,
