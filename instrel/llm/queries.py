@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instrel.llm import op01_sharding, op02_context_tree, op03_quality, op04_toxicity, op05_simhash, op06_url_filters
-from instrel.llm import op08_bpe, op09_secrets
+from instrel.llm import op07_cross_polytope, op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm.common import table
 
@@ -65,6 +65,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_url_filters.judge_with_sites(table(spark, sf_dir, "pages"), URL_RULES, URL_PATTERNS)
 
 
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    return op07_cross_polytope.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, decoded again."""
     path = public_tokenizers.path(TOKENIZER)
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_simhash": op5_simhash,
         "op6_url_filters": op6_url_filters,
+        "op7_cross_polytope": op7_cross_polytope,
         "op8_bpe": op8_bpe,
         "op9_secrets": op9_secrets,
         "op10_decontamination": op10_decontamination,
