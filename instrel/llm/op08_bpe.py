@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,10 @@ from xxhash import xxh64
 
 from instrel.llm.common import sized_batches
 
-#: Bytes of text in a block, about: memory of a task against rows sent.
-BLOCK = 8 << 20
+#: Bytes of text in a block, at most by about a batch: memory of a task against rows sent.
+BLOCK = 32 << 20
+#: Words whose ids a task packs together on their way back.
+PACKED = 500_000
 
 
 @cache
@@ -88,19 +92,105 @@ class _Numbers(dict):
         return number
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, text_at: str) -> Iterator[tuple[str, pa.RecordBatch, _Numbers, list[np.ndarray]]]:
-    """Name, rows, words and word numbers of each row, block by block; the name holds a checksum of the texts."""
+class _Pieces(dict):
+    """Numbers of pieces of text that follow a blank; ``texts`` holds all pieces as they stand in the text."""
+
+    def __init__(self):
+        super().__init__()
+        self.texts: list[str] = []
+        self.leading: dict[str, int] = {}
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self.texts)
+        self.texts.append(" " + piece)
+        return number
+
+    def first(self, piece: str) -> int:
+        """Number of a piece that no blank precedes."""
+        if piece not in self.leading:
+            self.leading[piece] = len(self.texts)
+            self.texts.append(piece)
+        return self.leading[piece]
+
+
+# A blank between two characters that are no white space; the library's white space includes the pattern's.
+_ALONE = re.compile(r"(?<=\S) (?=\S)")
+_OTHER = re.compile(r"[^\S \n]")
+
+
+def pieces_of(text: str) -> list[str]:
+    """The text cut at each blank that stands between two characters that are no white space."""
+    plain = not ("  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _OTHER.search(text))
+    return text.split(" ") if plain else _ALONE.split(text)
+
+
+def ragged(numbers: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` with these numbers, one after the other; run k has ``lengths[k]`` values."""
+    starts = np.cumsum(lengths) - lengths
+    each = lengths[numbers]
+    ends = np.cumsum(each)
+    shift = (starts[numbers] - (ends - each)).astype(np.int32)
+    places = np.repeat(shift, each)
+    places += np.arange(len(places), dtype=np.int32)
+    return flat[places]
+
+
+class Block(NamedTuple):
+    """Texts of one task that share a dictionary."""
+
+    name: int
+    ids: list[pa.Array]
+    words: list[str]
+    sizes: np.ndarray
+    numbers: np.ndarray
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parted: bool) -> Iterator[Block]:
+    """Blocks of rows ``doc_id, text`` in order. Words are numbered from the most frequent in the block, ties as first met.
+
+    The name is a checksum of the texts, so that a text that reads differently another time is found out.
+    """
     cut = regex.compile(pattern).findall
     task = TaskContext.get()
-    for nr, batch in enumerate(sized_batches(batches, BLOCK)):
-        numbers, rows, sums = _Numbers(), [], xxh64()
-        number = numbers.__getitem__
-        for text in batch.column(text_at).to_pylist():
+    nr, held = 0, 0
+    pieces, rows, ids, sums = _Pieces(), [], [], xxh64()
+
+    def close() -> Block:
+        known = _Numbers()
+        number = known.__getitem__
+        found = [cut(text) for text in pieces.texts]
+        lengths = np.array([len(words) for words in found], dtype=np.int64)
+        flat = np.fromiter((number(w) for words in found for w in words), dtype=np.uint32, count=int(lengths.sum()))
+        parts = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
+        numbers = ragged(parts, flat, lengths)
+        ends = np.concatenate(([0], np.cumsum(lengths[parts])))[np.cumsum([0, *map(len, rows)])]
+        order = np.argsort(-np.bincount(numbers, minlength=len(known)), kind="stable")
+        ranks = np.empty(len(known), dtype=np.uint32)
+        ranks[order] = np.arange(len(known), dtype=np.uint32)
+        words = list(known)
+        sums.update(f"{task.partitionId() if task else 0} {nr}")
+        return Block(sums.intdigest() >> 1, ids, [words[i] for i in order.tolist()], np.diff(ends), ranks[numbers])
+
+    for batch in sized_batches(batches, BLOCK // 8):
+        for text in batch.column("text").to_pylist():
             text = text or ""
             sums.update(text)
-            words = cut(text)
-            rows.append(np.fromiter(map(number, words), dtype=np.uint32, count=len(words)))
-        yield f"{task.partitionId() if task else 0}-{nr}-{sums.hexdigest()}", batch, numbers, rows
+            if not parted:
+                rows.append(np.array([pieces.first(text)], dtype=np.uint32))
+                continue
+            first, *rest = pieces_of(text)
+            row = np.empty(len(rest) + 1, dtype=np.uint32)
+            row[0] = pieces.first(first)
+            row[1:] = list(map(pieces.__getitem__, rest))
+            rows.append(row)
+        ids.append(batch.column("doc_id"))
+        held += batch.nbytes
+        if held >= BLOCK:
+            yield close()
+            nr, held = nr + 1, 0
+            pieces, rows, ids, sums = _Pieces(), [], [], xxh64()
+    if rows:
+        yield close()
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -112,66 +202,95 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, parted: bool = False, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """``doc_id, ids``: the token ids of every row's whole text, without special tokens.
 
-    A null or empty text has no ids. Repeated rows and null ids are rows like any other. ``docs`` is read twice and has to give
+    ``parted`` says that a blank between two characters that are no white space always begins a match of the pattern, so that
+    texts may be cut there and each distinct piece of a block matched once. A null or empty text has no ids. Repeated rows and
+    null ids are rows like any other. ``docs`` is read twice and has to give
     the same rows in the same splits both times, as a stored table does; a block that differs stops the job.
     """
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(ranks(path))  # the rank file's size
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    narrow = "<u2" if max(table.value.values(), default=0) < 1 << 16 else "<u4"
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, numbers, _ in _blocks(batches, pattern, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(numbers), pa.string()), pa.array(np.arange(len(numbers), dtype=np.int32)),
-                 pa.array(list(numbers), pa.string())], ["block", "nr", "word"])
+        for block in _blocks(batches, pattern, parted):
+            for start in range(0, len(block.words), 50_000):
+                some = block.words[start:start + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), block.name)), pa.array(np.arange(start, start + len(some), dtype=np.int32)),
+                     pa.array(some, pa.string())], ["block", "nr", "word"])
 
     def numbers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, batch, _, found in _blocks(batches, pattern, "text"):
-            sizes = np.array([len(x) for x in found], dtype=np.int64)
-            packed = _packed(np.concatenate(found)) if len(found) else b""
-            kept = pa.array([packed] + [None] * (len(found) - 1), pa.binary())
+        for block in _blocks(batches, pattern, parted):
+            n = len(block.sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(found), pa.string()), pa.array(np.arange(len(found), dtype=np.int32)), batch.column("doc_id"),
-                 pa.array(sizes), kept], ["block", "place", "doc_id", "words", "numbers"])
+                [pa.array(np.full(n, block.name)), pa.array(np.arange(n, dtype=np.int32)), pa.concat_arrays(block.ids),
+                 pa.array(block.sizes), pa.array([_packed(block.numbers)] + [None] * (n - 1), pa.binary())],
+                ["block", "place", "doc_id", "words", "numbers"])
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by word. What goes back to a block is packed: numbers of words, how many ids each has, the ids."""
         rank, last, coded = table.value, None, b""
+        blocks, nrs, codes = [], [], []
+
+        def flush() -> pa.RecordBatch:
+            names = np.concatenate(blocks)
+            order = np.argsort(names, kind="stable")
+            names, numbers = names[order], np.concatenate(nrs)[order]
+            bounds = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+            packed = []
+            for a, b in zip(bounds, [*bounds[1:], len(names)], strict=True):
+                some = [codes[i] for i in order[a:b].tolist()]
+                packed.append((_packed(numbers[a:b]), _packed(np.array([len(c) for c in some])), zstandard.compress(b"".join(some), 3)))
+            blocks.clear(), nrs.clear(), codes.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names[bounds]), *(pa.array(list(x), pa.binary()) for x in zip(*packed, strict=True))], ["block", "nrs", "sizes", "ids"])
+
         for batch in batches:
-            out = []
             for word in batch.column("word").to_pylist():
-                if word != last:  # rows come sorted by word
-                    last, coded = word, np.array(encode_word(word.encode(), rank), dtype="<u4").tobytes()
-                out.append(coded)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("nr"), pa.array(out, pa.binary())], ["block", "nr", "coded"])
+                if word != last:
+                    last, coded = word, np.array(encode_word(word.encode(), rank), dtype=narrow).tobytes()
+                codes.append(coded)
+            blocks.append(batch.column("block").to_numpy())
+            nrs.append(batch.column("nr").to_numpy())
+            if len(codes) > PACKED:
+                yield flush()
+        if codes:
+            yield flush()
 
     def joined(documents: pa.Table, words: pa.Table) -> pa.Table:
         documents = documents.sort_by("place")
-        words = words.sort_by("nr")
-        nrs = words.column("nr").to_numpy()
         sizes = documents.column("words").to_numpy()
         blob = next((b for b in documents.column("numbers").to_pylist() if b is not None), None)
         numbers = _unpacked(blob) if blob and sizes.sum() else np.zeros(0, np.uint32)
+        parts = [list(map(read, words.column(c).to_pylist())) for c, read in (
+            ("nrs", _unpacked), ("sizes", _unpacked), ("ids", lambda x: np.frombuffer(zstandard.decompress(x), dtype=narrow)))]
+        nrs, lengths, pool = (np.concatenate(p) if p else np.zeros(0, np.uint32) for p in parts)
+        order = np.argsort(nrs)
+        lengths = lengths.astype(np.int64) // np.dtype(narrow).itemsize
         if len(nrs) != (int(numbers.max()) + 1 if len(numbers) else 0) or sizes.sum() != len(numbers):
             raise RuntimeError("the documents changed between two reads; store them first")
-        coded = words.column("coded").to_pylist()
-        lengths = np.array([len(c) >> 2 for c in coded], dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)
-        each = lengths[numbers]
-        ends = np.cumsum(each)
-        places = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - each - starts[numbers], each)
-        edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
-        ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(pool[places]))
+        pool, lengths = ragged(order, pool, lengths), lengths[order]
+        edges, lists = np.cumsum([0, *sizes]), []
+        # Some documents at a time: the indices are larger than the ids.
+        for start in range(0, len(sizes), 256):
+            end = min(start + 256, len(sizes))
+            some = numbers[edges[start]:edges[end]]
+            ends = np.concatenate(([0], np.cumsum(lengths[some])))[edges[start:end + 1] - edges[start]]
+            lists.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ragged(some, pool, lengths).astype(np.int32))))
+        ids = pa.chunked_array(lists, type=pa.list_(pa.int32()))
         return pa.table([documents.column("doc_id"), ids], names=["doc_id", "ids"])
 
-    words = rows.mapInArrow(words_of, "block string, nr int, word string")
+    words = rows.mapInArrow(words_of, "block bigint, nr int, word string")
     met = words.repartition("word").sortWithinPartitions("word")
-    ids = met.mapInArrow(ids_of, "block string, nr int, coded binary")
-    blocks = rows.mapInArrow(numbers_of, f"block string, place int, doc_id {kind}, words bigint, numbers binary")
+    ids = met.mapInArrow(ids_of, "block bigint, nrs binary, sizes binary, ids binary")
+    blocks = rows.mapInArrow(numbers_of, f"block bigint, place int, doc_id {kind}, words bigint, numbers binary")
     return blocks.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(joined, f"doc_id {kind}, ids array<int>")
 
 
@@ -182,7 +301,7 @@ def _digest(ids: np.ndarray) -> str:
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded``: the bytes that the ids stand for, with their number and digest.
+    """``doc_id, ids, n_tokens, ids_sha256, decoded``: the bytes that the ids stand for, with their number and digest.
 
     No or null ids give no bytes; an id that the table lacks stops the job.
     """
@@ -205,7 +324,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 digests.append(_digest(ids))
                 texts.append(b"".join(map(token, ids.tolist())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.binary())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded"])
+                [batch.column("doc_id"), batch.column("ids"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
+                 pa.array(texts, pa.binary())], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded"])
 
-    return rows.mapInArrow(each, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded binary")
+    return rows.mapInArrow(each, f"doc_id {kind}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded binary")

@@ -73,7 +73,7 @@ def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, decoded again."""
     path = public_tokenizers.path(TOKENIZER)
-    encoded = op08_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    encoded = op08_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, parted=True)
     return op08_bpe.decode(encoded, path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 

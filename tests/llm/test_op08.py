@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,14 +27,22 @@ def test_long_word():
     assert op.encode_word(word, op.ranks(PATH)) == LIBRARY._encode_single_piece(word)
 
 
-def test_documents(spark, monkeypatch):
-    monkeypatch.setattr(op, "BLOCK", 3000)
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aé1'.s \n\t\xa0\x1c\u2003\r", max_size=30))
+def test_pieces_match_alone(text):
+    cut = op.regex.compile(public_tokenizers.PATTERN).findall
+    first, *rest = op.pieces_of(text)
+    assert [w for p in [first, *(" " + x for x in rest)] for w in cut(p)] == cut(text)
+
+
+@pytest.mark.parametrize("parted", [False, True])
+def test_documents(spark, parted):
     rng = random.Random(2)
     bits = ["the", " ", "  ", "\n", "\n\n ", "Über", "don't", "12345", "漢字", "𝄞", "<|endoftext|>", "!!", "a" * 50, "\t", "é", "'s"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(200))) for _ in range(80)] + [None, "", "   ", "x" * 20000, "word " * 9000]
     rows = list(enumerate(texts)) + [(3, texts[3]), (None, "null id"), (2, texts[1])]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, ids string").repartition(3)
-    encoded = op.encode(frame, PATH, public_tokenizers.PATTERN).collect()
+    encoded = op.encode(frame, PATH, public_tokenizers.PATTERN, parted).collect()
     key = lambda x: (str(x[0]), list(x[1]))
     assert sorted(((r.doc_id, r.ids) for r in encoded), key=key) == sorted(((i, LIBRARY.encode_ordinary(t or "")) for i, t in rows), key=key)
     back = op.decode(spark.createDataFrame(encoded, "doc_id long, ids array<int>"), PATH).collect()
