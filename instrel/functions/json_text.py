@@ -2,7 +2,9 @@
 
 ``from_json`` stops at the end of the first value and ignores what follows. To
 accept a text only if all of it is one JSON value, it is parsed as the first
-element of an array that must hold exactly that value and an end mark.
+element of an array that must hold exactly that value and an end mark. A text
+that closes the array itself cannot supply the mark, since a text that holds the
+mark's name anywhere is not accepted. Of a repeated key the last value counts.
 """
 
 from __future__ import annotations
@@ -13,17 +15,32 @@ from pyspark.sql import functions as F
 from instrel.schemas import RAW_ITEMS
 
 STRICT = {"allowSingleQuotes": "false"}
+END = "end of text 5f0c2d81"
+_END_OBJECT = f'{{"{END}":"1"}}'
 
 
-def _whole(text: Column, element_type: str, end_mark: str) -> Column:
+def _whole(text: Column, element_type: str, end_mark: str, marked) -> Column:
     wrapped = F.concat(F.lit("["), text, F.lit(f",{end_mark}]"))
     parsed = F.from_json(wrapped, f"array<{element_type}>", STRICT)
-    return F.when(F.size(parsed) == 2, F.get(parsed, F.lit(0)))
+    ended = (F.size(parsed) == 2) & F.coalesce(marked(F.get(parsed, F.lit(1))), F.lit(False)) & ~F.contains(text, F.lit(END))
+    return F.when(ended, F.get(parsed, F.lit(0)))
+
+
+def last_wins(fields: Column) -> Column:
+    """The map with the last value of a key that was given several times."""
+    keys, values = F.reverse(F.map_keys(fields)), F.reverse(F.map_values(fields))
+    once = F.array_distinct(keys)
+    rebuilt = F.map_from_arrays(once, F.transform(once, lambda k: F.get(values, F.array_position(keys, k).cast("int") - 1)))
+    return F.when(F.size(once) < F.size(keys), rebuilt).otherwise(fields)
+
+
+def _has_end(fields: Column) -> Column:
+    return F.map_contains_key(fields, END)
 
 
 def json_value(text: Column) -> Column:
     """JSON text of the value if ``text`` is exactly one JSON value, else NULL."""
-    return _whole(text, "string", "{}")
+    return _whole(text, "string", _END_OBJECT, lambda end: end == _END_OBJECT)
 
 
 def json_items(text: Column, drop_non_dict: bool = False) -> Column:
@@ -32,20 +49,21 @@ def json_items(text: Column, drop_non_dict: bool = False) -> Column:
     With ``drop_non_dict`` other list elements are left out instead.
     """
     if drop_non_dict:
-        members = F.transform(_whole(text, "array<string>", "[]"), json_fields)
+        members = F.transform(
+            _whole(text, "array<string>", f"[{_END_OBJECT}]", lambda end: F.get(end, F.lit(0)) == _END_OBJECT), json_fields)
         return F.filter(members, lambda item: item.isNotNull())
-    items = _whole(text, RAW_ITEMS, "[]")
-    return F.when(F.forall(items, lambda item: item.isNotNull()), items)
+    items = _whole(text, RAW_ITEMS, f"[{_END_OBJECT}]", lambda end: _has_end(F.get(end, F.lit(0))))
+    return F.when(F.forall(items, lambda item: item.isNotNull()), F.transform(items, last_wins))
 
 
 def json_object(text: Column) -> Column:
     """``map<string,string>`` of the members if ``text`` is exactly one JSON object, else NULL."""
-    return _whole(text, "map<string,string>", "{}")
+    return last_wins(_whole(text, "map<string,string>", _END_OBJECT, _has_end))
 
 
 def json_fields(text: Column) -> Column:
     """Members of a value known to be JSON, NULL if it is no object."""
-    return F.from_json(text, "map<string,string>", STRICT)
+    return last_wins(F.from_json(text, "map<string,string>", STRICT))
 
 
 def is_json_list(text: Column) -> Column:

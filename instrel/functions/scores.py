@@ -28,5 +28,5 @@ def label_class(label: Column) -> Column:
 
 
 def is_score(value: Column) -> Column:
-    """True for a real number: neither NULL nor NaN."""
-    return value.isNotNull() & ~F.isnan(value)
+    """True for a finite number: neither NULL nor NaN nor infinite."""
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from instrel.constants import BOTTOM_NEGATIVES, NEGATIVE, NEGATIVE_THRESHOLD, POSITIVE, POSITIVE_THRESHOLD
+from instrel.functions.scores import is_score
 
 
 def top_rank(
@@ -21,7 +22,7 @@ def top_rank(
     """
 
     def rank(score: Column, i: Column) -> Column:
-        wanted = score >= threshold
+        wanted = (score >= threshold) & is_score(score)
         if labels is not None:
             wanted = wanted & (F.get(labels, i) == POSITIVE)
         return F.when(wanted, F.struct(score.alias("confidence"), (-i).alias("back")))
@@ -41,7 +42,7 @@ def bottom_ranks(
     """Up to ``k`` structs (confidence, pos) with score <= threshold, lowest first."""
 
     def rank(score: Column, i: Column) -> Column:
-        wanted = score <= threshold
+        wanted = (score <= threshold) & is_score(score)
         if labels is not None:
             wanted = wanted & (F.get(labels, i) == NEGATIVE)
         return F.when(wanted, F.struct(score.alias("confidence"), i.alias("pos")))

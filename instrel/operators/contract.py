@@ -109,6 +109,11 @@ def check_error_envelope(completions: DataFrame) -> DataFrame:
     )
 
 
+def _bounded(name: str) -> Column:
+    """Normalised text between blanks, so that it is found as whole words only."""
+    return F.concat(F.lit(" "), F.col(name), F.lit(" "))
+
+
 def check_answer_leak(packages: DataFrame, ngram: int = 3, threshold: float = 0.5) -> DataFrame:
     """Does the instruction give the answer: word for word, or most of its word n-grams?"""
     texts = with_once(
@@ -118,7 +123,7 @@ def check_answer_leak(packages: DataFrame, ngram: int = 3, threshold: float = 0.
     grams = with_ngrams(with_ngrams(texts, "answer", "answer_grams", ngram), "said", "said_grams", ngram)
     return grams.select(
         *KEYS,
-        ((F.col("answer") != "") & F.contains("said", "answer")).alias("verbatim"),
+        ((F.col("answer") != "") & F.contains(_bounded("said"), _bounded("answer"))).alias("verbatim"),
         containment(F.col("answer_grams"), F.col("said_grams")).alias("overlap"),
     ).withColumn("leaks", F.col("verbatim") | (F.col("overlap") >= threshold))
 

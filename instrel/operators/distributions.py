@@ -2,97 +2,82 @@
 
 Raw scores are reduced to (group, score, count) first, with map-side combine, so
 the raw rows are scanned once and a score that a third of all rows share is one
-row after the shuffle. Everything else works on that table. Order statistics
-need the running count over the sorted scores; one sorted window per group would
-put a whole group into one task, so the scores are cut into ranges of about
-equally many distinct scores, each range is counted, and the running count inside
-a range starts from the counts of the ranges before it.
+row after the shuffle. Everything else works on that table. Moments are sums over
+it. Order statistics need the running count over the sorted scores; one sorted
+window per group would put a whole group into one task, so the table is sorted
+by range partitioning, counted inside each partition, and each partition starts
+from the counts of those before it. Spark draws the ranges by sampling, and their number is
+that of the shuffle partitions, so a range stays small however many scores there are.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from instrel.constants import HISTOGRAM_BINS, NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD
-from instrel.functions.once import with_once
 from instrel.functions.scores import is_score, label_class
+from instrel.session import shared_dir
 
 OVERALL = "overall"
-MOST_RANGES_SIDE = 32
 
 
 def score_counts(candidates: DataFrame, overall: bool = True, by_label: bool = True) -> DataFrame:
-    """(grp, score, n) for all passages together and for each label class."""
-    scored = candidates.where(is_score(F.col("confidence"))).select(
-        label_class(F.col("label")).alias("grp"), F.col("confidence").alias("score")
-    )
-    if overall:
-        groups = [F.lit(OVERALL), F.col("grp")] if by_label else [F.lit(OVERALL)]
-        scored = scored.select(F.explode(F.array(*groups)).alias("grp"), "score")
-    return scored.groupBy("grp", "score").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _range_side(counts: DataFrame) -> int:
-    """Side k of k*k ranges: about as many ranges as shuffle partitions, at least 64."""
-    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_RANGES_SIDE, max(8, math.isqrt(partitions)))
-
-
-def _with_range(counts: DataFrame, side: int) -> DataFrame:
-    """Add ``rng``, the number of cuts below the score: first among every ``side``-th cut, then between two."""
-    ranges = side * side
-    shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
-    # The sum keeps the counts in, so that this reads the same shuffle as the rest.
-    cuts = counts.agg(
-        F.struct(
-            F.expr(f"percentile_approx(score, array({shares}), {100 * ranges})").alias("at"),
-            F.sum("n").alias("n"),
-        )
-    ).scalar()
-    steps = F.sequence(F.lit(1), F.lit(side - 1))
-
-    def below(before: Column | int, step: int) -> Column:
-        return F.size(
-            F.filter(steps, lambda j: F.get("cuts.at", j * step + before - 1) < F.col("score"))
-        )
-
-    # Kept as columns of their own, or the join on them would be tested on the raw rows.
-    coarse = with_once(counts.withColumn("cuts", cuts), coarse=below(0, side))
-    first = F.col("coarse") * side
-    return with_once(coarse, rng=first + below(first, 1)).drop("cuts", "coarse")
-
-
-def ranked_scores(counts: DataFrame, side: int | None = None) -> DataFrame:
-    """Add to (grp, score, n): ``cum``, the count of scores up to this one, and the
-    group's ``total`` count and ``mean``.
+    """(grp, score, n) for all passages together and for each label class.
 
-    The scores are cut into ``side`` * ``side`` ranges. There are at most three
-    groups and ``MOST_RANGES_SIDE`` squared ranges, which bounds the table of
-    range totals that is broadcast.
+    Each raw row is counted once; the counts of all passages are sums of the labels' counts.
     """
-    ranged = _with_range(counts, side or _range_side(counts))
+    # Exploded, so that the group stays a column and is no constant that joins and groupings drop.
+    grp = label_class(F.col("label")) if by_label else F.explode(F.array(F.lit(OVERALL)))
+    counts = candidates.where(is_score(F.col("confidence"))).select(
+        grp.alias("grp"), (F.col("confidence") + 0.0).alias("score")
+    ).groupBy("grp", "score").agg(F.count(F.lit(1)).alias("n"))
+    if not overall or not by_label:
+        return counts
+    both = counts.select(F.explode(F.array(F.lit(OVERALL), F.col("grp"))).alias("grp"), "score", "n")
+    return both.groupBy("grp", "score").agg(F.sum("n").alias("n"))
+
+
+def ranked_scores(counts: DataFrame) -> DataFrame:
+    """Add to (grp, score, n): ``cum``, the count of scores up to this one, and the group's ``total`` count.
+
+    The sorted table is written to the shared folder, so that both its rows and its
+    partitions' totals come from the same ranges. There are at most three groups for each partition, which
+    bounds the table of totals that is broadcast.
+    """
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, carried = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            groups = batch.column("grp").dictionary_encode()
+            codes, n = groups.indices.to_numpy(), batch.column("n").to_numpy()
+            within = np.cumsum(n)
+            # Rows come sorted by group: each starts again from 0, and the first goes on with the batch before.
+            starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+            offset = np.repeat(within[starts] - n[starts], np.diff(np.append(starts, len(n))))
+            within = within - offset
+            if groups.dictionary[codes[0]].as_py() == last:
+                within[: starts[1] if len(starts) > 1 else len(n)] += carried
+            last, carried = groups.dictionary[codes[-1]].as_py(), int(within[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(within), pa.array(np.full(len(n), part, dtype=np.int32))], ["grp", "score", "n", "within", "part"])
+
+    spark = counts.sparkSession
+    ordered = counts.select("grp", "score", "n").repartitionByRange("grp", "score").sortWithinPartitions("grp", "score")
+    path = shared_dir(spark, "ranked-scores")
+    shape = "grp string, score double, n bigint, within bigint, part int"
+    ordered.mapInArrow(lambda batches: running(b for b in batches if b.num_rows), shape).write.parquet(path)
+    ranked = spark.read.schema(shape).parquet(path)
     group = Window.partitionBy("grp")
-    earlier = group.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        ranged.groupBy("grp", "rng")
-        .agg(F.sum("n").alias("rn"), F.sum(F.col("n") * F.col("score")).alias("rs"))
-        .select(
-            "grp", "rng",
-            F.coalesce(F.sum("rn").over(earlier), F.lit(0)).alias("before"),
-            F.sum("rn").over(group).alias("total"),
-            (F.sum("rs").over(group) / F.sum("rn").over(group)).alias("mean"),
-        )
-    )
-    inside = Window.partitionBy("grp", "rng").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(F.broadcast(totals), ["grp", "rng"]).select(
-        "grp", "score", "n",
-        (F.col("before") + F.sum("n").over(inside)).alias("cum"),
-        "total", "mean",
-    )
+    earlier = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranked.groupBy("grp", "part").agg(F.sum("n").alias("held")).select(
+        "grp", "part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"), F.sum("held").over(group).alias("total"))
+    return ranked.join(F.broadcast(totals), ["grp", "part"]).select(
+        "grp", "score", "n", (F.col("before") + F.col("within")).alias("cum"), "total")
 
 
 def _quantile_parts(p: float) -> tuple[Column, Column]:
@@ -115,29 +100,22 @@ def _central(power: int) -> Column:
     return F.sum(F.col("n") * F.pow(F.col("score") - F.col("mean"), F.lit(power))) / F.max("total")
 
 
-def describe_scores(ranked: DataFrame) -> DataFrame:
-    """One row per group: count, share, moments, range and quartiles.
+def moments(counts: DataFrame) -> DataFrame:
+    """One row per group: count, mean, range, variance, skewness and excess kurtosis; needs no order.
 
     Skewness is 0 for fewer than three scores, excess kurtosis for fewer than
     four, and both where all scores are equal.
     """
+    means = counts.groupBy("grp").agg(
+        F.sum("n").alias("total"), (F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("mean"))
     flat = F.col("min") == F.col("max")
-    described = ranked.groupBy("grp").agg(
-        F.max("total").alias("count"),
-        F.max("mean").alias("mean"),
-        _quantile(0.5).alias("median"),
-        F.min("score").alias("min"),
-        F.max("score").alias("max"),
-        _quantile(0.25).alias("q25"),
-        _quantile(0.75).alias("q75"),
-        _central(2).alias("variance"),
-        _central(3).alias("m3"),
-        _central(4).alias("m4"),
+    # One row for each of three groups at most.
+    described = counts.join(F.broadcast(means), "grp").groupBy("grp").agg(
+        F.max("total").alias("count"), F.max("mean").alias("mean"), F.min("score").alias("min"), F.max("score").alias("max"),
+        _central(2).alias("variance"), _central(3).alias("m3"), _central(4).alias("m4"),
     )
     return described.select(
-        F.col("grp").alias("label_class"), "count", "mean", "median",
-        F.sqrt("variance").alias("std"),
-        "min", "max", "q25", "q75", "variance",
+        F.col("grp").alias("label_class"), "count", "mean", F.sqrt("variance").alias("std"), "min", "max", "variance",
         F.when((F.col("count") < 3) | flat, 0.0)
         .otherwise(F.col("m3") / F.pow(F.col("variance"), F.lit(1.5))).alias("skewness"),
         F.when((F.col("count") < 4) | flat, 0.0)
@@ -145,10 +123,18 @@ def describe_scores(ranked: DataFrame) -> DataFrame:
     )
 
 
+def describe_scores(counts: DataFrame) -> DataFrame:
+    """One row per group: moments, range and quartiles."""
+    quartiles = ranked_scores(counts).groupBy("grp").agg(
+        _quantile(0.5).alias("median"), _quantile(0.25).alias("q25"), _quantile(0.75).alias("q75"))
+    # One row for each of three groups at most.
+    return moments(counts).join(F.broadcast(quartiles.withColumnRenamed("grp", "label_class")), "label_class").select(
+        "label_class", "count", "mean", "median", "std", "min", "max", "q25", "q75", "variance", "skewness", "kurtosis")
+
+
 def overall_stats(candidates: DataFrame) -> DataFrame:
     """Description of all scores; no row if there are none."""
-    ranked = ranked_scores(score_counts(candidates, by_label=False))
-    return describe_scores(ranked).select(
+    return describe_scores(score_counts(candidates, by_label=False)).select(
         F.col("count").alias("total_responses"), "mean", "median", "std", "min", "max", "q25", "q75"
     )
 
@@ -158,8 +144,7 @@ def label_stats(candidates: DataFrame) -> DataFrame:
     counts = score_counts(candidates)
     # A condition, not a filter: a filter would move below the shuffle and scan again.
     everything = counts.agg(F.sum(F.when(F.col("grp") == OVERALL, F.col("n")))).scalar()
-    stats = describe_scores(ranked_scores(counts))
-    return stats.withColumn("percentage", F.col("count") / everything * 100)
+    return describe_scores(counts).withColumn("percentage", F.col("count") / everything * 100)
 
 
 def label_share(candidates: DataFrame) -> DataFrame:
@@ -173,7 +158,7 @@ def label_share(candidates: DataFrame) -> DataFrame:
 
 def any_score(test: Callable[[Column], Column]) -> Column:
     """Does any score of the package meet the test? Reads nothing but the scores."""
-    return F.exists("responses.confidence", lambda score: F.coalesce(test(score), F.lit(False)))
+    return F.exists("responses.confidence", lambda score: is_score(score) & F.coalesce(test(score), F.lit(False)))
 
 
 def responses_per_query(packages: DataFrame) -> DataFrame:
@@ -231,8 +216,7 @@ def histogram(candidates: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         .groupBy("bin").agg(F.sum("n").alias("n"))
     )
     edges = candidates.sparkSession.range(bins).withColumnRenamed("id", "bin").withColumn("span", span)
-    # ``filled`` has one row per bin at most.
-    return edges.join(F.broadcast(filled), "bin", "left").where(F.col("span.total").isNotNull()).select(
+    return edges.join(filled, "bin", "left").where(F.col("span.total").isNotNull()).select(
         "bin",
         (lo + F.col("bin") * step).alias("bin_start"),
         F.when(F.col("bin") == bins - 1, hi).otherwise(lo + (F.col("bin") + 1) * step).alias("bin_end"),

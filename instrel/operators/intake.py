@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from instrel.functions.json_text import is_json_list, json_object, json_value
 from instrel.functions.once import with_once
 from instrel.operators.requests import INSTRUCTION_STAGE, PASSAGE_STAGE
+from instrel.session import shared_dir
 
 
 def _rejects(df: DataFrame, stage: str, reason: Column, raw: Column) -> DataFrame:
@@ -32,11 +33,23 @@ def _not_json() -> Column:
     return F.col("fields").isNull() & F.when(F.col("fields").isNull(), json_value(F.col("content"))).isNull()
 
 
+def _numbered(completions: DataFrame) -> DataFrame:
+    """One row of ``copy`` 1 for each choice, with the first of its contents, and a row 2, 3, .. without content for each
+
+    time that it was delivered again. Copies are counted before the shuffle.
+    """
+    once = completions.groupBy("request_id", "choice_index").agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("copies"))
+    return once.select("request_id", "choice_index", "content", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")).withColumn(
+        "content", F.when(F.col("copy") == 1, F.col("content")))
+
+
 def _read_instruction(completions: DataFrame) -> DataFrame:
-    """First choice only: its fields and, where it cannot be used, the reason."""
-    first = completions.where(F.col("choice_index") == 0)
+    """First choice only: its fields and, where it cannot be used, the reason. Takes a table so read as it is."""
+    if "reason" in completions.columns:
+        return completions
+    first = _numbered(completions.where(F.col("choice_index") == 0))
     read = with_once(first, fields=json_object(F.col("content")))
-    reason = F.when(_not_json(), "bad_json").when(
+    reason = F.when(F.col("copy") > 1, "duplicate").when(_not_json(), "bad_json").when(
         F.col("fields").isNull() | F.col("fields")["instruction"].isNull(), "no_instruction"
     )
     return read.select(
@@ -57,6 +70,17 @@ def _silent(requests: DataFrame, completions: DataFrame, stage: str) -> DataFram
     )
 
 
+def classified(completions: DataFrame, stage: str) -> DataFrame:
+    """Completions read once and stored: each with its reason, and its text only where it is a reject.
+
+    Intake, rejects and audit of one run take this table in place of the completions and parse nothing.
+    """
+    read = _read_instruction(completions) if stage == INSTRUCTION_STAGE else read_passage_choices(completions)
+    path = shared_dir(completions.sparkSession, f"classified-{stage}")
+    read.withColumn("content", F.when(F.col("reason").isNotNull(), F.col("content"))).write.parquet(path)
+    return completions.sparkSession.read.schema(read.schema).parquet(path)
+
+
 def intake_instruction(requests: DataFrame, completions: DataFrame) -> DataFrame:
     """Requests with the instruction of their first choice; unusable ones are left out."""
     good = _read_instruction(completions).where(F.col("reason").isNull())
@@ -72,11 +96,13 @@ def instruction_rejects(requests: DataFrame, completions: DataFrame) -> DataFram
 
 
 def read_passage_choices(completions: DataFrame) -> DataFrame:
-    """Every choice with its list text (``examples``) and ``reason``, NULL for a usable one."""
-    read = with_once(completions, fields=json_object(F.col("content")))
+    """Every choice with its list text (``examples``) and ``reason``, NULL for a usable one. Takes a table so read as it is."""
+    if "reason" in completions.columns:
+        return completions
+    read = with_once(_numbered(completions), fields=json_object(F.col("content")))
     examples = F.col("fields")["examples"]
     reason = (
-        F.when(_not_json(), "bad_json")
+        F.when(F.col("copy") > 1, "duplicate").when(_not_json(), "bad_json")
         .when(F.col("fields")["error"].isNotNull() & ~F.coalesce(is_json_list(examples), F.lit(False)),
               "error_envelope")
         .when(~F.coalesce(is_json_list(examples), F.lit(False)), "no_examples")

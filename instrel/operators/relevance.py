@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,17 @@ VALID = ("valid_positive", "valid_negative")
 Scorer = Callable[[pd.Series], pd.DataFrame]
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def scorer_of_process(name: str, make_scorer: Callable[[], Scorer]) -> Scorer:
+    """The scorer that this process has made under this name; making another drops it."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = make_scorer()
+    return _SCORERS[name]
+
+
 def combine_query(query: Column, instruction: Column) -> Column:
     return F.concat(F.coalesce(query, F.lit("")), F.lit(" "), F.coalesce(instruction, F.lit("")))
 
@@ -29,10 +42,7 @@ def _scorer_text(query: Column, passage: Column) -> Column:
 
 
 def relevance_pairs(candidates: DataFrame) -> DataFrame:
-    """Two texts to score per candidate: about the query, and about query and instruction.
-
-    The passage must be there; a candidate without one has nothing to score.
-    """
+    """Two texts to score per candidate: about the query, and about query and instruction; a missing part is empty."""
     query = F.coalesce(F.col("query"), F.lit(""))
     passage = F.coalesce(F.col("passage"), F.lit(""))
     texts = F.array(
@@ -46,10 +56,14 @@ def relevance_pairs(candidates: DataFrame) -> DataFrame:
 
 
 def score_pairs(pairs: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
-    """Logits of every pair. ``make_scorer`` runs once per task, then scores batch by batch."""
+    """Logits of every pair, batch by batch. ids may be of any type.
+
+    ``make_scorer`` runs once in each worker process, whose later tasks find its scorer under ``name``.
+    """
+    name = uuid.uuid4().hex
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = make_scorer()
+        scorer = scorer_of_process(name, make_scorer)
         for batch in batches:
             logits = scorer(batch["text"])
             out = batch[[*PAIR_KEYS, "kind"]].copy()
@@ -57,8 +71,9 @@ def score_pairs(pairs: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFram
             out["false_logit"] = logits.iloc[:, 1].to_numpy()
             yield out
 
-    schema = "id bigint, choice_index int, pos int, kind string, true_logit double, false_logit double"
-    return pairs.select(*PAIR_KEYS, "kind", "text").mapInPandas(score, schema)
+    wanted = pairs.select(*PAIR_KEYS, "kind", "text")
+    schema = wanted.drop("text").schema.add("true_logit", "double").add("false_logit", "double")
+    return wanted.mapInPandas(score, schema)
 
 
 def pair_logits(scored: DataFrame) -> DataFrame:
@@ -92,12 +107,12 @@ def route_candidates(candidates: DataFrame, logits: DataFrame, keep_unlabelled:
     """Candidates with both verdicts and the bucket they fall into.
 
     A candidate with any other label than the two is left out, before the join, unless
-    ``keep_unlabelled`` is set. The join key names one candidate, so no key can be heavy.
+    ``keep_unlabelled`` is set. One without logits is ``unscored``. The join key names one candidate, so no key can be heavy.
     """
     if not keep_unlabelled:
         candidates = candidates.where(F.col("label").isin(POSITIVE, NEGATIVE))
     bucket = routing_bucket(F.col("label"), F.col("query_relevant"), F.col("instruction_relevant"))
-    return candidates.join(verdicts(logits), PAIR_KEYS).withColumn("bucket", bucket)
+    return candidates.join(verdicts(logits), PAIR_KEYS, "left").withColumn("bucket", bucket)
 
 
 def filtered_passages(candidates: DataFrame, logits: DataFrame) -> DataFrame:
@@ -106,8 +121,8 @@ def filtered_passages(candidates: DataFrame, logits: DataFrame) -> DataFrame:
     Both kinds that are kept are relevant to the query, so the other logits go
     before the join.
     """
-    routed = route_candidates(candidates, logits.where(F.col("q_true") > F.col("q_false")))
-    return routed.where(F.col("bucket").isin(*VALID)).select(
+    relevant = logits.where((F.col("q_true") > F.col("q_false")) & ~F.isnan("q_true"))
+    return route_candidates(candidates, relevant).where(F.col("bucket").isin(*VALID)).select(
         F.col("id").alias("original_id"), "query", "instruction",
         F.col("item_id").alias("passage_id"), "title", "passage", "label",
         F.lit("kept").alias("filter_status"), "neg_type", "explanation", "confidence",
@@ -115,12 +130,13 @@ def filtered_passages(candidates: DataFrame, logits: DataFrame) -> DataFrame:
 
 
 def filter_summary(routed: DataFrame) -> DataFrame:
-    """One row: passages kept and discarded, in total and per label."""
+    """One row: passages kept and discarded, in total and per label, and those that had no logits."""
     counts = {
         name: F.count_if(F.col("bucket") == bucket)
         for name, bucket in (
             ("valid_positives", "valid_positive"), ("valid_negatives", "valid_negative"),
             ("discarded_positives", "discarded_positive"), ("discarded_negatives", "discarded_negative"),
+            ("unscored", "unscored"),
         )
     }
     return routed.agg(

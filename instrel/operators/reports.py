@@ -84,6 +84,15 @@ def _positions(label: str) -> Column:
     return F.filter(marked, lambda i: i.isNotNull())
 
 
+def unpaired_packages(packages: DataFrame) -> DataFrame:
+    """Packages that ``training_pairs`` gives no row for, as they lack a positive or a negative."""
+    has = {label: F.coalesce(F.array_contains("responses.label", label), F.lit(False)) for label in (POSITIVE, NEGATIVE)}
+    read = packages.select(
+        "id", "choice_index", F.lit("unpaired").alias("reason"),
+        *(test.alias(f"has_{label}") for label, test in has.items()))
+    return read.where(~(F.col("has_positive") & F.col("has_negative")))
+
+
 def training_pairs(packages: DataFrame) -> DataFrame:
     """(query with instruction, positive, negative) rows.
 

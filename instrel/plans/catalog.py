@@ -91,6 +91,52 @@ def read_packages_csv(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("id", "query", "og_positive", "instruction", F.size("items").alias("passages"))
 
 
+@query
+def analyse_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Package text through CSV and the whole analysis: label statistics."""
+    path = shared_dir(spark, "analyse-csv")
+    text = derived.package_text(spark, sf)
+    tables.write_csv(text.select("id", "query", "og_positive", "instruction", "response"), path)
+    return _rounded(flows.analyse(tables.package_rows(tables.read_packages(spark, path)))["label_stats"])
+
+
+@query
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Q&A rows in two CSV folders of different column order, some records with a field too many or too few."""
+    path = shared_dir(spark, "csv-rejects")
+    rows = derived.qa(spark, sf).select(
+        F.col("id").cast("string").alias("ID"), F.lit("q").alias("Question"), F.lit("a").alias("Answer"))
+    spelled = F.when(F.col("ID") % 10 == 3, F.concat_ws(",", "ID", "Question", "Answer", F.lit("more"))).when(
+        F.col("ID") % 10 == 4, F.concat_ws(",", "ID", "Question")).otherwise(F.concat_ws(",", "ID", "Question", "Answer"))
+    for part, (header, line) in enumerate((("ID,Question,Answer", spelled), ("Answer,ID,Question", F.concat_ws(",", "Answer", "ID", "Question")))):
+        lines = rows.where(F.col("ID") % 2 == part) if part else rows.where((F.col("ID") % 2 == 0) | (F.col("ID") % 10 == 3))
+        lines.select(line.alias(header)).write.mode("append").options(header="true", quote="", escapeQuotes="false", sep="\u0001").csv(path)
+    good = tables.read_qa(spark, path).select(F.lit("good").alias("kind"), "id", F.col("answer").alias("text"))
+    bad = tables.csv_rejects(spark, path).select(F.col("reason").alias("kind"), "id", F.col("raw").alias("text"))
+    return good.unionByName(bad)
+
+
+@query
+def score_string_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Packages with text ids stored, read back, scored and routed."""
+    path = shared_dir(spark, "string-ids")
+    built = derived.packages(spark, sf).withColumn("id", F.concat(F.lit("a"), F.col("id")))
+    tables.append_packages(built, path)
+    read = tables.read_package_parquet(spark, path, "string")
+    pairs = relevance.relevance_pairs(parsing.explode_candidates(read, "query", "instruction"))
+    narrow = parsing.explode_candidates(read, fields=("label",))
+    routed = relevance.route_candidates(narrow, relevance.pair_logits(relevance.score_pairs(pairs, word_scorer())))
+    return routed.select("id", "pos", "bucket")
+
+
+@query
+def verdict_score_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of continuous scores: each passage's share of distinct words."""
+    worded = _worded(spark, sf).select("label", F.split("passage", " ").alias("w")).select(
+        "label", (F.size(F.array_distinct("w")) / F.size("w") - F.size("w") / 100003.0).alias("confidence"))
+    return _rounded(distributions.label_stats(worded))
+
+
 @query
 def read_qa_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Q&A rows through CSV and back, without their metadata columns."""
@@ -180,9 +226,11 @@ def _second_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inputs and both completion tables of a whole generation run."""
+    """Inputs and both completion tables of a whole generation run, read once."""
     return (
-        derived.qa(spark, sf), derived.instruction_completions(spark, sf), derived.passage_completions(spark, sf)
+        derived.qa(spark, sf),
+        intake.classified(derived.instruction_completions(spark, sf), requests.INSTRUCTION_STAGE),
+        intake.classified(derived.passage_completions(spark, sf), requests.PASSAGE_STAGE),
     )
 
 
@@ -290,8 +338,8 @@ def label_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shape(spark: SparkSession, sf: str, measure: str) -> DataFrame:
-    ranked = distributions.ranked_scores(distributions.score_counts(derived.scores(spark, sf)))
-    return _rounded(distributions.describe_scores(ranked).select("label_class", measure))
+    counts = distributions.score_counts(derived.scores(spark, sf))
+    return _rounded(distributions.moments(counts).select("label_class", measure))
 
 
 @query
@@ -489,8 +537,7 @@ def check_error_envelope(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_answer_leak(spark: SparkSession, sf: str) -> DataFrame:
-    texts = derived.spread(derived.packages(spark, sf, ("id",)))
-    return _rounded(contract.check_answer_leak(texts).drop("choice_index"))
+    return _rounded(contract.check_answer_leak(derived.packages(spark, sf, ("id",))).drop("choice_index"))
 
 
 @query
@@ -541,3 +588,8 @@ def dataset_counts(spark: SparkSession, sf: str) -> DataFrame:
 def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     wanted = derived.packages(spark, sf, ("label", "neg_type", "passage"))
     return reports.training_pairs(wanted).drop("choice_index")
+
+
+@query
+def training_unpaired(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.unpaired_packages(derived.packages(spark, sf, ("label",))).drop("choice_index")

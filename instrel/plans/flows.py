@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from instrel.functions.templates import load_template
+from instrel.session import shared_dir
 from instrel.operators import distributions, intake, parsing, relevance, requests, selecting
 
 INSTRUCTION_SYSTEM_PROMPT = (
@@ -19,7 +20,7 @@ INSTRUCTION_SYSTEM_PROMPT = (
     "instruction, length and style, and keep the answer out of the instruction."
 )
 PASSAGE_SYSTEM_PROMPT = (
-    "You write one passage that meets an instruction and five or six that fail it, as one JSON object."
+    "You write one passage that meets an instruction and five that fail it, as one JSON object."
 )
 
 
@@ -94,8 +95,11 @@ def generation_rejects(
 
 
 def analyse(package_text: DataFrame) -> dict[str, DataFrame]:
-    """Reports on the packages of a text table, each lazy."""
+    """Reports on the packages of a text table, each lazy. The texts are parsed once, into the shared folder."""
     parsed = parsing.parse_items(package_text)
+    path = shared_dir(package_text.sparkSession, "parsed")
+    parsed.write.parquet(path)
+    parsed = package_text.sparkSession.read.schema(parsed.schema).parquet(path)
     packages = parsing.to_responses(parsing.strict_packages(parsed))
     candidates = parsing.explode_candidates(packages, fields=("label", "confidence"))
     return {

@@ -86,16 +86,16 @@ _LOGITS = """logits as (
   select doc_id as id, cast(i as int) as pos,
     ((doc_id * 6 + i) * 13 % 17 - 8) / 2.0 as qt, ((doc_id * 6 + i) * 29 % 19 - 9) / 2.0 as qf,
     ((doc_id * 6 + i) * 7 % 23 - 11) / 2.0 as it, ((doc_id * 6 + i) * 5 % 29 - 14) / 2.0 as jf
-  from (select doc_id, unnest(range(6)) as i from documents)
+  from (select doc_id, unnest(range(6)) as i from documents) where (doc_id * 6 + i) % 101 <> 7
 )"""
 
 _ROUTED = f"""{_PASSAGES}, {_LOGITS}, routed as (
   select p.*, l.*exclude (id, pos),
-    case when label = 'positive' and qt > qf and it > jf then 'valid_positive'
+    case when qt is null then 'unscored' when label = 'positive' and qt > qf and it > jf then 'valid_positive'
          when label = 'positive' then 'discarded_positive'
          when label = 'negative' and qt > qf and it <= jf then 'valid_negative'
          when label = 'negative' then 'discarded_negative' else 'unlabelled' end as bucket
-  from passages p join logits l using (id, pos)
+  from passages p left join logits l using (id, pos)
 )"""
 
 # What the planted defects of the package texts do to each package.
@@ -328,7 +328,8 @@ ORACLE: dict[str, str] = {
         count(*) filter (bucket = 'valid_positive') as valid_positives,
         count(*) filter (bucket = 'valid_negative') as valid_negatives,
         count(*) filter (bucket = 'discarded_positive') as discarded_positives,
-        count(*) filter (bucket = 'discarded_negative') as discarded_negatives from routed""",
+        count(*) filter (bucket = 'discarded_negative') as discarded_negatives,
+        count(*) filter (bucket = 'unscored') as unscored from routed where label in ('positive', 'negative')""",
     "check_counts": f"""with {_PASSAGES}, per as (
           select b.id, cast(count(*) filter (label = 'positive') as int) as positives,
             cast(count(*) filter (label = 'negative') as int) as negatives
@@ -372,7 +373,7 @@ ORACLE: dict[str, str] = {
           select a.id, count(s.id) / count(*) as share from grams a
           left join grams s on s.id = a.id and s.gram = a.gram and s.side = 's' where a.side = 'a' group by a.id
         ), measured as (
-          select w.id, answer <> '' and contains(said, answer) as verbatim, round(coalesce(share, 0.0), 6) as overlap
+          select w.id, answer <> '' and contains(' ' || said || ' ', ' ' || answer || ' ') as verbatim, round(coalesce(share, 0.0), 6) as overlap
           from worded w left join shares on shares.id = w.id
         ) select *, verbatim or overlap >= 0.5 as leaks from measured""",
     "check_variant_echo": f"""with {_INSTRUCTED}, echoed as (
@@ -444,3 +445,30 @@ ORACLE["route_scored"] = f"""with {_PASSAGES}, {_WORDS}, v as (
     when label = 'positive' then 'discarded_positive'
     when q and not i then 'valid_negative' else 'discarded_negative' end as bucket
   from passages p join v using (id, pos) where label in ('positive', 'negative')"""
+
+ORACLE["score_string_ids"] = ORACLE["route_scored"].replace("select p.id,", "select 'a' || cast(p.id as varchar) as id,")
+
+
+def _label_stats_of(tables: str, scores: str) -> str:
+    """Label statistics of other scores than the passages' own."""
+    rest = ORACLE["label_confidence_stats"].split("), grouped as (", 1)[1].replace("from scored", "from other")
+    return f"with {tables}, other as ({scores}), grouped as ({rest}"
+
+
+ORACLE["analyse_csv"] = _label_stats_of(_TEXT, """
+  select case when label = 'positive' then 'positive' else 'negative' end as label_class, cast(confidence as double) as x
+  from passages p join fate f using (id) where f.sound and not (p.id % 7 = 1)""")
+ORACLE["verdict_score_stats"] = _label_stats_of(_PASSAGES, """
+  select case when label = 'positive' then 'positive' else 'negative' end as label_class,
+    len(list_distinct(w)) / cast(len(w) as double) - len(w) / cast(100003 as double) as x
+  from (select label, string_split(passage, ' ') as w from passages)""")
+ORACLE["csv_rejects"] = f"""with {_QA}, lines as (
+  select id, case when id % 10 = 3 then cast(id as varchar) || ',q,a,more'
+                  when id % 10 = 4 then cast(id as varchar) || ',q' end as bad
+  from qa where id % 2 = 0 or id % 10 = 3
+) select case when bad is null then 'good' else 'bad_record' end as kind, cast(id as varchar) as id, coalesce(bad, 'a') as text from lines
+  union all select 'good', cast(id as varchar), 'a' from qa where id % 2 = 1"""
+ORACLE["training_unpaired"] = f"""with {_PASSAGES}, per as (
+  select b.id, count(*) filter (label = 'positive') as p, count(*) filter (label = 'negative') as n
+  from base b left join passages using (id) group by b.id
+) select id, 'unpaired' as reason, p > 0 as has_positive, n > 0 as has_negative from per where p = 0 or n = 0"""

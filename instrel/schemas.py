@@ -5,25 +5,18 @@ RESPONSE = (
     "explanation: string, why_relevant: string, confidence: double, evidence: array<string>>"
 )
 
-QA_CSV = (
-    "ID string, Question string, Answer string, chunk string, Keywords string, "
-    "SE_penalized string, Cluster_labels string"
-)
-
-PACKAGES = (
-    "id bigint, choice_index int, query string, og_positive string, instruction string, "
+_PACKAGE_FIELDS = (
+    "choice_index int, query string, og_positive string, instruction string, "
     f"style string, length string, responses array<{RESPONSE}>"
 )
 
-COMPLETIONS = "request_id string, choice_index int, content string"
 
-REJECTS = "stage string, id string, choice_index int, reason string, raw string"
+def packages(id_type: str = "bigint") -> str:
+    """Schema of the nested package table with ids of this type."""
+    return f"id {id_type}, {_PACKAGE_FIELDS}"
 
-FILTERED = (
-    "original_id bigint, query string, instruction string, passage_id int, title string, "
-    "passage string, label string, filter_status string, neg_type string, "
-    "explanation string, confidence double"
-)
+
+PACKAGES = packages()
 
 # One parsed passage before its fields are typed: key -> JSON text of the value.
 RAW_ITEMS = "array<map<string,string>>"

@@ -7,12 +7,14 @@ files, convert it once with ``csv_to_parquet`` and work on Parquet from there.
 from __future__ import annotations
 
 import time
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from instrel.constants import CSV_MISSING, PACKAGE_COLUMNS, QA_METADATA
-from instrel.schemas import PACKAGES
+from instrel.schemas import packages
 
 _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 _QA_NAMES = {
@@ -27,9 +29,56 @@ def _missing_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+_RECORD = "_bad_record"
+
+
+def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The folder's files in groups of one header each. The driver gets a row for each file, as it does to list them."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nr"))
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "nr")).alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        found.setdefault(row.header, []).append(row.file)
+    return list(found.values())
+
+
+def read_csv(spark: SparkSession, path: str, positional: list[str] | None = None) -> DataFrame:
+    """All records of a folder, each file read by its own header, with ``_bad_record``: the text of a record with too many or
+
+    too few fields, else NULL. ``positional`` renames the columns of files whose header has other names.
+    """
+    parts = []
+    for files in _by_header(spark, path):
+        names = spark.read.options(**_CSV).csv(files[0]).columns
+        if positional and set(names) != set(positional):
+            if len(names) != len(positional):
+                raise ValueError(f"{files[0]} has {len(names)} columns, not {len(positional)}")
+            names = positional
+        schema = StructType([StructField(name, StringType()) for name in [*names, _RECORD]])
+        parts.append(spark.read.schema(schema).options(**_CSV, columnNameOfCorruptRecord=_RECORD).csv(files))
+    if not parts:
+        raise ValueError(f"{path} has no CSV file")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def csv_rejects(spark: SparkSession, path: str, stage: str = "csv", positional: list[str] | None = None) -> DataFrame:
+    """Records that do not fit their file's header, in the form of all rejects."""
+    read = read_csv(spark, path, positional)
+    first = [c for c in read.columns if c != _RECORD][0]
+    return read.where(F.col(_RECORD).isNotNull()).select(
+        F.lit(stage).alias("stage"), F.col(f"`{first}`").alias("id"), F.lit(None).cast("int").alias("choice_index"),
+        F.lit("bad_record").alias("reason"), F.col(_RECORD).alias("raw"))
+
+
+def _good(read: DataFrame) -> DataFrame:
+    return read.where(F.col(_RECORD).isNull()).drop(_RECORD)
+
+
 def read_qa(spark: SparkSession, path: str) -> DataFrame:
-    """Q&A rows from CSV; the columns ID, Question and Answer must be there."""
-    raw = spark.read.options(**_CSV).csv(path)
+    """Q&A rows from CSV; the columns ID, Question and Answer must be there. Records that do not fit are in ``csv_rejects``."""
+    raw = _good(read_csv(spark, path))
     absent = {"ID", "Question", "Answer"} - set(raw.columns)
     if absent:
         raise ValueError(f"{path} lacks the columns {sorted(absent)}")
@@ -46,16 +95,25 @@ def drop_metadata(qa: DataFrame, keep_id: bool = True) -> DataFrame:
 
 
 def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """Package text table from CSV, columns named by position."""
-    raw = spark.read.options(**_CSV).csv(path)
-    if len(raw.columns) != len(PACKAGE_COLUMNS):
-        raise ValueError(f"{path} has {len(raw.columns)} columns, not {len(PACKAGE_COLUMNS)}")
-    return _missing_to_null(raw.toDF(*PACKAGE_COLUMNS))
+    """Package text table from CSV, columns named by position unless the header has the table's own names in some order."""
+    return _missing_to_null(_good(read_csv(spark, path, PACKAGE_COLUMNS)).select(*PACKAGE_COLUMNS))
+
+
+def read_package_parquet(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """Nested package table, the form the operators work on; ``id_type`` is the type its ids were written with."""
+    return spark.read.schema(packages(id_type)).parquet(path)
+
 
+def package_rows(read: DataFrame) -> DataFrame:
+    """What the parsers take, from ``read_packages``: id, choice_index, query, og_positive, instruction, response.
 
-def read_package_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Nested package table, the form the operators work on."""
-    return spark.read.schema(PACKAGES).parquet(path)
+    A CSV file has no choice number. It is the row's place among the rows of its id in the order of their
+    instruction and response, so it does not depend on how the rows were read; equal rows are numbered on.
+    """
+    order = Window.partitionBy("ID").orderBy("Instruction", "Response", "Query", "OgPositive")
+    return read.select(
+        F.col("ID").alias("id"), (F.row_number().over(order) - 1).alias("choice_index"), F.col("Query").alias("query"),
+        F.col("OgPositive").alias("og_positive"), F.col("Instruction").alias("instruction"), F.col("Response").alias("response"))
 
 
 def csv_to_parquet(df: DataFrame, path: str, partitions: int | None = None) -> None:

@@ -111,3 +111,14 @@ def test_coverage_names_every_cell(spark):
 def test_dataset_counts(spark):
     packages = package_frame(spark, [("positive", 1), ("x", 0)], [])
     assert tuple(reports.dataset_counts(packages.union(packages)).first()) == (2, 4, 4, 2, 2)
+
+
+def test_an_answer_leaks_as_whole_words_only(spark):
+    frame = spark.createDataFrame([(1, 0, "state what is known", "no"), (2, 0, "say no to it", "no")], "id int, choice_index int, instruction string, og_positive string")
+    assert {r["id"]: r["verbatim"] for r in contract.check_answer_leak(frame).collect()} == {1: False, 2: True}
+
+
+def test_unpaired_packages_are_reported(spark):
+    packages = package_frame(spark, [("positive", 0.5)], [("positive", 0.5), ("negative", 0.5)], [])
+    found = {r["id"]: (r["has_positive"], r["has_negative"]) for r in reports.unpaired_packages(packages).collect()}
+    assert found == {0: (True, False), 2: (False, False)}

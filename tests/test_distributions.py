@@ -66,8 +66,11 @@ def test_ranges_do_not_change_ranks(spark):
     # A third of all rows share one score.
     scores = np.concatenate([rng.random(600), np.full(300, 0.25)])
     counts = d.score_counts(score_frame(spark, scores)).cache()
-    for side in (2, 7, 32):
-        rows = d.ranked_scores(counts, side).where("grp = 'overall'").collect()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for ranges in (1, 2, 7, 32):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        rows = d.ranked_scores(counts).where("grp = 'overall'").collect()
+        spark.conf.set("spark.sql.shuffle.partitions", before)
         assert len(rows) == len(np.unique(scores))
         for r in rows[:50]:
             assert r["cum"] == (scores <= r["score"]).sum()

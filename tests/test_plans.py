@@ -47,11 +47,17 @@ def test_no_cross_join_and_no_window_over_raw_rows(spark, sf, name):
         assert window.startswith("grp#")
 
 
-@pytest.mark.parametrize("name", ["label_confidence_stats", "confidence_ecdf", "confidence_box", "confidence_histogram"])
-def test_raw_scores_are_scanned_once(spark, sf, name):
+@pytest.mark.parametrize("name, shuffles", [("label_confidence_stats", 2), ("confidence_ecdf", 0), ("confidence_box", 1), ("confidence_histogram", 1)])
+def test_raw_scores_are_scanned_once(spark, sf, name, shuffles):
+    """Once by label, and the labels' counts once more for all; ranked scores are read from the stored table."""
     frame = catalog.queries()[name](spark, sf)
     frame.collect()
-    assert len(executed_shuffles(plan(frame), r"grp#\d+, score#")) == 1
+    assert len(executed_shuffles(plan(frame), r"grp#\d+, score#")) == shuffles
+
+
+@pytest.mark.parametrize("name", ["passage_intake", "packages", "check_answer_leak", "instruction_prompts"])
+def test_scans_are_not_dealt_anew(spark, sf, name):
+    assert "RoundRobinPartitioning" not in plan(catalog.queries()[name](spark, sf))
 
 
 def test_scores_read_no_text(spark, sf):

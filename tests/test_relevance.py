@@ -3,7 +3,7 @@ from conftest import package_frame
 from pyspark.sql import functions as F
 
 from instrel.operators import parsing, relevance
-from instrel.plans import flows
+from instrel.plans import catalog, flows
 
 LOGITS = "id bigint, choice_index int, pos int, q_true double, q_false double, i_true double, i_false double"
 
@@ -38,7 +38,24 @@ def test_buckets_partition_the_candidates(spark):
     assert {buckets[n, pos] for n in range(4) for pos in (2, 3)} == {"unlabelled"}
     kept, summary = flows.filter_by_relevance(packages, logits)
     assert {(r["original_id"], r["label"]) for r in kept.collect()} == {(0, "positive"), (1, "negative")}
-    assert tuple(summary.first()) == (2, 1, 1, 3, 3)
+    assert tuple(summary.first()) == (2, 1, 1, 3, 3, 0)
+
+
+def test_nan_and_missing_logits(spark):
+    packages = package_frame(spark, [("positive", 0.5), ("negative", 0.5), ("positive", 0.5)])
+    nan = float("nan")
+    logits = spark.createDataFrame([(0, 0, 0, nan, 0.0, 1.0, 0.0), (0, 0, 1, 1.0, 0.0, 0.0, nan)], LOGITS)
+    candidates = parsing.explode_candidates(packages, "query", "instruction")
+    routed = relevance.route_candidates(candidates, logits)
+    assert {r["pos"]: r["bucket"] for r in routed.collect()} == {0: "discarded_positive", 1: "valid_negative", 2: "unscored"}
+    assert relevance.filter_summary(routed).first()["unscored"] == 1
+    assert [r["passage_id"] for r in relevance.filtered_passages(candidates, logits).collect()] == [1]
+
+
+def test_text_ids_are_scored(spark):
+    frame = spark.createDataFrame([("a1", 0, 0, "q", "i", "p")], "id string, choice_index int, pos int, query string, instruction string, passage string")
+    scored = relevance.score_pairs(relevance.relevance_pairs(frame), catalog.word_scorer())
+    assert {r["id"] for r in relevance.pair_logits(scored).collect()} == {"a1"}
 
 
 def test_two_texts_per_candidate(spark):

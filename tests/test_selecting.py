@@ -48,3 +48,9 @@ def test_summary_and_preview(spark):
     first = selecting.selection_preview(packages).first()
     assert len(first["query_preview"]) <= 103 and first["query_preview"].endswith("...")
     assert (first["top_confidence"], first["negatives"], first["negative_confidences"]) == (0.95, 1, "0.250")
+
+
+def test_nan_is_never_chosen(spark):
+    packages = package_frame(spark, [("positive", float("nan")), ("positive", 0.8), ("negative", float("-inf"))])
+    row = selecting.select_responses(packages).first()
+    assert row["top_positive"]["pos"] == 1 and row["bottom_negatives"] == []
