@@ -31,11 +31,11 @@ class Rule(NamedTuple):
 def site_rule(host: str, path: str, verdict: str) -> Rule:
     """A rule for a host with all its subdomains and the paths that start with ``path``; longer rules rank higher.
 
-    Its pattern reads ``host``, a blank, and the path.
+    Its pattern reads the host, ``#``, and the path.
     """
     segments = path.split("/")[1:-1]
     tokens = re.findall("[A-Za-z0-9]+", " ".join([host, *segments]))
-    return Rule(host + path, rf"^(?:[^ ]*\.)?{re.escape(host)} {re.escape(path)}", tokens, verdict, 1000 + len(host + path))
+    return Rule(host + path, rf"^(?:[^#]*\.)?{re.escape(host)}#{re.escape(path)}", tokens, verdict, 1000 + len(host + path))
 
 
 def host_of(url: Column) -> Column:
@@ -54,8 +54,8 @@ def judge_urls(
 ) -> DataFrame:
     """Host, path, winning rule and verdict of every page, ``default`` where no rule fits.
 
-    Returns ``page_id, host, path, rule, verdict``. A pattern is matched against ``host path query``, with one blank
-    between each (the query holds its ``?`` and the fragment its ``#``). Null urls and urls without ``://`` have
+    Returns ``page_id, host, path, rule, verdict``. A pattern is matched against ``host#path#query``; neither host
+    nor path can hold a ``#`` (the query begins with its ``?``, and a fragment follows). Null urls and urls without ``://`` have
     empty host and path and are judged by ``default``. Repeated pages give repeated rows. A rule without tokens is refused, as nothing could fetch it.
     Each distinct url is judged once, so a url that a third of all pages share costs one row; the
     rule table may be of any size, Spark broadcasts it only when its statistics are below the threshold.
@@ -70,7 +70,7 @@ def judge_urls(
         "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
         F.regexp_extract("url", r"(?s)^.*?://[^?#]*(.*)$", 1).alias("query"),
     )
-    spelled = F.concat_ws(" ", "host", "path", "query")
+    spelled = F.concat_ws("#", "host", "path", "query")
     tokens = urls.select(
         "url", spelled.alias("spelled"),
         F.explode(F.array_distinct(F.regexp_extract_all(spelled, F.lit("([A-Za-z0-9]+)"), 1))).alias("token"))

@@ -53,10 +53,10 @@ URL_RULES = [
     op06_url_filters.site_rule("org", "/fr/", "allow"),
 ]
 URL_PATTERNS = [
-    op06_url_filters.Rule("listing", r" [^ ]*[?&]page=[0-9]+", ["page"], "block", 3),
-    op06_url_filters.Rule("login", r"^[^ ]* [^ ]*/login(?:[/.]|\s|$)", ["login"], "block", 2),
-    op06_url_filters.Rule("cart", r"^[^ ]* [^ ]*/cart(?:[/.]|\s|$)", ["cart"], "block", 2),
-    op06_url_filters.Rule("archive file", r"^[^ ]* [^ ]*\.zip(?:\s|$)", ["zip"], "block", 1),
+    op06_url_filters.Rule("listing", r"(?s)^[^#]*#.*[?&]page=[0-9]+", ["page"], "block", 3),
+    op06_url_filters.Rule("login", r"^[^#]*#[^#]*/login[/.#]", ["login"], "block", 2),
+    op06_url_filters.Rule("cart", r"^[^#]*#[^#]*/cart[/.#]", ["cart"], "block", 2),
+    op06_url_filters.Rule("archive file", r"^[^#]*#[^#]*\.zip#", ["zip"], "block", 1),
 ]
 
 

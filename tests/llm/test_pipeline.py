@@ -1,0 +1,35 @@
+"""The pipeline: stages keep the columns, take their decisions, and the last gives back each text."""
+
+from hashlib import sha256
+
+import corpus_pipeline as pipeline
+from instrel.llm import queries
+from instrel.llm.common import stored, table
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = table(spark, FOLDER, "documents")
+    columns, counts = docs.columns, [docs.count()]
+    for at, (name, stage) in enumerate(pipeline.STAGES):
+        before = {r.doc_id: r.text for r in docs.collect()}
+        docs = stored(stage(spark, docs, FOLDER), f"test-{at}")
+        counts.append(docs.count())
+        if at < 4:
+            assert docs.columns == columns, name
+            assert {r.doc_id for r in docs.select("doc_id").collect()} <= before.keys()
+    assert counts == sorted(counts, reverse=True) and counts[-1] == counts[-2] == counts[3] > 0
+    assert {r.doc_id: r.decoded_sha256 for r in docs.collect()} == {i: sha256(t.encode()).hexdigest() for i, t in before.items()}
+
+
+def test_stages_of_empty_tables_and_odd_rows(spark):
+    schema = table(spark, FOLDER, "documents").schema
+    rows = [(1, None, "en", "s", None), (2, "", None, None, 0), (None, "token=abcdefgh1 and clean words", "en", "s", 31), (3, "a clean text", "en", "s", 12), (3, "a clean text", "en", "s", 12)]
+    for given in ([], rows):
+        for _, stage in pipeline.STAGES[1:]:
+            assert stage(spark, spark.createDataFrame(given, schema), FOLDER).count() <= len(given)
+
+
+def test_queries_are_registered():
+    assert [int(name[2:].split("_")[0]) for name in queries.queries()] == list(range(1, 11))
