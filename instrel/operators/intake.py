@@ -81,10 +81,21 @@ def classified(completions: DataFrame, stage: str) -> DataFrame:
     return completions.sparkSession.read.schema(read.schema).parquet(path)
 
 
+def _answers(requests: DataFrame, good: DataFrame, stage: str) -> DataFrame:
+    """Requests joined with their completions on ``id``, which the completion's request id spells.
+
+    Both stages of a run are so joined on one key, and the inputs' texts are dealt out once.
+    """
+    kind = requests.schema["id"].dataType
+    start = len(stage) + 2
+    named = F.when(F.startswith("request_id", F.lit(f"{stage}:")), F.expr(f"substring(request_id, {start})"))
+    return requests.join(good.withColumn("id", named.try_cast(kind)).drop("request_id"), "id")
+
+
 def intake_instruction(requests: DataFrame, completions: DataFrame) -> DataFrame:
     """Requests with the instruction of their first choice; unusable ones are left out."""
     good = _read_instruction(completions).where(F.col("reason").isNull())
-    return requests.join(good.drop("choice_index", "content", "reason"), "request_id")
+    return _answers(requests, good.drop("choice_index", "content", "reason"), INSTRUCTION_STAGE)
 
 
 def instruction_rejects(requests: DataFrame, completions: DataFrame) -> DataFrame:
@@ -134,7 +145,7 @@ def intake_passages(
         good = good.join(broken_requests(choices), "request_id", "left_anti")
     elif on_bad != "skip_choice":
         raise ValueError("on_bad is lose_row or skip_choice")
-    return requests.join(good, "request_id")
+    return _answers(requests, good, PASSAGE_STAGE)
 
 
 def passage_rejects(

@@ -159,8 +159,8 @@ def test_skew_does_not_need_broadcast(spark, answered):
 def test_a_choice_delivered_twice_counts_once(spark):
     from instrel.operators import intake
 
-    wanted = spark.createDataFrame([("p:1", 1)], "request_id string, id int")
+    wanted = spark.createDataFrame([("passages:1", 1)], "request_id string, id int")
     good = '{"examples":[{"id":0}]}'
-    completions = spark.createDataFrame([("p:1", 0, good), ("p:1", 0, good), ("p:1", 1, good)], "request_id string, choice_index int, content string")
+    completions = spark.createDataFrame([("passages:1", 0, good), ("passages:1", 0, good), ("passages:1", 1, good)], "request_id string, choice_index int, content string")
     assert sorted(r["choice_index"] for r in intake.intake_passages(wanted, completions).collect()) == [0, 1]
     assert [(r["choice_index"], r["reason"]) for r in intake.passage_rejects(wanted, completions).collect()] == [(0, "duplicate")]
