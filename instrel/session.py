@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +31,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+@cache
+def _local_root() -> str:
+    """This process's own folder, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="run-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder the cluster names.
 
@@ -37,5 +48,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
