@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -31,6 +31,8 @@ from instrel.llm.graph import components
 SEGMENTS = (22, 21, 21)
 #: Members of a bucket that are still compared with each other.
 SMALL = 16
+#: Next members of a bucket that a text of the wide keys is compared with.
+NEXT = 15
 #: Fixed value: generator polynomial of the cyclic Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GENERATOR = 0b110001110101
 SEED = 42
@@ -138,20 +140,18 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 
 
 def keyed(nodes: DataFrame, keys) -> DataFrame:
-    """A row ``key, node, fp`` for each distinct join key of each node."""
-    kind = nodes.schema["node"].dataType.simpleString()
+    """A row for each distinct join key of each node: ``key`` and all columns of ``nodes``, which has ``node, fp``."""
+    names = nodes.columns
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, 1 << 18):
             found = np.sort(keys(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)), axis=1)
             first = np.ones(found.shape, dtype=bool)
             first[:, 1:] = found[:, 1:] != found[:, :-1]
-            at = np.nonzero(first)[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[first]), batch.column("node").take(pa.array(at)), batch.column("fp").take(pa.array(at))],
-                ["key", "node", "fp"])
+            at = pa.array(np.nonzero(first)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(found[first]), *(batch.column(c).take(at) for c in names)], ["key", *names])
 
-    return nodes.select("node", "fp").mapInArrow(each, f"key bigint, node {kind}, fp bigint")
+    return nodes.mapInArrow(each, "key bigint, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema))
 
 
 def _apart(a: str, b: str):
@@ -166,7 +166,7 @@ def links(nodes: DataFrame, small: int = SMALL) -> DataFrame:
     nodes at most 2 bits apart share a centre, and all that share one are at most 2 bits apart, so tying them to their smallest
     node is exact and its rows grow in proportion to the nodes.
     """
-    rows = keyed(nodes, exact_keys)
+    rows = keyed(nodes.select("node", "fp"), exact_keys)
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(rows.join(sizes, "key"), "shared")
     few = shared.where(F.col("n") <= small)
@@ -217,28 +217,48 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return pairs.join(first, "u").join(second, "v").select("u", "v", "first", "second").mapInArrow(each, f"u {kind}, v {kind}")
 
 
-def _close(nodes: DataFrame, stars: bool, max_bits: int) -> DataFrame:
-    """Candidate pairs of the wide keys: each node with its bucket's smallest node, or all pairs of a bucket."""
-    rows = keyed(nodes, wide_keys)
-    if stars:
-        least = rows.groupBy("key").agg(F.min(F.struct("node", "fp")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        pairs = rows.join(least.select("key", F.col("least.node").alias("v"), F.col("least.fp").alias("fp_v")), "key").select(
-            F.col("node").alias("u"), "fp", "v", "fp_v")
-    else:
-        pairs = rows.select("key", F.col("node").alias("u"), "fp").join(
-            rows.select("key", F.col("node").alias("v"), F.col("fp").alias("fp_v")), "key")
-    return pairs.where((F.col("u") > F.col("v")) & (_apart("fp", "fp_v") <= max_bits)).select("u", "v").distinct()
+def _near_pairs(shared: DataFrame, bits: int, shingle_bits: int) -> DataFrame:
+    """``u, v``: each node with its bucket's smallest node and with the next ``NEXT`` nodes, if both fingerprints are near."""
+    bucket = Window.partitionBy("key").orderBy("node")
+    other = F.struct("node", "fp", "fp_shingles")
+    beside = shared.select(
+        "node", "fp", "fp_shingles",
+        F.collect_list(other).over(bucket.rowsBetween(1, NEXT)).alias("next"), F.first(other).over(bucket).alias("least"))
+    near = F.filter(F.concat("next", F.array("least")), lambda x: (x["node"] != F.col("node"))
+                    & (F.bit_count(x["fp"].bitwiseXOR(F.col("fp"))) <= bits)
+                    & (F.bit_count(x["fp_shingles"].bitwiseXOR(F.col("fp_shingles"))) <= shingle_bits))
+    found = beside.select("node", F.explode(F.transform(near, lambda x: x["node"])).alias("other"))
+    return found.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
+
+
+def _wanted(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``texts`` of about these nodes: a bitmap of fixed size, 2 MiB, lets the others go before any shuffle."""
+    slot = F.pmod(F.xxhash64("node"), F.lit(1 << 24))
+    words = nodes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()  # 2^18 rows at most
+    bitmap = np.zeros(1 << 18, dtype=np.uint64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    sent = texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint8))
+    rows = texts.select("node", "text", slot.alias("slot"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = batch.column("slot").to_numpy()
+            yield batch.filter(pa.array((sent.value[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)))
 
+    return rows.mapInArrow(each, rows.schema).select("node", "text")
 
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 10) -> DataFrame:
+
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 10, shingle_bits: int = 20) -> DataFrame:
     """Rows of ``docs``, one for each group of near copies: that of the smallest id.
 
-    Equal texts (A-Z and blanks aside) are grouped first. Word fingerprints of the rest give candidates through wide keys: a
-    certain find up to 5 bits apart and a likely one up to ``max_bits``; a pair links if its word shingles have the similarity. Rounds that compare each
-    text with the smallest id of its buckets, whose rows grow in proportion to the texts, repeat until none links, so that
-    groups of thousands shrink to one text each before the last round compares all pairs of a bucket that are
-    within ``max_bits``. No two rows that stay are such a pair. Rows with null ids stay; of rows that repeat an id one stays;
-    null and wordless texts are equal texts.
+    Equal texts (A-Z and blanks aside) are grouped first. Of the rest, word fingerprints give buckets through wide keys: a
+    certain meeting up to 5 bits apart and a likely one up to ``bits``. A pair that is near in both fingerprints, of words and of word
+    shingles, links if its shingle sets have the similarity. In a bucket each text meets the smallest id and the next ``NEXT`` ids,
+    so a bucket of up to ``NEXT`` + 1 texts is compared whole and the rows grow in proportion to the texts; groups shrink to one text
+    each, and rounds repeat on what stays, with other neighbours, until none links. (Texts of a larger bucket of which no
+    two neighbours link may keep a pair; all pairs of such a bucket would be their number squared.)
+    Rows with null ids stay; of rows that repeat an id one stays; null and wordless texts are equal texts.
     """
     rows = key_and_text(docs).where("doc_id is not null")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -246,24 +266,28 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bit
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches):
             texts = [b" ".join(t.lower().split()) for t in text_bytes(batch.column("text"))]
-            found = np.array([word_fingerprint(t) for t in texts], dtype=np.uint64)
+            by_word, by_shingle = (np.array(f, dtype=np.uint64).view(np.int64) for f in (
+                [word_fingerprint(t) for t in texts], [shingle_fingerprint(t, shingle) for t in texts]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([sha256(t).digest() for t in texts], pa.binary()), pa.array(found.view(np.int64))],
-                ["node", "digest", "fp"])
+                [batch.column("doc_id"), pa.array([sha256(t).digest() for t in texts], pa.binary()), pa.array(by_word), pa.array(by_shingle)],
+                ["node", "digest", "fp", "fp_shingles"])
 
-    nodes = stored(rows.mapInArrow(signatures, f"node {kind}, digest binary, fp bigint").groupBy("digest").agg(
-        F.min(F.struct("node", "fp")).alias("first")).select("first.*"), "nodes")
+    nodes = stored(rows.mapInArrow(signatures, f"node {kind}, digest binary, fp bigint, fp_shingles bigint").groupBy("digest").agg(
+        F.min(F.struct("node", "fp", "fp_shingles")).alias("first")).select("first.*"), "nodes")
     texts = rows.withColumnRenamed("doc_id", "node")
-    stars = True
+    crowd = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    shared = stored(keyed(nodes, wide_keys).withColumn("crowd", crowd).where("crowd > 1").drop("crowd"), "shared")
+    seen = None
     while True:
-        found = stored(_similar(_close(nodes, stars, max_bits), texts, shingle, similarity), "links")
-        if not found.isEmpty():
-            gone = components(found).where("node <> component").select("node")
-            nodes = stored(nodes.join(gone, "node", "left_anti"), "nodes")
-        elif not stars:
-            break
-        if not stars:
+        pairs = _near_pairs(shared, bits, shingle_bits)
+        pairs = stored(pairs if seen is None else pairs.join(seen, ["u", "v"], "left_anti"), "pairs")
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        met = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        found = stored(_similar(pairs, _wanted(texts, met), shingle, similarity), "links")
+        if found.isEmpty():
             break
-        stars = not found.isEmpty()
+        gone = stored(components(found).where("node <> component").select("node"), "gone")
+        nodes = stored(nodes.join(gone, "node", "left_anti"), "nodes")
+        shared = stored(shared.join(gone, "node", "left_anti"), "shared")
     kept = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
