@@ -106,3 +106,51 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert op.near_duplicates(docs).count() == 0
     assert op.keep_one(docs).count() == 0
+
+
+def smallest_of_groups(texts, shingle=5, similarity=0.8):
+    """Smallest ids of the components of all pairs at the similarity; ``texts``: id to text."""
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+
+    sets = {i: shingles(t) for i, t in texts.items()}
+    root = {i: i for i in sets}
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in combinations(sorted(sets), 2):
+        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return sorted(i for i in sets if find(i) == i)
+
+
+def kept_ids(spark, texts):
+    return sorted(r.doc_id for r in op.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect())
+
+
+def crowd(rng, n):
+    """Texts of one stem, most of them below 0.8 of each other, with a few pairs above; ids of a pair lie far apart."""
+    stem = [f"w{k}" for k in range(200)]
+    texts = {}
+    for i in range(n):
+        words = list(stem)
+        for k in rng.sample(range(200), 14):
+            words[k] = f"x{i}y{k}"
+        texts[i] = words
+    for k in range(0, n, 10):
+        near = list(texts[k])
+        near[rng.randrange(200)] = "other"
+        texts[n + k] = near
+    return {i: " ".join(w) for i, w in texts.items()}
+
+
+@pytest.mark.parametrize("block", [7, 512])
+def test_keep_one_compares_whole_crowds(spark, monkeypatch, block):
+    monkeypatch.setattr(op, "BLOCK", block)
+    texts = crowd(random.Random(block), 120)
+    want = smallest_of_groups(texts)
+    assert 100 < len(want) < len(texts)
+    assert kept_ids(spark, texts) == want
