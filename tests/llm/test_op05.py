@@ -154,3 +154,27 @@ def test_keep_one_compares_whole_crowds(spark, monkeypatch, block):
     want = smallest_of_groups(texts)
     assert 100 < len(want) < len(texts)
     assert kept_ids(spark, texts) == want
+
+
+def test_keep_one_takes_appended_truncated_and_padded_copies(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(4000)]
+    texts = {}
+    for i in range(40):
+        own = [rng.choice(words) for _ in range(220)]
+        texts[i] = own
+        texts[100 + i] = own + [f"new{i}q{k}" for k in range(rng.randrange(46, 58))]
+        texts[200 + i] = own[:rng.randrange(172, 182)]
+        texts[300 + i] = own + own[20:60] * rng.randrange(5, 40)
+    texts = {i: " ".join(w) for i, w in texts.items()}
+    want = smallest_of_groups(texts)
+    assert 40 <= len(want) < 100
+    assert kept_ids(spark, texts) == want
+
+
+def test_keep_one_keeps_other_texts_of_a_repeated_id(spark):
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"{t}{rng.randrange(1000)}" for _ in range(60)) for t in "abc")
+    rows = [(1, a, "s"), (1, b, "s"), (2, b, "s"), (3, c, "s"), (3, c, "s"), (0, c, "s")]
+    kept = op.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, a), (1, b), (0, c)])
