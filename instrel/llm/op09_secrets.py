@@ -2,9 +2,12 @@
 
 Fixed patterns give the base spans. Runs of 20 and more characters of base64 are
 tested for randomness within the encoding that their characters suggest (hex,
-base32, base36, base62, base64): chi-squared uniformity over the alphabet, the
-number of runs above and below the alphabet's middle, and the serial correlation
-of neighbours. The least of the three two-sided p-values, times three, is the
+base32, base36, base62, base64, base36 with dashes). Of a run without one of the
+first eight, such as a key behind a path or a prefix, the parts of 20 and more
+characters between its slashes, between its dashes and between both are tested
+too. The tests are chi-squared uniformity over the alphabet, the number of runs
+above and below the alphabet's middle, and the serial correlation of neighbours.
+The least of the three two-sided p-values, times three, is the
 run's. Long enough text fails these tests and a key passes. Which runs count as
 failing is decided by Benjamini and Hochberg's procedure within classes of
 length, so that at most a share ``RATE`` of the runs taken for text are expected
@@ -33,6 +36,9 @@ LEAST_VALUE = 6
 RATE = 0.05
 STEPS = 400
 
+#: Parts of a run that has no encoding of its own.
+PARTS = ("[A-Za-z0-9_-]{20,}", "[A-Za-z0-9+/]{20,}", "[A-Za-z0-9]{20,}")
+
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings in the order in which they are inferred: name, what a run must match, alphabet.
 ENCODINGS = [
@@ -45,6 +51,11 @@ ENCODINGS = [
     ("base64", "^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/]+$", _UPPER + _LOWER + _DIGITS + "+/"),
     ("base64url", "^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z_-]+$", _UPPER + _LOWER + _DIGITS + "-_"),
 ]
+#: For what has none of these. (Slashes and one case make no encoding: in so wide an alphabet paths of short names pass for keys.)
+DASHED = [
+    ("dashed base36", "^(?=.*[0-9])(?=.*[a-z])[0-9a-z_-]+$", _DIGITS + _LOWER + "-_"),
+    ("dashed BASE36", "^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z_-]+$", _DIGITS + _UPPER + "-_"),
+]
 
 
 def _matches(text: Column, pattern: str, kind: int) -> Column:
@@ -64,15 +75,42 @@ def _two_sided(z: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(1e-300), poly * F.exp(-x * x)))
 
 
+def _encoding(value: Column, encodings: list) -> Column:
+    body = F.rtrim(value, F.lit("="))
+    return F.coalesce(*(F.when(body.rlike(pattern), F.lit(i)) for i, (_, pattern, _) in enumerate(encodings)))
+
+
+def with_parts(runs: DataFrame) -> DataFrame:
+    """``doc, start, end, value, run`` of ``runs`` and of the parts of those without an encoding of their own; ``run``: where the run starts."""
+    columns = ["doc", "start", "end", "value", "run"]
+    whole = runs.withColumn("run", F.col("start")).select(*columns)
+    mixed = whole.where(_encoding(F.col("value"), ENCODINGS).isNull())
+    parts = mixed.select("doc", "run", F.explode(F.concat(
+        *(_matches(F.col("value"), pattern, kind) for kind, pattern in enumerate(PARTS)))).alias("m")).select("doc", "run", "m.*")
+    so_far = Window.partitionBy("doc", "run", "kind").orderBy("nr").rowsBetween(Window.unboundedPreceding, 0)
+    placed = parts.withColumn("end", F.col("run") + F.sum(F.col("gap") + F.length("value")).over(so_far)).withColumn(
+        "start", F.col("end") - F.length("value"))
+    # A part may be found by several patterns, or be the whole run.
+    several = placed.select(*columns).unionByName(mixed).dropDuplicates(["doc", "start", "end"])
+    return whole.where(_encoding(F.col("value"), ENCODINGS).isNotNull()).unionByName(several)
+
+
+def outermost(found: DataFrame) -> DataFrame:
+    """``found`` without spans that lie in another of the same run."""
+    before = Window.partitionBy("doc", "run").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return found.withColumn("reach", F.max("end").over(before)).where(F.col("reach").isNull() | (F.col("end") > F.col("reach"))).drop("reach")
+
+
 def test_runs(runs: DataFrame) -> DataFrame:
     """``runs`` (with a column ``value``) that have an encoding, with ``p`` and ``length``."""
     body = F.rtrim(F.col("value"), F.lit("="))
-    encoding = F.coalesce(*(F.when(body.rlike(pattern), F.lit(i)) for i, (_, pattern, _) in enumerate(ENCODINGS)))
+    encodings = ENCODINGS + DASHED
+    encoding = _encoding(F.col("value"), encodings)
     coded = runs.withColumn("body", body).withColumn("encoding", encoding).where("encoding is not null")
-    pick = lambda of: F.element_at(F.array(*(of(alphabet) for _, _, alphabet in ENCODINGS)), F.col("encoding") + 1)
+    pick = lambda of: F.element_at(F.array(*(of(alphabet) for _, _, alphabet in encodings)), F.col("encoding") + 1)
     bits = F.coalesce(*(
         F.when(F.col("encoding") == i, F.translate("body", a, "0" * (len(a) // 2) + "1" * (len(a) - len(a) // 2)))
-        for i, (_, _, a) in enumerate(ENCODINGS)))
+        for i, (_, _, a) in enumerate(encodings)))
     sized = coded.select(
         "*", pick(F.lit).alias("alphabet"), bits.alias("bits"), F.length("body").cast("double").alias("n"))
     k = F.length("alphabet").cast("double")
@@ -137,7 +175,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value")
     base = placed.where((F.col("kind") < 3) & (
         (F.col("kind") > 0) | (F.length(F.regexp_extract("value", ASSIGN, 2)) >= LEAST_VALUE)))
-    random = random_runs(test_runs(placed.where(F.col("kind") == 3)), rate)
+    random = outermost(random_runs(test_runs(with_parts(placed.where(F.col("kind") == KINDS.index("random")))), rate)).withColumn(
+        "kind", F.lit(KINDS.index("random")))
     columns = ["doc", "kind", "start", "end"]
     return base.select(*columns).unionByName(random.select(*columns))
 

@@ -62,6 +62,23 @@ def test_random_keys_are_found_and_words_left(spark):
     assert not hit - set(range(len(keys)))
 
 
+def test_keys_behind_prefixes_and_paths(spark):
+    rng = random.Random(12)
+    draw = lambda n, some: "".join(rng.choice(some) for _ in range(n))
+    low, full = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    glued = [("key-", draw(32, low)) for _ in range(20)] + [("xoxb-123456789012-", draw(24, low)) for _ in range(20)]
+    glued += [("aws-", draw(13, full) + "/" + draw(13, full) + "+" + draw(12, full)) for _ in range(20)]
+    glued += [("com/my-app/", draw(40, full)) for _ in range(20)] + [("", draw(12, low) + "-" + draw(12, low) + "-" + draw(12, low)) for _ in range(20)]
+    slugs = ["how-to-build-a-house-in-the-middle-of-2024-edition", "lib/python3/site-packages/package/module", "SECTION-THREE-OF-THE-MANUAL-OF-2024-AND-MORE"]
+    frame = spark.createDataFrame([(i, f"see {a}{b} here") for i, (a, b) in enumerate([*glued, *(("", s) for s in slugs)])], "doc_id long, text string")
+    spans = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == 3] for r in op.scan(frame).collect()}
+    assert not any(spans[len(glued) + i] for i in range(len(slugs)))
+    for at in range(0, len(glued), 20):
+        hit = sum(any(s <= 4 + len(a) and e >= 4 + len(a) + len(b) for s, e in spans[i]) for i, (a, b) in list(enumerate(glued))[at:at + 20])
+        assert hit >= 16, glued[at]
+    assert all(len(found) < 2 for found in spans.values())
+
+
 def test_redact(spark):
     rows = [(1, "a token=abcdef b é " + "0f" * 20 + " c", "s"), (2, None, "s"), (3, "clean", None), (None, "passwd: secret99", "s"), (3, "clean", None), (4, "", "s")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, cuts string")
