@@ -7,7 +7,9 @@ descends to the region, the rack and the shard with the least draw: it meets
 every node with a probability proportional to the node's weight. A weight that
 changes redraws nothing else: a key moves only if the changed shard's draw falls
 below all others or rises above one of them. So a heavier or added shard takes
-keys only into itself, wherever in the tree it stands.
+keys only into itself, wherever in the tree it stands. The shard is thus that of
+a flat weighted rendezvous: if one shard of a rack rises and another falls by as
+much, keys do cross racks although no rack's weight changed.
 """
 
 from __future__ import annotations
