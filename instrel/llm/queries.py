@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from instrel.llm import op01_sharding, op02_context_tree, op03_quality, op04_toxicity, op05_simhash, op06_url_filters
 from instrel.llm import op07_cross_polytope, op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
+from instrel.llm import op11_packing as packing
 from instrel.llm.common import table
 
 SHARDS = 24
@@ -91,6 +92,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+PACKING_TOKENIZER = "byte_bpe_50k.json"
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 ids."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -103,4 +113,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_secrets": op9_secrets,
         "op10_decontamination": op10_decontamination,
+        "op11_packing": op11_packing,
     }
