@@ -5,6 +5,7 @@ _PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 _QUERY = r"coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*(.*)$', 1), '')"
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE = {
@@ -38,4 +39,24 @@ select page_id, host, path, rule,
   case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block'
     when pattern is not null then 'block' else 'allow' end as verdict,
   case when rule is null then pattern end as pattern from sites""",
+    "op12_divergence": rf"""
+with docs as (select row_number() over () as nr, coalesce(lang, '') as lang, coalesce(source, '') as source, {_TERMS} as t from documents),
+words as (select nr, lang, source, unnest(t) as term from docs),
+kept as (select lang, term from words group by lang, term having count(distinct nr) >= 10),
+sizes as (select lang, count(*) as v from kept group by lang),
+groups as (select lang, source, coalesce(v, 0) as v from (select distinct lang, source from docs) left join sizes using (lang)),
+used as (select lang, source, term, count(*) as n from words join kept using (lang, term) group by lang, source, term),
+totals as (select lang, source, sum(n) as total from used group by lang, source),
+slots as (select g.lang, g.source, term, 1 + (1000000000::hugeint * (coalesce(n, 0) + 2)) // (coalesce(total, 0) + 2 * v)::hugeint as p, coalesce(n, 0) as n
+  from groups g join kept using (lang) left join used using (lang, source, term) left join totals using (lang, source)),
+whole as (select lang, term, 1 + (1000000000::hugeint * (sum(n) + 2)) // (any_value(total) + 2 * any_value(v))::hugeint as q
+  from used join (select lang, sum(total) as total from totals group by lang) using (lang) join sizes using (lang) group by lang, term),
+pairs as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from slots a join slots b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pair_rows as (select a.lang, a.source, b.source as item, coalesce(value, 0) as value from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source),
+term_rows as (select lang, source, term as item, (p - q) * (p - q) // (p + q) as value from slots join whole using (lang, term) where n > 0 and p > q),
+ranked as (select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pair_rows
+  union all select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item) from term_rows)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from ranked where part = 'pair' or rank <= 10""",
 }

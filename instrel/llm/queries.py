@@ -12,6 +12,7 @@ from instrel.llm import op01_sharding, op02_context_tree, op03_quality, op04_tox
 from instrel.llm import op07_cross_polytope, op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm import op11_packing as packing
+from instrel.llm import op12_divergence as divergence
 from instrel.llm.common import table
 
 SHARDS = 24
@@ -101,6 +102,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -114,4 +120,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": op9_secrets,
         "op10_decontamination": op10_decontamination,
         "op11_packing": op11_packing,
+        "op12_divergence": op12_divergence,
     }
