@@ -13,6 +13,7 @@ from instrel.llm import op07_cross_polytope, op08_bpe, op09_secrets
 from instrel.llm import op10_decontamination as decontamination
 from instrel.llm import op11_packing as packing
 from instrel.llm import op12_divergence as divergence
+from instrel.llm import op13_vector_codes as vector_codes
 from instrel.llm.common import table
 
 SHARDS = 24
@@ -107,6 +108,15 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors after two rounds."""
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    totals = coded.rows.groupBy(F.col("label").alias("total_of")).agg(F.sum("error").alias("label_error"))
+    return coded.rows.join(totals, F.col("label").eqNullSafe(F.col("total_of"))).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.sha2(F.lit(vector_codes.spelled(coded.codebooks)).cast("binary"), 256).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -121,4 +131,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontamination": op10_decontamination,
         "op11_packing": op11_packing,
         "op12_divergence": op12_divergence,
+        "op13_vector_codes": op13_vector_codes,
     }
