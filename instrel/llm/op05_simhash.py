@@ -8,16 +8,12 @@ bits always share a key. Two fingerprints at most 2 bits apart have, by the
 pigeonhole principle, a segment without errors, and the next segment then has
 at most 2: the exact bits of the one with the code keys of the other make the
 join key, and a match is verified on all 64 bits.
-
-The pipeline's near-duplicate stage decides on Jaccard similarity of word shingles
-instead and finds its pairs by prefixes of the shingle sets, without fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from hashlib import sha256
 from itertools import combinations
 
 import numpy as np
@@ -36,14 +32,6 @@ SMALL = 16
 #: Fixed value: generator polynomial of the cyclic Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GENERATOR = 0b110001110101
 SEED = 42
-#: Slots in which shingles are counted, as bits of a slot's number.
-SLOT_BITS = 20
-#: Words whose hashes a task remembers.
-REMEMBERED = 200_000
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 512
-#: Longs of a shingle set's parities.
-PARITIES = 4
 #: Bits that linked fingerprints may differ in; what the keys guarantee.
 MAX_BITS = 2
 _CHUNK = 1 << 16
@@ -181,199 +169,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` for each group that links of at most ``MAX_BITS`` bits connect: that of the smallest id.
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxh64_intdigest(word, SEED)
-        return value
-
-
-def shingle_hashes(words: list[bytes], shingle: int, known: _Hashes) -> np.ndarray:
-    """A hash of each distinct shingle, in order; fewer words than a shingle has are one."""
-    if len(known) > REMEMBERED:
-        known.clear()
-    own = np.array(list(map(known.__getitem__, words)), dtype=np.uint64)
-    size = min(shingle, len(own))
-    n = len(own) - size + 1
-    mixed = np.full(n, size, dtype=np.uint64)
-    for k in range(size):
-        mixed = (mixed ^ own[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed * np.uint64(0xBF58476D1CE4E5B9)) if size else np.zeros(1, np.uint64)
-
-
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def shingle_levels(rows: DataFrame, shingle: int) -> np.ndarray:
-    """For each slot the magnitude of the number of shingles in it: a table of fixed size that puts frequent shingles last."""
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = _Hashes(), np.zeros(1 << SLOT_BITS, dtype=np.int64)
-        for batch in sized_batches(batches):
-            for text in text_bytes(batch.column("text")):
-                slots = _slots(shingle_hashes(text.lower().split(), shingle, known))
-                np.add.at(counts, slots, 1)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["slot", "n"])
-
-    found = rows.select("text").mapInArrow(each, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << SLOT_BITS)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return np.log2(counts + 1).astype(np.uint8)
-
-
-def prefix(hashes: np.ndarray, levels: np.ndarray, similarity: float) -> np.ndarray:
-    """The first hashes in the order of level and value: two sets of this Jaccard similarity have one of these in common.
-
-    Of a set of n, ``similarity`` x n at least are in any such other set, so these cannot all be among the last; the first common
-    one in an order that all sets obey is in both prefixes.
-    """
-    order = np.lexsort((hashes, levels[_slots(hashes)]))
-    return hashes[order[:len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1]]
-
-
-def parities(hashes: np.ndarray) -> np.ndarray:
-    """Whether an odd number of hashes falls to each bit; as many bits as two sets differ in, they differ in hashes at least."""
-    bits = np.bincount((hashes & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
-
-
-def _nodes_of(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """A row for each distinct text: ``node`` (a number), ``doc_id, text_hash`` of its smallest row, ``size`` of its shingle set, ``keys``, parities."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    levels = rows.sparkSession.sparkContext.broadcast(shingle_levels(rows, shingle))
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for batch in sized_batches(batches):
-            digests, sizes, keys, odd = [], [], [], []
-            for text in text_bytes(batch.column("text")):
-                words = text.lower().split()
-                hashes = shingle_hashes(words, shingle, known)
-                digests.append(sha256(b" ".join(words)).digest())
-                sizes.append(len(hashes))
-                keys.append(prefix(hashes, levels.value, similarity).view(np.int64))
-                odd.append(parities(hashes))
-            ends = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            odd = np.array(odd, dtype=np.int64).reshape(-1, PARITIES)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists,
-                 *(pa.array(odd[:, k]) for k in range(PARITIES))],
-                ["doc_id", "text_hash", "digest", "size", "keys", *(f"odd{k}" for k in range(PARITIES))])
-
-    odd = [f"odd{k}" for k in range(PARITIES)]
-    signed = rows.mapInArrow(each, f"doc_id {kind}, text_hash bigint, digest binary, size int, keys array<bigint>, "
-                             + ", ".join(f"{c} bigint" for c in odd))
-    first = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash", "size", "keys", *odd)).alias("first"))
-    return stored(first.select(F.monotonically_increasing_id().alias("node"), "first.*"), "nodes")
-
-
-def _may_reach(similarity: float):
-    """Whether rows ``a`` and ``b`` of one key can be of sets this similar; exact for the first key that two such sets share.
-
-    No more hashes are common than follow either place, and sets of these sizes differ in a share of both at most.
-    """
-    both = F.col("a.size") + F.col("b.size")
-    apart = sum((F.bit_count(F.col(f"a.odd{k}").bitwiseXOR(F.col(f"b.odd{k}"))) for k in range(PARITIES)), F.lit(0))
-    common = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
-    return (common + 1e-6 >= both * (similarity / (1 + similarity))) & (apart <= both * ((1 - similarity) / (1 + similarity)) + 1e-6)
-
-
-def _pair_of(found: DataFrame) -> DataFrame:
-    return found.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
-
-
-def _star_pairs(shared: DataFrame, similarity: float) -> DataFrame:
-    """Each node of a bucket with its smallest."""
-    return _pair_of(shared.where("node <> least").alias("a").join(
-        shared.where("node = least").alias("b"), (F.col("a.key") == F.col("b.key")) & _may_reach(similarity)))
-
-
-def _all_pairs(shared: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of a bucket whose ``component`` differs. Buckets are dealt in blocks of about ``BLOCK``, each pair of blocks by itself."""
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    dealt = shared.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    a = dealt.withColumn("with", F.explode(F.sequence("own", F.col("blocks") - 1))).alias("a")
-    b = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), "own"))).alias("b")
-    return _pair_of(a.join(
-        b, (F.col("a.key") == F.col("b.key")) & (F.col("a.own") == F.col("b.with")) & (F.col("a.with") == F.col("b.own"))
-        & ((F.col("a.own") < F.col("b.own")) | (F.col("a.node") < F.col("b.node")))
-        & (F.col("a.component") != F.col("b.component")) & _may_reach(similarity)))
-
-
-def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs ``u, v`` whose sets of word shingles have at least this Jaccard similarity."""
-    first = texts.select(F.col("node").alias("u"), F.col("text").alias("first"))
-    second = texts.select(F.col("node").alias("v"), F.col("text").alias("second"))
-
-    def shingles(text: bytes) -> set[bytes]:
-        words = text.lower().split()
-        return {b" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches):
-            kept = []
-            for a, b in zip(text_bytes(batch.column("first")), text_bytes(batch.column("second")), strict=True):
-                x, y = shingles(a), shingles(b)
-                kept.append(len(x & y) >= similarity * len(x | y))
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(kept, pa.bool_()))
-
-    return pairs.join(first, "u").join(second, "v").select("u", "v", "first", "second").mapInArrow(each, "u bigint, v bigint")
-
-
-def _wanted(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, text`` of these nodes: a bitmap of fixed size, 2 MiB, lets most other rows go before any shuffle."""
-    slot = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 24))
-    words = nodes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()  # 2^18 rows at most
-    bitmap = np.zeros(1 << 18, dtype=np.uint64)
-    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    sent = rows.sparkSession.sparkContext.broadcast(bitmap.view(np.uint8))
-    slotted = rows.select("doc_id", "text_hash", "text", slot.alias("slot"))
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = batch.column("slot").to_numpy()
-            yield batch.filter(pa.array((sent.value[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)))
-
-    some = slotted.mapInArrow(each, slotted.schema).select("doc_id", "text_hash", "text")
-    return some.join(nodes, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
-
-
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Rows of ``docs``, one for each group that pairs of this Jaccard similarity connect: that of the smallest id.
-
-    Equal texts (A-Z and blanks aside) are grouped first. Of the others each gives its prefix, the rarest fifth of its shingles: texts of
-    the similarity have one in common, so all such pairs meet in a bucket, however large. Each text meets the smallest of its
-    buckets; then all pairs meet that this has not connected, which leaves the components of all pairs. What sizes, places and
-    parities rule out is not fetched; the shingle sets themselves decide.
-    Rows with null ids stay; of rows that repeat id and text one stays; null and wordless texts are equal texts.
+    Null ids come last; of rows with one id in a group the one of the smallest text hash stays, and of rows that repeat id and text one.
+    Null and wordless texts have fingerprint zero and are one group. Groups are found on distinct fingerprints, so the number of
+    copies of a text does not matter; texts move only in the join that picks the rows that stay.
     """
-    rows = key_and_text(docs).where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    nodes = _nodes_of(rows, shingle, similarity)
-    keys = nodes.select("node", "size", F.posexplode("keys").alias("at", "key"))
-    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).where("n > 1")
-    odd = [f"odd{k}" for k in range(PARITIES)]
-    shared = stored(keys.join(buckets, "key").join(nodes.select("node", *odd), "node"), "shared")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        met = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        asked = stored(nodes.select("node", "doc_id", "text_hash").join(met, "node", "left_semi"), "met")
-        return stored(_similar(pairs, _wanted(rows, asked), shingle, similarity), "links")
-
-    stars = stored(_star_pairs(shared, similarity), "pairs")
-    found = linked(stars)
-    reached = stored(components(found), "reached")
-    labelled = stored(shared.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
-    others = stored(_all_pairs(labelled, similarity).join(stars, ["u", "v"], "left_anti"), "pairs")
-    more = linked(others)
-    if not more.isEmpty():
-        reached = stored(components(found.unionByName(more)), "reached")
-    kept = nodes.select("node", "doc_id", "text_hash").join(reached, "node", "left").groupBy(F.coalesce("component", "node")).agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("kept")).select("kept.doc_id", F.col("kept.text_hash").alias("kept_hash"))
-    known = docs.where("doc_id is not null").select(
-        F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("kept_hash"))
-    once = known.join(kept, ["doc_id", "kept_hash"], "left_semi").dropDuplicates(["doc_id", "kept_hash"])
-    return once.select("row.*").unionByName(docs.where("doc_id is null"))
+    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash")).alias("key")
+    found = stored(fingerprints(docs.select(key, "text"), shingle, "key"), "fingerprints")
+    order = F.struct(F.col("doc_id.doc_id").isNull().alias("last"), F.col("doc_id").alias("key"))
+    firsts = stored(found.groupBy(F.col("fp").alias("node")).agg(F.min(order).alias("first")), "nodes")
+    reached = components(links(firsts.select("node", F.col("node").alias("fp"))))
+    kept = firsts.join(reached, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first")).select("first.key")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key)
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

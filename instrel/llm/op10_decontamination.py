@@ -139,13 +139,13 @@ def _extend(joined: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches):
             starts, ends = [], []
-            columns = [batch.column(c).to_pylist() for c in ("length", "at", "low", "around", "item_at", "item_low", "item_around")]
-            for length, at, low, around, item_at, item_low, item_around in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("length", "at", "low", "around", "item_at", "item_around")]
+            for length, at, low, around, item_at, item_around in zip(*columns, strict=True):
                 x, y = around.split(" "), item_around.split(" ")
                 if length < WINDOW:
                     a, b = (at, at + length) if x == y else (0, 0)
                 else:
-                    i, j = at - low, item_at - item_low
+                    i, j = at - low, item_at
                     same = x[i:i + GRAM] == y[j:j + GRAM]
                     left = right = 0
                     while same and left < min(i, j) and x[i - left - 1] == y[j - left - 1]:
@@ -175,7 +175,7 @@ def shared_spans(
     """``doc, item_id, start, end``: word ranges of documents that are made of windows of an item; ``doc`` holds ``doc_id``.
 
     Every word of every occurrence of a window is in one of the ranges, which may overlap. Null and wordless texts share nothing,
-    nor do null items; repeated rows give repeated ranges. A fingerprint that a third of all documents hold is only the larger
+    nor do null items; repeated rows give repeated ranges, and an item that repeats itself gives as many as it has different contexts. A fingerprint that a third of all documents hold is only the larger
     side of an equi-join, which adaptive execution splits.
     """
     spark = docs.sparkSession
@@ -187,10 +187,10 @@ def shared_spans(
     rows = _keyed(docs, id_col, text_col).where("text is not null")
     kind = rows.schema["doc"].dataType.simpleString()
     marks = rows.mapInArrow(*_rows("doc", "text", f"doc {kind}", False, lengths, slots))
-    joined = marks.join(grams.select(
-        "item_id", "mark", "length", F.col("at").alias("item_at"), F.col("low").alias("item_low"), F.col("around").alias("item_around")),
-        ["mark", "length"])
-    return _extend(joined)
+    # Where a gram stands in its context is all that extending needs, so an item that repeats itself gives one row for each context.
+    contexts = grams.select(
+        "item_id", "mark", "length", (F.col("at") - F.col("low")).alias("item_at"), F.col("around").alias("item_around")).distinct()
+    return _extend(marks.join(contexts, ["mark", "length"]))
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
@@ -228,7 +228,6 @@ def contamination(
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark; null texts are clean."""
-    bad = shared_spans(docs, benchmark).select(
-        F.col("doc.doc_id").alias("bad_id"), F.col("doc.text_hash").alias("bad_hash")).distinct()
-    own = F.xxhash64(docs["text"])
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (own == F.col("bad_hash")), "left_anti")
+    bad = shared_spans(docs, benchmark).select("doc").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc"))
+    return rows.join(bad, "doc", "left_anti").select("row.*")

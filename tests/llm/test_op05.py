@@ -87,94 +87,53 @@ def test_near_duplicates_of_odd_rows(spark):
         assert r.component_id == want[5 if r.doc_id is None else r.doc_id]
 
 
-def test_keep_one_takes_copies_and_leaves_others(spark):
-    rng = random.Random(3)
+def brute_kept(rows):
+    """Positions of the rows that stay; ``rows``: (doc_id, text). Of equal rows the first."""
+    prints = [brute(t) for _, t in rows]
+    root = brute_components(dict(enumerate(prints)))
+    groups = {}
+    for at, (i, t) in enumerate(rows):
+        key = (i is None, i or 0, xxh64_intdigest((t or "").encode(), 42) if t is not None else 42)
+        signed = key[2] - (1 << 64) if key[2] >> 63 else key[2]
+        groups.setdefault(root[at], []).append((key[:2], signed, at))
+    return sorted(min(members)[2] for members in groups.values())
+
+
+def near_copies(rng, n=40):
     words = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(2, 8))) for _ in range(3000)]
-    texts = [" ".join(rng.choice(words) for _ in range(220)) for _ in range(30)]
-    docs = [(i, t) for i, t in enumerate(texts)]
-    near = texts[4].split()
-    near[50] = "changed"
-    docs += [(100, texts[3].upper()), (101, " ".join(near)), (102, texts[5]), (102, texts[5]), (None, texts[6]), (103, None), (104, "")]
-    frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, source string")
+    rows = []
+    for i in range(n):
+        own = [rng.choice(words) for _ in range(rng.randrange(100, 400))]
+        rows.append((i, " ".join(own)))
+        for k in range(rng.randrange(4)):
+            near = list(own)
+            near[rng.randrange(len(near))] = rng.choice(words)
+            rows.append((1000 - 10 * i - k, " ".join(near).title()))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_keep_one_equals_brute_force(spark):
+    rows = near_copies(random.Random(3))
+    rows += [(5000 + i, rows[0][1]) for i in range(300)]
+    frame = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, key string, fp int")
     kept = op.keep_one(frame)
     assert kept.columns == frame.columns
-    ids = sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is None, i))
-    assert ids == [*range(30), 103, None]
+    want = brute_kept(rows)
+    assert 40 <= len(want) < len(rows) - 300
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(rows[at] for at in want)
+
+
+def test_keep_one_of_odd_rows(spark):
+    base, other = "The quick brown fox Jumps over É the lazy dog " * 3, "one two three four"
+    rows = [(5, base), (2, base), (9, None), (4, ""), (7, " \n"), (None, base), (2, base), (3, other), (3, "some thing else here"),
+            (3, other), (None, "alone"), (None, "alone"), (6, "some thing else here"), (11, "x " * 70000)]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, row string")
+    got = sorted(((r.doc_id, r.text) for r in op.keep_one(frame).collect()), key=str)
+    assert got == sorted((rows[at] for at in brute_kept(rows)), key=str)
 
 
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert op.near_duplicates(docs).count() == 0
     assert op.keep_one(docs).count() == 0
-
-
-def smallest_of_groups(texts, shingle=5, similarity=0.8):
-    """Smallest ids of the components of all pairs at the similarity; ``texts``: id to text."""
-    def shingles(text):
-        words = text.lower().split()
-        return {tuple(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
-
-    sets = {i: shingles(t) for i, t in texts.items()}
-    root = {i: i for i in sets}
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-    for a, b in combinations(sorted(sets), 2):
-        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
-            x, y = find(a), find(b)
-            root[max(x, y)] = min(x, y)
-    return sorted(i for i in sets if find(i) == i)
-
-
-def kept_ids(spark, texts):
-    return sorted(r.doc_id for r in op.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect())
-
-
-def crowd(rng, n):
-    """Texts of one stem, most of them below 0.8 of each other, with a few pairs above; ids of a pair lie far apart."""
-    stem = [f"w{k}" for k in range(200)]
-    texts = {}
-    for i in range(n):
-        words = list(stem)
-        for k in rng.sample(range(200), 14):
-            words[k] = f"x{i}y{k}"
-        texts[i] = words
-    for k in range(0, n, 10):
-        near = list(texts[k])
-        near[rng.randrange(200)] = "other"
-        texts[n + k] = near
-    return {i: " ".join(w) for i, w in texts.items()}
-
-
-@pytest.mark.parametrize("block", [7, 512])
-def test_keep_one_compares_whole_crowds(spark, monkeypatch, block):
-    monkeypatch.setattr(op, "BLOCK", block)
-    texts = crowd(random.Random(block), 120)
-    want = smallest_of_groups(texts)
-    assert 100 < len(want) < len(texts)
-    assert kept_ids(spark, texts) == want
-
-
-def test_keep_one_takes_appended_truncated_and_padded_copies(spark):
-    rng = random.Random(8)
-    words = ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(4000)]
-    texts = {}
-    for i in range(40):
-        own = [rng.choice(words) for _ in range(220)]
-        texts[i] = own
-        texts[100 + i] = own + [f"new{i}q{k}" for k in range(rng.randrange(46, 58))]
-        texts[200 + i] = own[:rng.randrange(172, 182)]
-        texts[300 + i] = own + own[20:60] * rng.randrange(5, 40)
-    texts = {i: " ".join(w) for i, w in texts.items()}
-    want = smallest_of_groups(texts)
-    assert 40 <= len(want) < 100
-    assert kept_ids(spark, texts) == want
-
-
-def test_keep_one_keeps_other_texts_of_a_repeated_id(spark):
-    rng = random.Random(11)
-    a, b, c = (" ".join(f"{t}{rng.randrange(1000)}" for _ in range(60)) for t in "abc")
-    rows = [(1, a, "s"), (1, b, "s"), (2, b, "s"), (3, c, "s"), (3, c, "s"), (0, c, "s")]
-    kept = op.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, a), (1, b), (0, c)])

@@ -85,3 +85,15 @@ def test_contamination(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert op.contamination(docs, empty).where("contaminated").count() == 0
     assert op.contamination(spark.createDataFrame([], "doc_id long, text string"), bench).count() == 0
+
+
+def test_repeats_of_an_item_are_one_context(spark):
+    texts = [(i, "same " * 400 + "end") for i in range(4)]
+    items = [(i, "same " * 100) for i in range(2)]
+    docs = spark.createDataFrame([(*t, "x", 1, 2) for t in texts], "doc_id long, text string, bad_id string, bad_hash int, row int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert op.shared_spans(docs, bench).count() <= 4 * 400 * 2 * 11
+    out = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in op.contamination(docs, bench).collect()}
+    assert out == {i: (401, 400, ["0", "1"]) for i, _ in texts}
+    clean = op.clean_rows(docs, bench)
+    assert clean.columns == docs.columns and clean.count() == 0
