@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents alike in five-word shingles by 0.8 or more the one of the smallest id stays."""
-    return op05_simhash.keep_one(docs, shingle=5, similarity=0.8)
+    """Of each group of documents linked by fingerprints of three-word shingles at most 2 bits apart the one of the smallest id stays."""
+    return op05_simhash.keep_one(docs, shingle=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
