@@ -111,8 +111,9 @@ def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
     for part, (header, line) in enumerate((("ID,Question,Answer", spelled), ("Answer,ID,Question", F.concat_ws(",", "Answer", "ID", "Question")))):
         lines = rows.where(F.col("ID") % 2 == part) if part else rows.where((F.col("ID") % 2 == 0) | (F.col("ID") % 10 == 3))
         lines.select(line.alias(header)).write.mode("append").options(header="true", quote="", escapeQuotes="false", sep="\u0001").csv(path)
-    good = tables.read_qa(spark, path).select(F.lit("good").alias("kind"), "id", F.col("answer").alias("text"))
-    bad = tables.csv_rejects(spark, path).select(F.col("reason").alias("kind"), "id", F.col("raw").alias("text"))
+    read = tables.read_csv(spark, path)
+    good = tables.qa_of(read).select(F.lit("good").alias("kind"), "id", F.col("answer").alias("text"))
+    bad = tables.rejects_of(read).select(F.col("reason").alias("kind"), "id", F.col("raw").alias("text"))
     return good.unionByName(bad)
 
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_queries
+from instrel.plans import catalog, oracle
 
 
 @pytest.fixture(scope="module")
@@ -11,13 +12,14 @@ def connection(sf):
     return check_queries.oracle_connection(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_sql(spark, sf, connection, name):
     assert check_queries.compare(spark, connection, name, sf) == ""
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.ORACLE)
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_gives_label_classes(spark):
