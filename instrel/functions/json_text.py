@@ -3,8 +3,8 @@
 ``from_json`` stops at the end of the first value and ignores what follows. To
 accept a text only if all of it is one JSON value, it is parsed as the first
 element of an array that must hold exactly that value and an end mark. A text
-that closes the array itself cannot supply the mark, since a text that holds the
-mark's name anywhere is not accepted. Of a repeated key the last value counts.
+that closes the array itself cannot supply the mark, which is the text's own
+digest. Of a repeated key the last value counts.
 """
 
 from __future__ import annotations
@@ -15,50 +15,63 @@ from pyspark.sql import functions as F
 from instrel.schemas import RAW_ITEMS
 
 STRICT = {"allowSingleQuotes": "false"}
-END = "end of text 5f0c2d81"
-_END_OBJECT = f'{{"{END}":"1"}}'
 
 
-def _whole(text: Column, element_type: str, end_mark: str, marked) -> Column:
-    wrapped = F.concat(F.lit("["), text, F.lit(f",{end_mark}]"))
-    parsed = F.from_json(wrapped, f"array<{element_type}>", STRICT)
-    ended = (F.size(parsed) == 2) & F.coalesce(marked(F.get(parsed, F.lit(1))), F.lit(False)) & ~F.contains(text, F.lit(END))
+def _whole(text: Column, element_type: str, end: Column, marked) -> Column:
+    """The value of ``element_type`` if ``text`` is that alone; ``end``: what is put behind it, found again by ``marked``."""
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(","), end, F.lit("]")), f"array<{element_type}>", STRICT)
+    ended = (F.size(parsed) == 2) & F.coalesce(marked(F.get(parsed, F.lit(1))), F.lit(False))
     return F.when(ended, F.get(parsed, F.lit(0)))
 
 
+def _end_object(text: Column) -> Column:
+    return F.concat(F.lit('{"'), F.md5(text), F.lit('":"1"}'))
+
+
+def _repeats(fields: Column) -> Column:
+    return F.size(F.array_distinct(F.map_keys(fields))) < F.size(fields)
+
+
 def last_wins(fields: Column) -> Column:
     """The map with the last value of a key that was given several times."""
     keys, values = F.reverse(F.map_keys(fields)), F.reverse(F.map_values(fields))
     once = F.array_distinct(keys)
     rebuilt = F.map_from_arrays(once, F.transform(once, lambda k: F.get(values, F.array_position(keys, k).cast("int") - 1)))
-    return F.when(F.size(once) < F.size(keys), rebuilt).otherwise(fields)
-
-
-def _has_end(fields: Column) -> Column:
-    return F.map_contains_key(fields, END)
+    return F.when(_repeats(fields), rebuilt).otherwise(fields)
 
 
 def json_value(text: Column) -> Column:
     """JSON text of the value if ``text`` is exactly one JSON value, else NULL."""
-    return _whole(text, "string", _END_OBJECT, lambda end: end == _END_OBJECT)
+    return _whole(text, "string", _end_object(text), lambda end: end == _end_object(text))
 
 
-def json_items(text: Column, drop_non_dict: bool = False) -> Column:
-    """``array<map<string,string>>`` if ``text`` is a JSON list of objects, else NULL.
+def raw_items(text: Column, drop_non_dict: bool = False) -> Column:
+    """The members of a JSON list, as ``plain_items`` takes them; NULL if ``text`` is no list, or holds more than objects and nulls.
 
     With ``drop_non_dict`` other list elements are left out instead.
     """
+    end = F.concat(F.lit("["), _end_object(text), F.lit("]"))
     if drop_non_dict:
         members = F.transform(
-            _whole(text, "array<string>", f"[{_END_OBJECT}]", lambda end: F.get(end, F.lit(0)) == _END_OBJECT), json_fields)
+            _whole(text, "array<string>", end, lambda found: F.get(found, F.lit(0)) == _end_object(text)), json_fields)
         return F.filter(members, lambda item: item.isNotNull())
-    items = _whole(text, RAW_ITEMS, f"[{_END_OBJECT}]", lambda end: _has_end(F.get(end, F.lit(0))))
-    return F.when(F.forall(items, lambda item: item.isNotNull()), F.transform(items, last_wins))
+    return _whole(text, RAW_ITEMS, end, lambda found: F.map_contains_key(F.get(found, F.lit(0)), F.md5(text)))
+
+
+def plain_items(items: Column) -> Column:
+    """Raw items as they count: NULL if a member is null, and of a repeated key the last value."""
+    kept = F.when(F.exists(items, _repeats), F.transform(items, last_wins)).otherwise(items)
+    return F.when(F.forall(items, lambda item: item.isNotNull()), kept)
+
+
+def json_items(text: Column, drop_non_dict: bool = False) -> Column:
+    """``array<map<string,string>>`` if ``text`` is a JSON list of objects, else NULL."""
+    return plain_items(raw_items(text, drop_non_dict))
 
 
 def json_object(text: Column) -> Column:
     """``map<string,string>`` of the members if ``text`` is exactly one JSON object, else NULL."""
-    return last_wins(_whole(text, "map<string,string>", _END_OBJECT, _has_end))
+    return last_wins(_whole(text, "map<string,string>", _end_object(text), lambda end: F.map_contains_key(end, F.md5(text))))
 
 
 def json_fields(text: Column) -> Column:

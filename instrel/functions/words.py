@@ -19,12 +19,12 @@ def normalised(text: Column) -> Column:
 
 
 def with_ngrams(df: DataFrame, text: str, name: str, n: int) -> DataFrame:
-    """Add the distinct word n-grams of a column of normalised text."""
+    """Add the distinct word n-grams of a column of normalised text, as 64-bit hashes."""
     df = with_once(df, _words=F.split(text, " "))
     starts = F.when(
-        F.size("_words") >= n, F.sequence(F.lit(1), F.size("_words") - F.lit(n - 1))
+        F.size("_words") >= n, F.sequence(F.lit(0), F.size("_words") - F.lit(n))
     ).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice("_words", i, F.lit(n)), " "))
+    grams = F.transform(starts, lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(n)]))
     return with_once(df, **{name: F.array_distinct(grams)}).drop("_words")
 
 

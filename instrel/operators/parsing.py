@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instrel.functions.json_text import json_items
-from instrel.functions.literals import literal_as_json
+from instrel.functions.json_text import plain_items, raw_items
+from instrel.functions.literals import literal_as_json, literal_tokens, tokens_as_json
 from instrel.functions.nested import members
 from instrel.functions.once import with_once
 from instrel.functions.scores import is_score, probe_score, try_score
@@ -24,15 +24,32 @@ def parse_items(
     """
     if mode not in ("auto", "json", "literal"):
         raise ValueError("mode is auto, json or literal")
+
+    def read(df: DataFrame, name: str, column: str) -> DataFrame:
+        once = with_once(df, **{name: raw_items(F.col(column), drop_non_dict)})
+        return once.withColumn(name, plain_items(F.col(name)))
+
     if mode == "json":
-        return with_once(df, items=json_items(F.col(text), drop_non_dict))
-    to_json = literal_as_json(wrap_single=mode == "literal", drop_non_dict=drop_non_dict)
-    if mode == "literal":
-        return with_once(df, items=json_items(to_json(F.col(text))))
-    read = with_once(df, _json=json_items(F.col(text), drop_non_dict))
-    rest = F.when(F.col("_json").isNull(), F.col(text))
-    read = read.withColumn("_rest", to_json(rest))
-    return with_once(read, items=F.coalesce(F.col("_json"), json_items(F.col("_rest")))).drop("_json", "_rest")
+        return read(df, "items", text)
+    single = mode == "literal"
+    unread = F.lit(True)
+    if mode == "auto":
+        df = read(df, "_json", text)
+        unread = F.col("_json").isNull()
+    # Literals are spelled as JSON by column functions; Python gets only the texts that this does not read.
+    df = with_once(df, _tokens=F.when(unread, literal_tokens(F.col(text))))
+    spelled, alone = tokens_as_json(F.col("_tokens")), F.get("_tokens", F.lit(0)) == "{"
+    if single:
+        spelled = F.when(alone, F.concat(F.lit("["), spelled, F.lit("]"))).otherwise(spelled)
+    df = read(with_once(df, _spelled=spelled), "_literal", "_spelled")
+    if single:  # The brackets were put around one value, not around several or a part of a list.
+        one = ~alone | ((F.size("_literal") == 1) & F.endswith(text, F.lit("}")))
+        df = df.withColumn("_literal", F.when(one, F.col("_literal")))
+    rest = F.when(unread & F.col("_literal").isNull(), F.col(text))
+    df = df.withColumn("_rest", literal_as_json(wrap_single=single, drop_non_dict=drop_non_dict)(rest))
+    df = read(df, "_python", "_rest")
+    found = [F.col(c) for c in ("_json", "_literal", "_python") if c in df.columns]
+    return df.withColumn("items", F.coalesce(*found)).drop("_json", "_tokens", "_spelled", "_literal", "_rest", "_python")
 
 
 def _field(item: Column, key: str, default: Column) -> Column:

@@ -89,13 +89,13 @@ def test_explode_keeps_positions(spark):
 def test_strict_json_takes_whole_texts_only_and_the_last_of_a_key(spark):
     from pyspark.sql import functions as F
 
-    from instrel.functions.json_text import END, json_items, json_object, json_value
+    from instrel.functions.json_text import json_items, json_object, json_value
 
-    texts = ['{"a":"x"}', '{"a":"x"},{}] junk', '[{"id":1}],[]] junk', '[{"id":1}]', '{"a":"1","b":"2","a":"3"}', f'{{"a":"{END}"}}', "{}",
-             f'{{"a":1}},{{"{END}":"1"}}] junk', "5", None]
+    texts = ['{"a":"x"}', '{"a":"x"},{}] junk', '[{"id":1}],[]] junk', '[{"id":1}]', '{"a":"1","b":"2","a":"3"}', '{"a":"end of text 5f0c2d81"}', "{}",
+             '{"a":1},{"end of text 5f0c2d81":"1"}] junk', "5", None]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r["i"]: r for r in frame.select("i", json_object(F.col("t")).alias("o"), json_items(F.col("t")).alias("l"), json_value(F.col("t")).alias("v")).collect()}
-    assert [i for i in got if got[i]["o"] is not None] == [0, 4, 6]
+    assert [i for i in got if got[i]["o"] is not None] == [0, 4, 5, 6]
     assert got[4]["o"] == {"a": "3", "b": "2"}
     assert [i for i in got if got[i]["l"] is not None] == [3]
-    assert [i for i in got if got[i]["v"] is not None] == [0, 3, 4, 6, 8]
+    assert [i for i in got if got[i]["v"] is not None] == [0, 3, 4, 5, 6, 8]
