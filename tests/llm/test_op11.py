@@ -28,12 +28,22 @@ def odd_texts(n=300, seed=5):
     return ["".join(rng.choice(some) + rng.choice(["", " ", " "]) for _ in range(rng.randrange(40))) for _ in range(n)]
 
 
-def test_ids_are_those_of_whole_texts(library):
+@pytest.mark.parametrize("long", [3, 100_000])
+def test_ids_are_those_of_whole_texts(library, monkeypatch, long):
+    monkeypatch.setattr(op, "LONG", long)
     encoder = op.Encoder(PATH)
-    texts = odd_texts() + ["", " ", "   a", "a   ", "a \n b"]
-    for _ in range(2):  # the second time from memory
-        for text, ids in zip(texts, encoder.encode(texts), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == library(text), repr(text)
+    assert encoder.ranked
+    latin = ["".join(c for c in t if c < "\u0250") for t in odd_texts(seed=8)]
+    every = ["".join(map(chr, range(0x250))), " ".join(map(chr, range(0x250))), *(f"a{chr(i)} {chr(i)}1 {chr(i)}" for i in range(0x250))]
+    for text in odd_texts() + latin + every + ["", " ", "   a", "a   ", "a \n b", "it's we'll 'S"]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text), repr(text)
+
+
+def test_texts_without_ranks_go_to_the_library(library):
+    encoder = op.Encoder(PATH)
+    encoder.ranked = None
+    for text in odd_texts(50):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text)
 
 
 def check(rows, texts, library, size, least):
