@@ -33,14 +33,32 @@ def _not_json() -> Column:
     return F.col("fields").isNull() & F.when(F.col("fields").isNull(), json_value(F.col("content"))).isNull()
 
 
+#: Bits of the table that tells which choices may have been delivered again: 128 KiB, whatever the number of completions.
+_SLOT_BITS = 20
+
+
 def _numbered(completions: DataFrame) -> DataFrame:
     """One row of ``copy`` 1 for each choice, with the first of its contents, and a row 2, 3, .. without content for each
 
-    time that it was delivered again. Copies are counted before the shuffle.
+    time that it was delivered again. Choices are counted by their keys first, and a table of bits keeps the slots of
+    those that come again. Rows of other slots are taken as they are; only the rest, with their contents, are brought together.
     """
-    once = completions.groupBy("request_id", "choice_index").agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("copies"))
-    return once.select("request_id", "choice_index", "content", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")).withColumn(
+    slot = F.xxhash64("request_id", "choice_index").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
+    again = completions.groupBy("request_id", "choice_index").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        slot.alias("slot")).withColumn("word", F.shiftright("slot", 6))
+    words = again.select("word", F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bits")).unionByName(
+        completions.sparkSession.range(1 << (_SLOT_BITS - 6)).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits")))
+    table = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("bits")).scalar()
+    marked = completions.select("request_id", "choice_index", "content", table.alias("_table"), slot.alias("_slot"))
+    may_repeat = F.expr("shiftright(get(_table, cast(shiftright(_slot, 6) as int)), cast(_slot & 63 as int)) & 1") == 1
+    alone = marked.where(~may_repeat).select("request_id", "choice_index", "content", F.lit(1).cast("bigint").alias("copy"))
+    once = marked.where(may_repeat).groupBy("request_id", "choice_index").agg(
+        F.min("content").alias("content"), F.count(F.lit(1)).alias("copies"))
+    numbered = once.select(
+        "request_id", "choice_index", "content", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")).withColumn(
         "content", F.when(F.col("copy") == 1, F.col("content")))
+    return alone.unionByName(numbered)
 
 
 def _read_instruction(completions: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,50 @@ def pair_logits(scored: DataFrame) -> DataFrame:
     )
 
 
+#: Characters of a batch that a scorer gets at once: its longest text times its number of texts.
+BUDGET = 1 << 18
+
+
+def packed_batches(lengths: np.ndarray, budget: int) -> Iterator[np.ndarray]:
+    """Positions of texts in batches, longest first: a batch's longest length times its size is within the budget, or it is one text."""
+    order = np.argsort(-lengths, kind="stable")
+    start = 0
+    while start < len(order):
+        most = max(1, int(budget // max(1, lengths[order[start]])))
+        yield order[start:start + most]
+        start += most
+
+
+def score_candidates(candidates: DataFrame, make_scorer: Callable[[], Scorer], budget: int = BUDGET) -> DataFrame:
+    """The four logits of each candidate, in its own row: both its texts are made and scored where it is, without a shuffle.
+
+    The texts of a batch of rows are sorted by length and go to the scorer in batches of like lengths that hold ``budget``
+    characters at most when padded to their longest, so that little is padded and memory is bounded. Keys may be of any type.
+    """
+    name = uuid.uuid4().hex
+    query, passage = F.coalesce(F.col("query"), F.lit("")), F.coalesce(F.col("passage"), F.lit(""))
+    texts = candidates.select(
+        *PAIR_KEYS, _scorer_text(query, passage).alias("query_text"),
+        _scorer_text(combine_query(query, F.col("instruction")), passage).alias("instruction_text"))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = scorer_of_process(name, make_scorer)
+        for batch in batches:
+            both = pd.concat([batch["query_text"], batch["instruction_text"]], ignore_index=True)
+            logits = np.empty((len(both), 2))
+            for at in packed_batches(both.str.len().to_numpy(), budget):
+                logits[at] = scorer(both.iloc[at].reset_index(drop=True)).iloc[:, :2].to_numpy(dtype=float)
+            out, n = batch[PAIR_KEYS].copy(), len(batch)
+            out["q_true"], out["q_false"] = logits[:n, 0], logits[:n, 1]
+            out["i_true"], out["i_false"] = logits[n:, 0], logits[n:, 1]
+            yield out
+
+    schema = texts.select(*PAIR_KEYS).schema
+    for column in ("q_true", "q_false", "i_true", "i_false"):
+        schema = schema.add(column, "double")
+    return texts.mapInPandas(score, schema)
+
+
 def verdicts(logits: DataFrame) -> DataFrame:
     """Both verdicts of each candidate."""
     return logits.select(
@@ -103,6 +148,20 @@ def verdicts(logits: DataFrame) -> DataFrame:
     )
 
 
+def route_scored(
+    candidates: DataFrame, make_scorer: Callable[[], Scorer], budget: int = BUDGET, keep_unlabelled: bool = False,
+) -> DataFrame:
+    """Candidates scored where they are: keys, label, both verdicts and the bucket. Nothing is joined or shuffled."""
+    if not keep_unlabelled:
+        candidates = candidates.where(F.col("label").isin(POSITIVE, NEGATIVE))
+    # The label goes through the scorer with the key, which may hold any columns.
+    keyed = candidates.withColumn("id", F.struct("id", "label"))
+    judged = verdicts(score_candidates(keyed, make_scorer, budget)).select(
+        F.col("id.id").alias("id"), "choice_index", "pos", F.col("id.label").alias("label"),
+        "query_relevant", "query_score", "instruction_relevant", "instruction_score")
+    return judged.withColumn("bucket", routing_bucket(F.col("label"), F.col("query_relevant"), F.col("instruction_relevant")))
+
+
 def route_candidates(candidates: DataFrame, logits: DataFrame, keep_unlabelled: bool = False) -> DataFrame:
     """Candidates with both verdicts and the bucket they fall into.
 

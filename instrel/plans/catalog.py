@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from instrel.functions.scores import label_class
 from instrel.operators import (
-    contract, distributions, incremental, intake, parsing, relevance, reports, requests, selecting,
+    contract, distributions, incremental, intake, parsing, relevance, reports, requests, selecting, summaries,
 )
 from instrel.plans import derived, flows
 from instrel.session import shared_dir
-from instrel.sources import tables
+from instrel.sources import batches, tables
 from instrel.streaming import ingest
 
 PROMPTS = flows.Prompts(model="generator")
@@ -470,12 +470,42 @@ def score_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def route_scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs scored in place, then routed."""
-    candidates = derived.candidates(spark, sf)
-    scored = relevance.score_pairs(relevance.relevance_pairs(candidates), word_scorer())
-    narrow = parsing.explode_candidates(derived.packages(spark, sf, ("label",)), fields=("label",))
-    routed = relevance.route_candidates(narrow, relevance.pair_logits(scored))
-    return routed.select("id", "pos", "bucket")
+    """Candidates scored in their own rows, then routed."""
+    return relevance.route_scored(derived.candidates(spark, sf), word_scorer()).select("id", "pos", "bucket")
+
+
+@query
+def label_stats_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Label statistics from the states of three batches, one of which comes twice."""
+    path = shared_dir(spark, "states")
+    packages = derived.packages(spark, sf, SCORED)
+    for part in (0, 1, 2, 1):
+        scores = parsing.explode_candidates(packages.where(F.col("id") % 3 == part), fields=("label", "confidence"))
+        batches.append_batch(summaries.summarise(scores), path, f"part-{part}")
+    described = summaries.describe_state(batches.read_batches(spark, path, summaries.STATE).drop("batch_id"))
+    return _rounded(described.drop("median", "q25", "q75"))
+
+
+@query
+def append_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Packages appended in two batches, each delivered twice, then read back."""
+    path = shared_dir(spark, "batches")
+    built = derived.packages(spark, sf)
+    for part in (0, 1, 0, 1):
+        batches.append_batch(built.where(F.col("id") % 2 == part), path, f"b{part}")
+    return batches.read_batches(spark, path).select("id", F.size("responses").alias("passages"))
+
+
+@query
+def stream_requests_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests of a file stream in which every id comes in two files, in two runs."""
+    folder = shared_dir(spark, "stream-once")
+    qa = derived.qa(spark, sf)
+    for _ in range(2):
+        qa.coalesce(1).write.mode("append").parquet(f"{folder}/qa")
+        ingest.run_requests_once(spark, f"{folder}/qa", f"{folder}/requests", f"{folder}/progress", PROMPTS, max_files=1)
+    out = batches.read_batches(spark, f"{folder}/requests")
+    return out.select("request_id", "id", "style", "length", "prompt")
 
 
 @query

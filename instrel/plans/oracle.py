@@ -472,3 +472,7 @@ ORACLE["training_unpaired"] = f"""with {_PASSAGES}, per as (
   select b.id, count(*) filter (label = 'positive') as p, count(*) filter (label = 'negative') as n
   from base b left join passages using (id) group by b.id
 ) select id, 'unpaired' as reason, p > 0 as has_positive, n > 0 as has_negative from per where p = 0 or n = 0"""
+ORACLE["append_batches"] = ORACLE["append_packages"]
+ORACLE["stream_requests_once"] = ORACLE["stream_requests"]
+ORACLE["label_stats_increments"] = f"""select label_class, count, mean, std, min, max, variance, skewness, kurtosis, percentage
+  from ({ORACLE["label_confidence_stats"]})"""
