@@ -1,20 +1,21 @@
 """Sharding by a weighted hash tree of regions, racks and shards.
 
-Every shard gives each key an exponential draw at the rate of its weight. A
-rack's draw is the least of its shards' draws and a region's the least of its
-racks', so each is again exponential at the rate of the subtree's weight. A key
-descends to the region, the rack and the shard with the least draw: it meets
-every node with a probability proportional to the node's weight. A weight that
-changes redraws nothing else: a key moves only if the changed shard's draw falls
-below all others or rises above one of them. So a heavier or added shard takes
-keys only into itself, wherever in the tree it stands. The shard is thus that of
-a flat weighted rendezvous: if one shard of a rack rises and another falls by as
-much, keys do cross racks although no rack's weight changed.
+A key descends from the root to a region, from there to a rack and to a shard. At
+each node every child has an exponential draw that the key and the child decide,
+at the rate of the summed weight of the child's subtree, and the least draw wins:
+a child is met with a probability proportional to its weight. A draw depends on
+nothing else, so a weight that changes moves keys only between children of the nodes above it
+whose sums change: if one shard of a rack rises and another falls by as
+much, no key leaves or enters the rack.
+
+The tree has a base layout. Each shard beyond it opens a region of its own, so that
+one more shard changes no other sum and takes keys only into itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,27 +24,46 @@ RACK, REGION = 4, 8
 #: Parts of a shard that are numbered apart; parts x shards bounds the table of offsets.
 PARTS = 64
 
+_LEVELS = ("region", "rack", "shard")
+
+
+def layout(shards: int, base: int | None = None, rack: int = RACK, region: int = REGION) -> list[tuple[int, int, int]]:
+    """``(region, rack, shard)`` of every shard: ``rack`` shards to a rack and ``region`` to a region up to ``base``, then a region each."""
+    base = shards if base is None else base
+    if region % rack:
+        raise ValueError("a region is a whole number of racks")
+    regions, racks = -(-base // region), -(-base // rack)
+    return [(s // region, s // rack, s) if s < base else (regions + s - base, racks + s - base, s) for s in range(shards)]
 
-def draw(key: Column, shard: int, weight: float) -> Column:
-    """An exponential variate at rate ``weight`` that key and shard decide."""
-    uniform = (F.shiftrightunsigned(F.xxhash64(key, F.lit(shard)), 11) + F.lit(0.5)) * F.lit(2.0**-53)
+
+def draw(key: Column, level: int, node: int, weight: float) -> Column:
+    """An exponential variate at rate ``weight`` that key and node decide."""
+    uniform = (F.shiftrightunsigned(F.xxhash64(key, F.lit(level), F.lit(node)), 11) + F.lit(0.5)) * F.lit(2.0**-53)
     return -F.log(uniform) / F.lit(float(weight))
 
 
-def descend(key: Column, weights: Sequence[float], rack: int = RACK, region: int = REGION) -> Column:
-    """The shard of a key. Shards stand in order: ``rack`` to a rack, ``region`` to a region; weight 0 takes none."""
-    if region % rack or not any(w > 0 for w in weights):
-        raise ValueError("a region is a whole number of racks, and some weight is above 0")
-    def least(nodes):
-        nodes = [n for n in nodes if n is not None]
-        return F.array_min(F.array(*nodes)) if nodes else None
-    leaves = [F.struct(draw(key, s, w).alias("draw"), F.lit(s).alias("shard")) if w > 0 else None
-              for s, w in enumerate(weights)]
-    regions = []
-    for at in range(0, len(leaves), region):
-        racks = [least(leaves[r:min(r + rack, at + region)]) for r in range(at, min(at + region, len(leaves)), rack)]
-        regions.append(least(racks))
-    return least(regions)["shard"]
+def descend(df: DataFrame, key: str, weights: Sequence[float], name: str, base: int | None = None, rack: int = RACK, region: int = REGION) -> DataFrame:
+    """``df`` with ``name``, the shard of each key. A shard of weight 0 takes none."""
+    places = [p for p, w in zip(layout(len(weights), base, rack, region), weights, strict=True) if w > 0]
+    if not places:
+        raise ValueError("some weight is above 0")
+    chosen: Column | None = None
+    for level, _ in enumerate(_LEVELS):
+        parents = sorted({p[level - 1] if level else 0 for p in places})
+        branches = []
+        for parent in parents:
+            inside = [p for p in places if not level or p[level - 1] == parent]
+            sums: dict[int, float] = {}
+            for place in inside:
+                sums[place[level]] = sums.get(place[level], 0.0) + weights[place[2]]
+            draws = [F.struct(draw(F.col(key), level, node, w).alias("draw"), F.lit(node).alias("node")) for node, w in sorted(sums.items())]
+            branches.append((parent, F.array_min(F.array(*draws))["node"] if len(draws) > 1 else F.lit(min(sums))))
+        # Only the chosen parent's children are drawn.
+        pick = branches[0][1] if chosen is None else reduce(
+            lambda so_far, b: so_far.when(chosen == b[0], b[1]), branches[1:], F.when(chosen == branches[0][0], branches[0][1]))
+        df = df.withColumn(f"_{name}_{level}", pick)
+        chosen = F.col(f"_{name}_{level}")
+    return df.withColumn(name, chosen).drop(*(f"_{name}_{level}" for level, _ in enumerate(_LEVELS)))
 
 
 def shard_documents(
@@ -53,7 +73,7 @@ def shard_documents(
     """Shard, position and checksum of every document.
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard``. ``grown`` holds the weights after a
-    change (default: one more shard of the mean weight). A null text has size 8 and a null checksum; rows of a null id share one
+    change (default: one more shard of the mean weight); shards beyond ``weights`` have regions of their own. A null text has size 8 and a null checksum; rows of a null id share one
     shard. Equal rows are numbered one after the other. An empty table gives none.
     Equal rows are counted before the shuffle, and slots are numbered in ``PARTS`` parts of a shard,
     so no key and no shard has to fit in one task.
@@ -64,10 +84,8 @@ def shard_documents(
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + F.lit(8)).cast("bigint").alias("size"),
         F.crc32(F.col(text_col).cast("binary")).alias("text_crc32"),
     ).groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-    placed = rows.select(
-        "*", descend(F.col("doc_id"), weights).alias("shard"), descend(F.col("doc_id"), grown).alias("grown_shard"),
-        F.pmod(F.xxhash64("doc_id", "size", "text_crc32", F.lit("part")), F.lit(PARTS)).cast("int").alias("part"),
-    )
+    both = descend(descend(rows, "doc_id", weights, "shard"), "doc_id", grown, "grown_shard", base=len(weights))
+    placed = both.withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32", F.lit("part")), F.lit(PARTS)).cast("int"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("shard", "part").agg(F.sum("copies").alias("held")).select(
         "shard", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"))
