@@ -1,5 +1,6 @@
 """Secrets: base spans against Python's regular expressions, planted keys, odd rows."""
 
+import math
 import random
 import re
 from hashlib import sha256
@@ -79,6 +80,93 @@ def test_keys_behind_prefixes_and_paths(spark):
     assert all(len(found) < 2 for found in spans.values())
 
 
+def two_sided(z):
+    x = abs(z) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * x)
+    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
+    return min(1.0, max(1e-300, poly * math.exp(-x * x)))
+
+
+def battery(value):
+    """p and length of a run in plain Python; None without an encoding."""
+    body = value.rstrip("=")
+    alphabet = next((a for _, pattern, a in op.ENCODINGS + op.DASHED if re.match(pattern, body)), None)
+    if alphabet is None:
+        return None
+    n, k = len(body), len(alphabet)
+    chi = sum(body.count(c) ** 2 for c in set(body)) * k / n - n
+    high = [alphabet.index(c) >= k // 2 for c in body]
+    ones, turns = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+    expected = 2 * ones * (n - ones) / n + 1
+    runs = 1e-300 if ones in (0, n) or expected <= 2 else two_sided((turns - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1)))
+    mean = sum(map(alphabet.index, body)) / n
+    values = [alphabet.index(c) - mean for c in body]
+    power = sum(x * x for x in values)
+    serial = 1e-300 if power <= 0 else two_sided((sum(a * b for a, b in zip(values, values[1:], strict=False)) / power + 1 / n) * math.sqrt(n))
+    return min(1.0, 3 * min(two_sided((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)), runs, serial)), n
+
+
+def claimed(tests, rate=op.RATE):
+    """Benjamini and Hochberg by hand: positions of the claimed runs."""
+    def size(n):
+        return max(l for l in op.TEXT_TAIL if l <= n)
+
+    def step(p):
+        return min(op.STEPS, math.floor(-math.log(p) * 10 + 1e-9))
+
+    def tail(least, s):
+        return next((share for upper, share in zip(op.TAIL_STEPS, op.TEXT_TAIL[least], strict=True) if s <= upper), 1.0)
+
+    found = set()
+    for least in op.TEXT_TAIL:
+        own = sorted((step(p), i) for i, (p, n) in tests.items() if size(n) == least)
+        good = [s for s, _ in own if tail(least, s) <= rate * sum(x <= s for x, _ in own) / len(own)]
+        found |= {i for s, i in own if good and s <= max(good)}
+    return found
+
+
+def some_runs():
+    rng = random.Random(21)
+    full = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    sets = [full[:62], full, full[26:62], "0123456789abcdef", full[:52] + "0123-_", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    words = "alpha beta request server handler config model train valid path index first last report summary user name".split()
+    for _ in range(250):
+        yield "".join(rng.choice(rng.choice(sets)) for _ in range(rng.choice([20, 22, 25, 33, 40, 50, 70, 200])))
+        yield rng.choice("-_/").join(rng.choice([str.lower, str.title, str.upper])(rng.choice(words)) for _ in range(rng.randrange(4, 12))) + str(rng.randrange(3000))
+    yield from ["0" * 40 + "a", "a" * 30 + "1", "01" * 20 + "ab", "A1" * 20]
+
+
+def test_battery_and_control_in_plain_python(spark):
+    runs = dict(enumerate(some_runs()))
+    frame = spark.createDataFrame(list(runs.items()), "nr long, value string")
+    tested = op.test_runs(frame)
+    got = {r.nr: (r.p, r.length) for r in tested.collect()}
+    want = {i: b for i, v in runs.items() if (b := battery(v))}
+    assert got.keys() == want.keys()
+    for i, (p, n) in want.items():
+        assert got[i][1] == n and math.isclose(got[i][0], p, rel_tol=1e-6), runs[i]
+    assert {r.nr for r in op.random_runs(tested).collect()} == claimed(want)
+    assert 200 < len(claimed(want)) < 300
+
+
+def test_keys_glued_to_paths_of_any_case(spark):
+    rng = random.Random(31)
+    full = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    fronts = ["usr/Local/Documents/Projects/reports/annual/summary/", "my-service-account-production-environment-credential-"]
+    rows = [(a, "".join(rng.choice(full) for _ in range(n))) for a, n in zip(fronts, (40, 32), strict=True) for _ in range(25)]
+    frame = spark.createDataFrame([(i, f"{a}{b}") for i, (a, b) in enumerate(rows)] + [(90 + i, a) for i, a in enumerate(fronts)], "doc_id long, text string")
+    spans = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == 3] for r in op.scan(frame).collect()}
+    for at in (0, 25):
+        assert sum(any(s <= len(a) and e >= len(a + b) for s, e in spans[i]) for i, (a, b) in list(enumerate(rows))[at:at + 25]) >= 20
+    assert not spans[90] and not spans[91]
+
+
+def test_texts_are_read_once(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = op.find_spans(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" not in plan
+
+
 def test_redact(spark):
     rows = [(1, "a token=abcdef b é " + "0f" * 20 + " c", "s"), (2, None, "s"), (3, "clean", None), (None, "passwd: secret99", "s"), (3, "clean", None), (4, "", "s")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, cuts string")
