@@ -203,11 +203,18 @@ def labelled_sample(labels: DataFrame, label_col: str, remainder: int, sample: i
     return rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
+def labelled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``doc_id, label, text``: one row for each chosen id, so no more than were chosen. Of several texts of an id the one of the smallest hash counts."""
+    # The chosen ids are bounded by the sample.
+    return key_and_text(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def fit_quality(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", remainder: int = 0,
     dimensions: int = DIMENSIONS, sample: int = SAMPLE,
 ) -> Model:
-    """A model of the labelled rows that are not held out. ``sample`` bounds them; a document of several rows counts each."""
+    """A model of the labelled rows that are not held out. ``sample`` bounds them; a document of several rows counts once."""
     chosen = labelled_sample(labels, label_col, remainder, sample)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,8 +224,7 @@ def fit_quality(
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "features"])
 
-    # The sample's ids are bounded by ``sample``.
-    joined = key_and_text(docs).join(F.broadcast(chosen), "doc_id")
+    joined = labelled_texts(docs, chosen)
     kind = joined.schema["doc_id"].dataType.simpleString()
     gathered = joined.select("doc_id", "label", "text").mapInArrow(
         features, f"doc_id {kind}, label int, features binary").toArrow().sort_by([("doc_id", "ascending")])

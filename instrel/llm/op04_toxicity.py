@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from instrel.llm.common import held_out, key_and_text, sized_batches, stored
-from instrel.llm.op03_quality import labelled_sample
+from instrel.llm.op03_quality import labelled_sample, labelled_texts
 
 #: Labelled rows fitted on, about; bounds what the driver gathers.
 SAMPLE = 5000
@@ -253,10 +253,12 @@ def _lexicons(sample: DataFrame) -> list[dict[str, float]]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", remainder: int = 0, sample: int = SAMPLE) -> Model:
-    """A model of about ``sample`` labelled rows that are not held out. With one class only, its smoothed share is every score."""
+    """A model of about ``sample`` labelled rows that are not held out. With one class only, its smoothed share is every score.
+
+    A document of several rows counts once.
+    """
     chosen = labelled_sample(labels, label_col, remainder, sample)
-    # The sample's ids are bounded by ``sample``.
-    rows = stored(key_and_text(docs).join(F.broadcast(chosen), "doc_id").withColumn(
+    rows = stored(labelled_texts(docs, chosen).withColumn(
         "fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")), "labelled")
     lexicons = _lexicons(rows)
     sent = docs.sparkSession.sparkContext.broadcast(lexicons)

@@ -165,10 +165,14 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def exact_search(queries: DataFrame, rows: DataFrame, width: int, k: int, blocks: int) -> DataFrame:
-    """``queries(rep, vector)`` against all ``rows(vec_id, vector)``, block by block."""
-    each = queries.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    return _best(_meet(each, dealt, ["block"], width, k), k)
+    """``queries(rep, vector)`` against all ``rows(vec_id, vector)``: blocks of rows with chunks of about ``CHUNK`` queries, each a task's group."""
+    queries = stored(queries.select("rep", "vector"), "asked")
+    chunks = max(1, ceil(queries.count() / CHUNK))
+    number = lambda of, n: F.pmod(F.xxhash64(of), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = queries.withColumn("chunk", number("rep", chunks)).withColumn("block", every(blocks))
+    dealt = rows.withColumn("block", number("vec_id", blocks)).withColumn("chunk", every(chunks))
+    return _best(_meet(asked, dealt, ["block", "chunk"], width, k), k)
 
 
 def _tables(vectors: DataFrame, k: int, every: int, id_col: str, vector_col: str):

@@ -56,6 +56,31 @@ def test_recall(spark, norms):
     assert all(len(x) == 20 and x == sorted(x, key=lambda p: (-p[1], p[0])) for x in got.values())
 
 
+@pytest.mark.parametrize("fill, functions", [(1, 2), (0.5, 3)])
+def test_recall_of_several_functions(spark, monkeypatch, fill, functions):
+    monkeypatch.setattr(op, "FILL", fill)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 16))
+    vectors = centres[rng.integers(0, 60, 3000)] + 0.4 * rng.normal(size=(3000, 16))
+    assert len(op.hashing(3000, 16, 1.0).axes) == functions
+    frame = frame_of(spark, [(i, v.tolist()) for i, v in enumerate(vectors)])
+    assert op.recall(frame, op.search(frame).persist()) >= 0.9
+
+
+def test_exact_search_in_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = np.round(rng.normal(size=(300, 8)), 1)
+    frame = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(vectors)], "vec_id long, vector binary")
+    queries = frame.where("vec_id % 3 = 0").withColumnRenamed("vec_id", "rep")
+    whole = {tuple(r) for r in op.exact_search(queries, frame, 8, 5, 2).collect()}
+    monkeypatch.setattr(op, "CHUNK", 7)
+    assert {tuple(r) for r in op.exact_search(queries, frame, 8, 5, 3).collect()} == whole
+    near = vectors @ vectors.T
+    for rep in (0, 99, 297):
+        want = sorted(range(300), key=lambda i: (-round(near[rep, i], 9), i))[:5]
+        assert [i for r, i, _, _ in sorted(whole, key=lambda r: r[3]) if r == rep] == want
+
+
 def test_few_odd_and_equal_vectors(spark, monkeypatch):
     monkeypatch.setattr(op, "CHUNK", 16)
     same = [0.6, 0.8, 0.0]
