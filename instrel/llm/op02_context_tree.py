@@ -1,13 +1,9 @@
 """Language model scores by context-tree weighting.
 
-A text is coded as its profile, then its tokens. The profile, one of ``PROFILES``
-classes at equal cost, is a hash of the text's most frequent word and stands for
-its language. A token is coded as its bytes and a closing blank, each byte as
-eight binary decisions from the top. The context of a byte is the bytes before it
-in the token, before these a blank, the profile, and blanks, up to ``DEPTH``
-bytes. (Contexts end at the token, which lets each distinct word be scored once
-for each profile it occurs in.) Every node of the
-tree, a context of some length with the bits of the byte so far, holds how often
+A text is coded as it runs: its words with a blank behind each, then an end. Each
+byte is eight binary decisions from the top, in the context of the ``DEPTH`` bytes
+before it, whichever words they belong to; before a text stand blanks. Every node of
+the tree, a context of some length with the bits of the byte so far, holds how often
 0 and 1 followed in training. Its Krichevsky-Trofimov probability is weighted,
 half and half, with the product of its children's weighted probabilities:
 
@@ -17,40 +13,42 @@ The next bit's probability mixes the estimates of all depths along the path by
 the weights that these block probabilities give. A context that training never
 met adds nothing: the mixture ends at the longest that it met.
 
-The work is split so that no table has to fit in one task. Words are counted by
-profile with a shuffle. The last ``DEPTH`` + 1 bytes at each place of a word (a
-gram, one 64-bit number) are counted with a second; all grams whose contexts end
-in the same two bytes form a subtree that one task mixes; contexts of one and no
-byte, 257 x 255 nodes at most, are mixed over subtrees from a broadcast. Blocks
-of words then fetch the codes of their grams by a join, each gram once a block, and
-documents fetch the codes of their words. The ``HEAD`` most frequent words are sent to all
-tasks, the others are joined, so no join has a word that fills a partition.
+The work is split so that no table has to fit in one task. The last ``DEPTH`` + 1
+bytes at a place (a gram, one 64-bit number) decide a code. Texts are read in
+blocks; a block's distinct grams and words go, sorted and packed, to buckets. A
+gram's bucket is a hash of its nearest three context bytes, so a bucket holds whole
+subtrees, and its blocks are read one after the other. Buckets add up and keep the
+counts and give the sums of two-byte contexts, of which the two upper levels, at most
+257 x 256 x 255 nodes, are mixed on the driver and sent to all. Then buckets mix their subtrees and
+send each block the codes of its own grams and the counts of its words, in the
+order in which the block had sent them. A block adds them up by text.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from instrel.llm.common import held_out, key_and_text, sized_batches, stored, text_bytes
-
-#: Bytes of context. With the byte that follows a gram fills 64 bits.
-DEPTH = 7
-#: Classes of texts.
-PROFILES = 32
-#: Most frequent words that are sent to all tasks, of at most ``HEAD_BYTES`` bytes: bounds the table to about 20 megabytes.
-HEAD, HEAD_BYTES = 1 << 16, 64
-#: Words counted in a task before it passes the counts on.
-COUNTED = 500_000
+from instrel.llm.common import held_out, key_and_text, stored, text_bytes
+
+#: Bytes of context.
+DEPTH = 6
+#: Context bytes whose subtrees stay together.
+NEAR = 3
+#: Bytes of the texts of a block, about, and of what a block looks at at once.
+BLOCK, PART = 16 << 20, 4 << 20
+#: Buckets, and bytes of text above which there are more of them.
+BUCKETS, BUCKET_BYTES = 512, 16 << 30
+#: Grams that a bucket holds before it adds them up.
+HELD = 2_000_000
 #: The end of a text as a token: one byte that no word holds.
 END = b"\n"
 
@@ -73,26 +71,24 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
-def profile_of(bag: Counter) -> int:
-    """The class of a text's most frequent word, of the smallest on ties; of the empty word without words."""
-    return xxh32_intdigest(min(bag, key=lambda w: (-bag[w], w), default=b"")) % PROFILES
+def coded(words: list[bytes]) -> bytes:
+    """What is coded of a text."""
+    return b" ".join([*words, END])
 
 
-def grams_of(words: list[bytes], profiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The gram at each place of each word and of its closing blank, and which word each belongs to."""
-    joined = np.frombuffer(b" ".join(words) + b" ", dtype=np.uint8) if words else np.zeros(0, np.uint8)
-    lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
-    owner = np.repeat(np.arange(len(words)), lengths)
-    place = np.arange(len(joined)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    heads = profiles.astype(np.uint8)[owner] + np.uint8(33)
-    grams = joined.astype(np.uint64)
+def grams_of(texts: list[bytes]) -> np.ndarray:
+    """The gram at each byte of each text; before a text stand blanks."""
+    pad = b" " * DEPTH
+    joined = np.frombuffer(b"".join(x for text in texts for x in (pad, text)), dtype=np.uint8).astype(np.uint64)
+    grams = joined.copy()
+    for back in range(1, DEPTH + 1):
+        grams[back:] |= joined[:-back] << np.uint64(8 * back)
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    ends = np.cumsum(lengths + DEPTH)
+    inside = np.ones(len(joined), dtype=bool)
     for back in range(1, DEPTH + 1):
-        before = np.full(len(joined), 32, dtype=np.uint8)
-        before[back:] = joined[:-back]
-        outside = place < back
-        before[outside] = np.where(place[outside] + 2 == back, heads[outside], 32)
-        grams |= before.astype(np.uint64) << np.uint64(8 * back)
-    return grams, owner
+        inside[ends - lengths - back] = False
+    return grams[inside]
 
 
 def _nodes(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,271 +135,318 @@ def _keys(grams: np.ndarray, prefix: np.ndarray, length: int) -> np.ndarray:
     return (context.astype(np.int64)[:, None] << 8) | prefix
 
 
-def mix_subtree(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """For all grams of one two-byte context: the probability of each bit mixed from depth 2 on (NaN without training),
+def mix_subtrees(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, Level]:
+    """For all grams of some contexts of ``NEAR`` bytes: the probability of each bit mixed from that depth on (NaN without training),
 
-    and the depth-2 nodes: bits so far, counts of 0 and 1, weighted probability.
+    and the level of these contexts.
     """
     prefix, bits = _nodes(grams)
     trained = counts > 0
-    full = _keys(grams, prefix, DEPTH)
-    keys, where = np.unique(full[trained].ravel(), return_inverse=True)
-    weights = np.repeat(counts[trained], 8).astype(float)
-    flat = bits[trained].ravel()
+    keys, where = np.unique(_keys(grams, prefix, DEPTH)[trained].ravel(), return_inverse=True)
+    weights, flat = np.repeat(counts[trained], 8).astype(float), bits[trained].ravel()
     level = Level(keys, np.bincount(where, weights * (1 - flat), len(keys)), np.bincount(where, weights * flat, len(keys)), None)
     levels = [level]
-    for length in range(DEPTH, 2, -1):
+    for length in range(DEPTH, NEAR, -1):
         level = level.parents(8 * length)
         levels.append(level)
     mixed = None
-    for level, length in zip(levels, range(DEPTH, 1, -1), strict=True):
+    for level, length in zip(levels, range(DEPTH, NEAR - 1, -1), strict=True):
         mixed = level.mix(_keys(grams, prefix, length).ravel(), bits.ravel(), mixed)
-    top = levels[-1]
-    return mixed.reshape(-1, 8), (top.keys & 255, top.zeros, top.ones, top.weighted)
+    return mixed.reshape(-1, 8), levels[-1]
 
 
 class Top:
-    """Contexts of one byte and of none, over the subtrees of two-byte contexts."""
+    """Contexts shorter than ``NEAR`` bytes, over the subtrees."""
 
-    def __init__(self, context: np.ndarray, prefix: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray):
-        """Sums over subtrees for each nearest context byte and bits so far."""
-        order = np.argsort((context << 8) | prefix)
-        self.one = Level(((context << 8) | prefix)[order], zeros[order], ones[order], weighted[order])
-        self.none = self.one.parents(8)
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray):
+        """Sums over subtrees for each context of ``NEAR`` - 1 bytes and bits so far."""
+        order = np.argsort(keys)
+        self.levels = [Level(keys[order], zeros[order], ones[order], weighted[order])]
+        for length in range(NEAR - 1, 0, -1):
+            self.levels.append(self.levels[-1].parents(8 * length))
 
     def log_probability(self, grams: np.ndarray, mixed: np.ndarray) -> np.ndarray:
         """Natural logarithm of each gram's last byte; a bit that training never led to has probability 1/2."""
         prefix, bits = _nodes(grams)
-        flat = bits.ravel()
-        mixed = self.one.mix(_keys(grams, prefix, 1).ravel(), flat, mixed.ravel())
-        mixed = self.none.mix(prefix.ravel(), flat, mixed)
+        flat, mixed = bits.ravel(), mixed.ravel()
+        for length, level in zip(range(NEAR - 1, -1, -1), self.levels, strict=True):
+            mixed = level.mix(_keys(grams, prefix, length).ravel(), flat, mixed)
         return np.log(np.where(np.isnan(mixed), 0.5, mixed)).reshape(-1, 8).sum(axis=1)
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """``word, trained, profiles, counts``: how often training rows hold each word of any row, and by profile.
+def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
+def gram_bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    near = (grams >> np.uint64(8)) & np.uint64((1 << 8 * NEAR) - 1)
+    return ((near * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)) >> np.uint64(9)).astype(np.int64) % buckets
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, the first bytes of all before the second of all, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes(), 1) if len(values) else b""
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8) if blob else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob, "<u8"), dtype=np.uint64)
+
+
+class Block:
+    """The texts of a block: its distinct grams and words, in an order that the texts alone decide, and what training holds of them."""
+
+    def __init__(self, texts: list[bytes], train: list[bool], buckets: int):
+        self.words = [t.lower().split() for t in texts]
+        self.texts = [coded(w) for w in self.words]
+        trained = [_distinct(grams_of(part)) for part in self._parts([t for t, y in zip(self.texts, train, strict=True) if y])]
+        others = [_distinct(grams_of(part)) for part in self._parts([t for t, y in zip(self.texts, train, strict=True) if not y])]
+        every = trained + [(k, np.zeros_like(n)) for k, n in others]
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        grams, counts = add_up(*(np.concatenate([e[i] for e in every]) if every else none[i] for i in (0, 1)))
+        where = gram_bucket(grams, buckets)
+        order = np.argsort(where, kind="stable")
+        self.grams, self.counts = grams[order], counts[order]
+        self.cuts = np.searchsorted(where[order], np.arange(buckets + 1))
+        bag: Counter = Counter()
+        for words, y in zip(self.words, train, strict=True):
+            if y:
+                bag.update(words)
+                bag[END] += 1
+            else:
+                for word in words:
+                    bag.setdefault(word, 0)
+                bag.setdefault(END, 0)
+        self.bag = [{} for _ in range(buckets)]
+        for word, n in bag.items():
+            self.bag[xxh32_intdigest(word) % buckets][word] = n
+
+    @staticmethod
+    def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+        """Texts of about ``PART`` bytes at once."""
+        part, size = [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text)
+            if size >= PART:
+                yield part
+                part, size = [], 0
+        if part:
+            yield part
+
+    def code_sums(self, codes: np.ndarray) -> np.ndarray:
+        """The sum of the codes of each text's grams; ``codes`` are in the order of ``grams``."""
+        order = np.argsort(self.grams)
+        known, code = self.grams[order], codes[order]
+        sums = []
+        for part in self._parts(self.texts):
+            found = code[np.searchsorted(known, grams_of(part))].astype(np.float64)
+            starts = np.cumsum([0, *(len(t) for t in part[:-1])])
+            sums.append(np.add.reduceat(found, starts))
+        return np.concatenate(sums) if sums else np.zeros(0)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, pa.Table]]:
+    """A partition's rows in blocks of about ``most`` bytes of text, however the rows come in batches."""
+    held, size, nr = [], 0, 0
+    name = lambda: f"{TaskContext.get().partitionId()}-{nr}"
+    for batch in batches:
+        sizes = np.cumsum([len(t) for t in text_bytes(batch.column("text"))])
+        start = 0
+        while start < batch.num_rows:
+            before = sizes[start - 1] if start else 0
+            end = int(np.searchsorted(sizes, before + most - size, side="left")) + 1
+            some = batch.slice(start, min(end, batch.num_rows) - start)
+            held.append(some)
+            if end <= batch.num_rows and sizes[end - 1] - before + size >= most:
+                yield name(), pa.Table.from_batches(held)
+                held, size, nr = [], 0, nr + 1
+            else:
+                size += int(sizes[min(end, batch.num_rows) - 1] - before)
+            start = min(end, batch.num_rows)
+    if held:
+        yield name(), pa.Table.from_batches(held)
+
+
+def _block_of(table: pa.Table, buckets: int) -> Block:
+    texts = [t for chunk in table.column("text").chunks for t in text_bytes(chunk)]
+    return Block(texts, [not h for h in table.column("held_out").to_pylist()], buckets)
+
+
+_SENT = "bucket int, block string, grams binary, gram_counts binary, words binary, word_counts binary"
+
+
+def _sent(rows: DataFrame, buckets: int, most: int) -> DataFrame:
+    """A row for each bucket of each block: its sorted grams and its words with the counts of both in training."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, table in _blocks(batches, most):
+            block = _block_of(table, buckets)
+            grams = [packed_keys(block.grams[a:b]) for a, b in zip(block.cuts, block.cuts[1:], strict=False)]
+            counts = [packed(block.counts[a:b].astype("<i8")) for a, b in zip(block.cuts, block.cuts[1:], strict=False)]
+            words = [b" ".join(bag) for bag in block.bag]
+            word_counts = [packed(np.fromiter(bag.values(), "<i8", len(bag))) for bag in block.bag]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(buckets), pa.int32()), pa.array([name] * buckets), *(pa.array(x, pa.binary()) for x in (grams, counts, words, word_counts))],
+                ["bucket", "block", "grams", "gram_counts", "words", "word_counts"])
+
+    return rows.select("held_out", "text").mapInArrow(each, _SENT)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield row["bucket"], row
+
+
+def _merged(sent: DataFrame) -> DataFrame:
+    """Each bucket's grams and words with the sums of their counts, and the sums of its subtrees (``keys`` and so on) for the levels above."""
+    def finish(bucket: int, grams: np.ndarray, counts: np.ndarray, words: dict[bytes, int]) -> pa.RecordBatch:
+        grams, counts = add_up(grams, counts)
+        _, level = mix_subtrees(grams, counts)
+        keys, where = np.unique(level.keys & ((1 << 8 * NEAR) - 1), return_inverse=True)
+        sums = [packed(np.bincount(where, x, len(keys))) for x in (level.zeros, level.ones, level.weighted)]
+        total = np.fromiter(words.values(), "<i8", len(words))
+        blobs = [packed_keys(grams), packed(counts.astype("<i8")), b" ".join(words), packed(total), packed(keys.astype("<i8")), *sums]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int32()), *(pa.array([b], pa.binary()) for b in blobs),
+             pa.array([int(total.sum())], pa.int64()), pa.array([int((total > 0).sum())], pa.int64())],
+            ["bucket", "grams", "gram_counts", "words", "word_counts", "keys", "zeros", "ones", "weighted", "tokens", "distinct"])
 
-    ``docs`` has ``train, text``. A word has at most ``PROFILES`` profiles, so the lists are bounded.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[bytes, int], int] = {}
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in sums], pa.binary()), pa.array([p for _, p in sums], pa.int32()), pa.array(sums.values(), pa.int64())],
-                ["word", "profile", "trained"])
-            sums.clear()
-            return out
-
-        for batch in sized_batches(batches):
-            for text, train in zip(text_bytes(batch.column("text")), batch.column("train").to_pylist(), strict=True):
-                bag = Counter(text.lower().split())
-                profile = profile_of(bag)
-                bag[END] = 1
-                for word, count in bag.items():
-                    key = word, profile
-                    sums[key] = sums.get(key, 0) + (count if train else 0)
-                if len(sums) > COUNTED:
-                    yield flush()
-        yield flush()
-
-    counted = docs.select("train", "text").mapInArrow(count, "word binary, profile int, trained bigint").groupBy("word", "profile").agg(
-        F.sum("trained").alias("trained"))
-    return counted.groupBy("word").agg(
-        F.sum("trained").alias("trained"), F.collect_list("profile").alias("profiles"), F.collect_list("trained").alias("counts"))
-
-
-def _units(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """For each word and profile of a batch: the row, the word, the profile."""
-    sizes = pa.compute.list_value_length(batch.column("profiles")).to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(batch.num_rows), sizes)
-    words = batch.column("word").to_pylist()
-    return row, [words[r] for r in row.tolist()], batch.column("profiles").flatten().to_numpy()
-
-
-def _gram_counts(words: DataFrame) -> DataFrame:
-    """``gram, trained``: how often training holds each gram of any word."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches, 4 << 20):
-            _, spelled, profiles = _units(batch)
-            grams, owner = grams_of(spelled, profiles)
-            distinct, where = np.unique(grams, return_inverse=True)
-            sums = np.bincount(where, batch.column("counts").flatten().to_numpy()[owner], len(distinct)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(sums)], ["gram", "trained"])
-
-    return words.select("word", "profiles", "counts").mapInArrow(each, "gram bigint, trained bigint").groupBy("gram").agg(
-        F.sum("trained").alias("trained"))
-
-
-def _mixed_grams(grams: DataFrame) -> DataFrame:
-    """A row for each gram with its eight mixed probabilities, and a row for each depth-2 node (``prefix`` set)."""
-    shape = "gram bigint, mixed array<double>, context int, prefix int, zeros double, ones double, weighted double"
-
-    def subtree(table: pa.Table) -> pa.Table:
-        grams = table.column("gram").to_numpy().view(np.uint64)
-        mixed, (prefix, zeros, ones, weighted) = mix_subtree(grams, table.column("trained").to_numpy())
-        context = int(grams[0] >> np.uint64(8) & np.uint64(255))
-        n, m = len(grams), len(prefix)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 8), pa.array(mixed.ravel()))
-        return pa.table([
-            pa.concat_arrays([pa.array(grams.view(np.int64)), pa.nulls(m, pa.int64())]), pa.concat_arrays([lists, pa.nulls(m, lists.type)]),
-            pa.array([context] * (n + m), pa.int32()), pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(prefix.astype(np.int32))]),
-            *(pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array(x.astype(float))]) for x in (zeros, ones, weighted))],
-            names=["gram", "mixed", "context", "prefix", "zeros", "ones", "weighted"])
-
-    near = F.shiftrightunsigned("gram", 8).bitwiseAND(0xFFFF).cast("int")
-    return grams.select("gram", "trained", near.alias("near")).groupBy("near").applyInArrow(subtree, shape)
-
-
-def _gram_codes(grams: DataFrame) -> DataFrame:
-    """``gram, code``: natural logarithm of the probability of each gram's last byte."""
-    mixed = stored(_mixed_grams(grams), "mixed")
-    sums = mixed.where("prefix is not null").groupBy("context", "prefix").agg(
-        *(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted"))).toArrow()  # 256 x 255 rows at most
-    top = grams.sparkSession.sparkContext.broadcast(Top(*(sums.column(c).to_numpy().astype(t) for c, t in (
-        ("context", np.int64), ("prefix", np.int64), ("zeros", float), ("ones", float), ("weighted", float)))))
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches):
-            grams = batch.column("gram").to_numpy().view(np.uint64)
-            mixed = batch.column("mixed").flatten().to_numpy(zero_copy_only=False).reshape(-1, 8)
-            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(top.value.log_probability(grams, mixed))], ["gram", "code"])
-
-    return mixed.where("prefix is null").select("gram", "mixed").mapInArrow(finish, "gram bigint, code double")
-
-
-def _word_codes(words: DataFrame, codes: DataFrame) -> DataFrame:
-    """``word, trained, profiles, codes``; ``words`` is a stored table, which reads the same in both passes."""
-    def blocks(batches: Iterator[pa.RecordBatch]):
-        for nr, batch in enumerate(sized_batches(batches, 4 << 20)):
-            yield f"{TaskContext.get().partitionId()}-{nr}", batch
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, batch in blocks(batches):
-            _, spelled, profiles = _units(batch)
-            distinct = np.unique(grams_of(spelled, profiles)[0])
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(distinct), pa.string()), pa.array(distinct.view(np.int64))], ["block", "gram"])
+        now, held, size, words = None, [], 0, {}
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        both = lambda: [np.concatenate([h[i] for h in held]) if held else none[i] for i in (0, 1)]
+        for bucket, row in _by_bucket(batches):
+            if bucket != now:
+                if now is not None:
+                    yield finish(now, *both(), words)
+                now, held, size, words = bucket, [], 0, {}
+            held.append((unpacked_keys(row["grams"]), unpacked(row["gram_counts"], "<i8")))
+            size += len(held[-1][0])
+            if size > HELD:
+                held = [add_up(*both())]
+                size = len(held[0][0]) // 2  # no more than twice the distinct ones are held before the next time
+            for word, n in zip(row["words"].split(b" ") if row["words"] else [], unpacked(row["word_counts"], "<i8").tolist(), strict=True):
+                words[word] = words.get(word, 0) + n
+        if now is not None:
+            yield finish(now, *both(), words)
+
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    shape = "bucket int, grams binary, gram_counts binary, words binary, word_counts binary, keys binary, zeros binary, ones binary, weighted binary, tokens bigint, distinct bigint"
+    return dealt.mapInArrow(each, shape)
+
+
+def _top(merged: DataFrame) -> Top:
+    """The levels above the subtrees; contexts of two bytes, of which there are 65,536, and at most 255 nodes of each."""
+    rows = merged.select("keys", "zeros", "ones", "weighted").toArrow().to_pylist()
+    cells = [np.concatenate([unpacked(r[c], kind) for r in rows]) if rows else np.zeros(0, kind)
+             for c, kind in (("keys", "<i8"), ("zeros", "<f8"), ("ones", "<f8"), ("weighted", "<f8"))]
+    keys, where = np.unique(cells[0], return_inverse=True)
+    return Top(keys, *(np.bincount(where, x, len(keys)) for x in cells[1:]))
+
+
+def _answered(sent: DataFrame, merged: DataFrame, top: Top) -> DataFrame:
+    """``block, bucket, codes, counts``: for each bucket of each block the codes of its grams and the training counts of its words."""
+    told = sent.sparkSession.sparkContext.broadcast(top)
+    first = merged.select("bucket", F.lit(None).cast("string").alias("block"), "grams", "gram_counts", "words", "word_counts")
+    asked = sent.select("bucket", "block", "grams", F.lit(None).cast("binary").alias("gram_counts"), "words", F.lit(None).cast("binary").alias("word_counts"))
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, batch in blocks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([name] * batch.num_rows, pa.string()), *batch.columns], ["block", *batch.schema.names])
-
-    def spell(some: pa.Table, table: pa.Table) -> pa.Table:
-        known = table.column("gram").to_numpy().view(np.uint64)
-        order = np.argsort(known)
-        known, code = known[order], table.column("code").to_numpy()[order]
-        out = []
-        for batch in some.select(["word", "trained", "profiles"]).combine_chunks().to_batches():
-            row, spelled, profiles = _units(batch)
-            grams, owner = grams_of(spelled, profiles)
-            at = np.searchsorted(known, grams)
-            if len(grams) and (not len(known) or (known[np.minimum(at, len(known) - 1)] != grams).any()):
-                raise RuntimeError("a block's grams have no code")
-            found = np.bincount(owner, code[at], len(spelled)) if len(grams) else np.zeros(0)
-            edges = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=batch.num_rows)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(found))
-            out.append(pa.RecordBatch.from_arrays([*batch.columns, lists], ["word", "trained", "profiles", "codes"]))
-        return pa.Table.from_batches(out)
-
-    columns = words.select("word", "trained", "profiles")
-    asked = columns.mapInArrow(grams, "block string, gram bigint").join(codes, "gram")
-    own = columns.mapInArrow(named, "block string, word binary, trained bigint, profiles array<int>")
-    return own.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
-        spell, "word binary, trained bigint, profiles array<int>, codes array<double>")
-
-
-def fit(docs: DataFrame) -> tuple[DataFrame, int, int]:
-    """Codes of all words of ``docs(train, text)`` by the model of its training rows, with the tokens and distinct tokens of these."""
-    words = stored(count_words(docs), "words")
-    totals = words.agg(F.sum("trained"), F.count_if(F.col("trained") > 0)).first()
-    codes = stored(_word_codes(words, _gram_codes(_gram_counts(words))), "codes")
-    return codes, int(totals[0] or 0), int(totals[1] or 0)
-
-
-class Head(NamedTuple):
-    """The most frequent words: row of each, and by row whether it is known, its base score, its code in each profile."""
-
-    rows: dict[bytes, int]
-    known: np.ndarray
-    base: np.ndarray
-    codes: np.ndarray
-
-
-def _head(codes: DataFrame, spread: float) -> Head:
-    lead = codes.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("trained"), "word").limit(HEAD).toArrow()
-    trained = lead.column("trained").to_numpy().astype(float)
-    table = np.full((lead.num_rows, PROFILES), np.nan)
-    for row, (profiles, own) in enumerate(zip(lead.column("profiles").to_pylist(), lead.column("codes").to_pylist(), strict=True)):
-        table[row, profiles] = own
-    return Head({w: i for i, w in enumerate(lead.column("word").to_pylist())}, trained > 0, np.log10((trained + 0.5) / spread), table)
-
-
-def score_documents(docs: DataFrame, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, codes, counts, out = None, None, {}, []
+        for bucket, row in _by_bucket(batches):
+            if row["block"] is None:
+                known = unpacked_keys(row["grams"])
+                mixed, _ = mix_subtrees(known, unpacked(row["gram_counts"], "<i8"))
+                codes = told.value.log_probability(known, mixed).astype("<f4")
+                counts = dict(zip(row["words"].split(b" ") if row["words"] else [], unpacked(row["word_counts"], "<i8").tolist(), strict=True))
+                continue
+            own = codes[np.searchsorted(known, unpacked_keys(row["grams"]))]
+            words = row["words"].split(b" ") if row["words"] else []
+            out.append((row["block"], bucket, packed(own), packed(np.array([counts[w] for w in words], dtype="<i8"))))
+            if len(out) >= 64:
+                yield _rows(out)
+                out = []
+        yield _rows(out)
+
+    def _rows(out: list[tuple]) -> pa.RecordBatch:
+        block, bucket, codes, counts = zip(*out, strict=True) if out else ((),) * 4
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block, pa.string()), pa.array(bucket, pa.int32()), pa.array(codes, pa.binary()), pa.array(counts, pa.binary())],
+            ["block", "bucket", "codes", "counts"])
+
+    dealt = first.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first())
+    return dealt.mapInArrow(each, "block string, bucket int, codes binary, counts binary")
+
+
+def score_documents(
+    docs: DataFrame, remainder: int = 1, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK,
+) -> DataFrame:
     """Scores of all rows by the model of those that are not held out.
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bytes, bits_per_byte``. A null or empty text is its
-    end alone. Rows with a null id are not held out. Rows of equal id and text give one row. An empty table gives none.
+    end alone. Rows with a null id are not held out. Repeated rows are texts of their own. An empty table gives none.
+    The table is read twice and has to give the same partitions with the same rows in the same order, as files do; if it
+    does not, the job stops.
     """
-    spark = docs.sparkSession
-    rows = key_and_text(docs, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), held_out(F.col("doc_id"), remainder).alias("held_out"), "text")
-    codes, total, distinct = fit(rows.select((~F.col("held_out")).alias("train"), "text"))
-    spread = total + 0.5 * (distinct + 1)
-    sent = spark.sparkContext.broadcast(_head(codes, spread))
+    rows = key_and_text(docs, id_col, text_col).select("doc_id", held_out(F.col("doc_id"), remainder).alias("held_out"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = BUCKETS * (1 + size // BUCKET_BYTES)
+    sent = stored(_sent(rows, buckets, block_bytes), "grams")
+    merged = stored(_merged(sent), "merged")
+    totals = merged.agg(F.sum("tokens"), F.sum("distinct")).first()
+    total, spread = int(totals[0] or 0), int(totals[0] or 0) + 0.5 * (int(totals[1] or 0) + 1)
+    answered = _answered(sent, merged, _top(merged))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    own = ["doc_id", "text_hash", "held_out"]
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = sent.value
-        find = head.rows.get
-        for batch in sized_batches(batches):
-            at, words, counts, profiles, sums = [], [], [], [], []
-            for row, text in enumerate(text_bytes(batch.column("text"))):
-                bag = Counter(text.lower().split())
-                profile = profile_of(bag)
-                size = sum(len(w) * c for w, c in bag.items())
-                bag[END] = 1
-                tokens = bag.total()
-                places = np.array([find(w, -1) for w in bag], dtype=np.int64)
-                count = np.fromiter(bag.values(), dtype=np.int64, count=len(bag))
-                here = places >= 0
-                p, c = places[here], count[here]
-                at.append(row)
-                words.append(None)
-                counts.append(1)
-                profiles.append(profile)
-                sums.append((tokens, int((head.known[p] * c).sum()), float((head.base[p] * c).sum()), float((head.codes[p, profile] * c).sum()),
-                             size + tokens))
-                for k, word in enumerate(bag):
-                    if not here[k]:
-                        at.append(row)
-                        words.append(word)
-                        counts.append(int(count[k]))
-                        profiles.append(profile)
-                        sums.append((None,) * 5)
-            cells = zip(*sums, strict=True) if sums else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(at, pa.int64())) for c in own),
-                 pa.array(words, pa.binary()), pa.array(counts, pa.int64()), pa.array(profiles, pa.int32()),
-                 *(pa.array(list(x), t) for x, t in zip(cells, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()), strict=True))],
-                [*own, "word", "count", "profile", "tokens", "known", "base", "code", "bytes"])
-
-    parts = rows.mapInArrow(
-        split, f"doc_id {kind}, text_hash bigint, held_out boolean, word binary, count bigint, profile int, tokens bigint, known bigint, "
-               "base double, code double, bytes bigint")
-    # One pass gives a document's sums over frequent words (no word) and its other words.
-    joined = parts.where("word is not null").select(*own, "word", "count", "profile").join(codes, "word")
-    none = F.lit(0).cast("bigint")
-    tail = joined.select(
-        *own, none.alias("copies"), none.alias("tokens"), F.when(F.col("trained") > 0, F.col("count")).otherwise(0).alias("known"),
-        (F.col("count") * F.log10((F.col("trained") + 0.5) / F.lit(float(spread)))).alias("base"),
-        (F.col("count") * F.element_at("codes", F.array_position("profiles", F.col("profile")).cast("int"))).alias("code"), none.alias("bytes"))
-    first = parts.where("word is null").select(*own, F.lit(1).cast("bigint").alias("copies"), "tokens", "known", "base", "code", "bytes")
-    sums = first.unionByName(tail).groupBy(*own).agg(*(F.sum(c).alias(c) for c in ("copies", "tokens", "known", "base", "code", "bytes")))
-    # Rows of equal id and text have given their parts several times.
-    one = lambda c: F.col(c) / F.col("copies")
-    code = one("code") - F.lit(float(np.log(PROFILES)))
-    return sums.select(
-        "doc_id", "held_out", one("tokens").cast("bigint").alias("n_tokens"), one("known").cast("bigint").alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), one("base").alias("base_score"), (code / float(np.log(10))).alias("score"),
-        one("bytes").cast("bigint").alias("bytes"), (-code / float(np.log(2)) / one("bytes")).alias("bits_per_byte"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, table in _blocks(batches, block_bytes):
+            nr = 0
+            for batch in table.to_batches():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * batch.num_rows), pa.array(range(nr, nr + batch.num_rows), pa.int64()), *batch.columns],
+                    ["block", "nr", *batch.schema.names])
+                nr += batch.num_rows
+
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        texts, answers = texts.sort_by("nr"), answers.sort_by("bucket")
+        block = _block_of(texts, buckets)
+        codes = [unpacked(x, "<f4") for x in answers.column("codes").to_pylist()]
+        counts = [unpacked(x, "<i8") for x in answers.column("counts").to_pylist()]
+        if [len(c) for c in codes] != np.diff(block.cuts).tolist() or [len(c) for c in counts] != [len(b) for b in block.bag]:
+            raise RuntimeError("the table did not give the same rows twice")
+        found = {w: n for bag, own in zip(block.bag, counts, strict=True) for w, n in zip(bag, own.tolist(), strict=True)}
+        logs = {w: np.log10((n + 0.5) / spread) for w, n in found.items()}
+        code = block.code_sums(np.concatenate(codes) if codes else np.zeros(0, np.float32))
+        tokens = [len(w) + 1 for w in block.words]
+        known = [sum(found[w] > 0 for w in words) + (found[END] > 0) for words in block.words]
+        base = [float(sum(map(logs.__getitem__, words))) + logs[END] for words in block.words]
+        sizes = np.array([len(t) for t in block.texts], dtype=np.int64)
+        return pa.table({
+            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(tokens, pa.int64()),
+            "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([total] * len(tokens), pa.int64()),
+            "base_score": pa.array(base, pa.float64()), "score": pa.array(code / np.log(10)), "bytes": pa.array(sizes),
+            "bits_per_byte": pa.array(-code / np.log(2) / sizes)})
+
+    own = rows.mapInArrow(named, f"block string, nr bigint, doc_id {kind}, held_out boolean, text string")
+    return own.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
+        score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bytes bigint, bits_per_byte double")

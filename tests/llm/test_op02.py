@@ -24,10 +24,9 @@ class Brute:
 
     def __init__(self, texts):
         self.counts: dict = {}
-        for word, profile in texts:
-            data = word + b" "
+        for data in texts:
             for i, byte in enumerate(data):
-                context = self.context(data, i, profile)
+                context = self.context(data, i)
                 for k in range(8):
                     bit = byte >> (7 - k) & 1
                     for d in range(op.DEPTH + 1):
@@ -39,9 +38,9 @@ class Brute:
         self.memo: dict = {}
 
     @staticmethod
-    def context(data, i, profile):
+    def context(data, i):
         """Nearest byte first."""
-        return ((data[:i][::-1]) + b" " + bytes([33 + profile]) + b" " * op.DEPTH)[:op.DEPTH]
+        return (data[:i][::-1] + b" " * op.DEPTH)[:op.DEPTH]
 
     def own(self, node):
         a, b = self.counts[node]
@@ -66,10 +65,10 @@ class Brute:
         share = math.exp(self.own(node) + math.log(.5) - self.weighted(node))
         return share * estimate + (1 - share) * deeper
 
-    def code(self, word, profile):
-        data, total = word + b" ", 0.0
+    def code(self, data):
+        total = 0.0
         for i, byte in enumerate(data):
-            context = self.context(data, i, profile)
+            context = self.context(data, i)
             for k in range(8):
                 p = self.bit(context, (1 << k) | byte >> (8 - k), byte >> (7 - k) & 1)
                 total += math.log(.5 if p is None else p)
@@ -79,65 +78,88 @@ class Brute:
 TEXTS = [
     (1, "the cat sat on the mat"), (2, "The dog sat on THE log"), (3, "a cat and a dog"), (4, None), (5, ""), (6, "là-bas été\tla\n"),
     (7, "catalogue catalogues dog"), (8, "unseen words here"), (9, "the the the the " * 40), (10, "x" * 300), (11, "mat"), (None, "the cat"),
+    (2, "The dog sat on THE log"), (12, "mat the on sat cat the"), (13, "   "),
 ]
 
 
 def expected(rows):
-    out = {}
-    bags = []
+    """For each row: what is reported of it."""
+    texts = []
     for i, text in rows:
         held = i is not None and zlib.crc32(str(i).encode()) % 5 == 1
-        words = (text or "").encode().lower().split()
-        bags.append((i, held, words, op.profile_of(Counter(words))))
-    train = [(w, p) for _, held, words, p in bags if not held for w in [*words, op.END]]
-    tree, counts = Brute(train), Counter(w for w, _ in train)
+        texts.append((i, held, [*(text or "").encode().lower().split(), op.END]))
+    train = [w for _, held, tokens in texts if not held for w in tokens]
+    tree, counts = Brute([b" ".join(tokens) for _, held, tokens in texts if not held]), Counter(train)
     n, v = len(train), len(counts)
-    for i, held, words, profile in bags:
-        tokens = [*words, op.END]
+    out = []
+    for i, held, tokens in texts:
         base = sum(math.log10((counts[w] + .5) / (n + .5 * (v + 1))) for w in tokens)
-        score = (sum(tree.code(w, profile) for w in tokens) - math.log(op.PROFILES)) / math.log(10)
-        out[i] = (held, len(tokens), sum(counts[w] > 0 for w in tokens), n, base, score)
-    return out
+        score = tree.code(b" ".join(tokens)) / math.log(10)
+        out.append((str(i), held, len(tokens), sum(counts[w] > 0 for w in tokens), n, round(base, 6), score))
+    return sorted(out)
 
 
-@pytest.mark.parametrize("head", [0, 5, 1 << 16])
-def test_against_brute_force(spark, monkeypatch, head):
-    monkeypatch.setattr(op, "HEAD", head)
-    frame = spark.createDataFrame([(*r, "x") for r in TEXTS], "doc_id long, text string, score string").repartition(3)
-    got = {r.doc_id: r for r in op.score_documents(frame).collect()}
+def reported(frame, **how):
+    return sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), r.score)
+                  for r in op.score_documents(frame, **how).collect())
+
+
+def assert_equal(got, want):
+    assert [g[:-1] for g in got] == [w[:-1] for w in want]
+    assert [g[-1] for g in got] == pytest.approx([w[-1] for w in want], rel=1e-5)
+
+
+@pytest.mark.parametrize("parts, block", [(1, 1 << 20), (3, 60), (2, 1)])
+def test_against_brute_force(spark, monkeypatch, parts, block):
+    monkeypatch.setattr(op, "PART", 40)
+    frame = spark.createDataFrame([(*r, "x") for r in TEXTS], "doc_id long, text string, block string").coalesce(parts).repartition(parts)
     want = expected(TEXTS)
-    assert got.keys() == want.keys()
-    assert {w[0] for w in want.values()} == {True, False}
-    for i, (held, tokens, known, n, base, score) in want.items():
-        r = got[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, tokens, known, n)
-        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score, rel=1e-9)
+    assert {w[1] for w in want} == {True, False}
+    assert_equal(reported(frame, block_bytes=block), want)
+
+
+def test_the_order_of_words_counts():
+    want = {w[0]: w for w in expected(TEXTS)}
+    assert want["1"][5] == want["12"][5] and abs(want["1"][6] - want["12"][6]) > 0.5
+
+
+def test_held_out_texts_score_above_words_alone(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sums = op.score_documents(frame).where("held_out").selectExpr("sum(score) as score", "sum(base_score) as base").first()
+    assert sums.score > sums.base
+
+
+def test_more_buckets_change_nothing(spark, monkeypatch):
+    frame = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    monkeypatch.setattr(op, "BUCKET_BYTES", 100)
+    monkeypatch.setattr(op, "BUCKETS", 3)
+    monkeypatch.setattr(op, "HELD", 10)
+    assert_equal(reported(frame), expected(TEXTS))
 
 
 def test_bytes_sum_to_one():
-    tree = [(w.encode(), 3) for w in "abra cadabra abracadabra bra".split()]
-    words, counts = zip(*Counter(tree).items(), strict=True)
-    grams, owner = op.grams_of([w for w, _ in words], np.array([p for _, p in words]))
-    trained = np.array(counts)[owner]
+    grams, counts = op._distinct(op.grams_of([op.coded(t.split()) for t in (b"abra cadabra", b"abracadabra bra", b"bra")]))
     for context in {int(g) >> 8 for g in grams}:
         asked = np.array([context << 8 | byte for byte in range(256)], dtype=np.uint64)
-        all_grams, where = np.unique(np.concatenate([grams, asked]), return_inverse=True)
-        sums = np.bincount(where, np.concatenate([trained, np.zeros(256)]), len(all_grams)).astype(np.int64)
-        near = (all_grams >> np.uint64(8)) & np.uint64(0xFFFF)
-        mixed, tops = np.zeros((len(all_grams), 8)), []
-        for value in np.unique(near):
-            at = np.flatnonzero(near == value)
-            mixed[at], (prefix, *rest) = op.mix_subtree(all_grams[at], sums[at])
-            tops += [((int(value) & 255) << 8 | int(q), *(float(x[k]) for x in rest)) for k, q in enumerate(prefix)]
-        keys = sorted({t[0] for t in tops})
-        total = np.array([[sum(t[c] for t in tops if t[0] == k) for c in (1, 2, 3)] for k in keys])
-        top = op.Top(np.array(keys) >> 8, np.array(keys) & 255, *total.T)
-        code = top.log_probability(all_grams, mixed)[np.searchsorted(all_grams, asked)]
+        every, sums = op.add_up(np.concatenate([grams, asked]), np.concatenate([counts, np.zeros(256, np.int64)]))
+        mixed, level = op.mix_subtrees(every, sums)
+        keys, where = np.unique(level.keys & ((1 << 8 * op.NEAR) - 1), return_inverse=True)
+        top = op.Top(keys, *(np.bincount(where, x, len(keys)) for x in (level.zeros, level.ones, level.weighted)))
+        code = top.log_probability(every, mixed)[np.searchsorted(every, asked)]
         assert np.exp(code).sum() == pytest.approx(1)
 
 
+def test_numbers_come_back_packed():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 1000):
+        keys = np.unique(rng.integers(0, 1 << 56, n).astype(np.uint64))
+        assert (op.unpacked_keys(op.packed_keys(keys)) == keys).all()
+        values = rng.normal(size=n).astype("<f4")
+        assert (op.unpacked(op.packed(values), "<f4") == values).all()
+
+
 def test_repeats_and_empty(spark):
     rows = [(1, "a b c"), (1, "a b c"), (2, "b")]
     out = op.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted((r.doc_id, r.n_tokens) for r in out) == [(1, 4), (2, 2)]
+    assert sorted((r.doc_id, r.n_tokens) for r in out) == [(1, 4), (1, 4), (2, 2)]
     assert op.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
