@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from instrel.constants import ERROR_TOO_FEW_NEGATIVES
 from instrel.functions.scores import label_class
 from instrel.operators import (
     contract, distributions, incremental, intake, parsing, relevance, reports, requests, selecting, summaries,
@@ -546,7 +547,11 @@ def check_word_length(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_failure_modes(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.check_failure_modes(derived.packages(spark, sf, ("label", "neg_type"))).drop("choice_index")
+    """Failure modes of every package; the third passage of some names one that is not known."""
+    packages = derived.packages(spark, sf, ("label", "neg_type"))
+    planted = packages.withColumn("responses", F.transform("responses", lambda r, i: F.when(
+        (i == 2) & (F.col("id") % 67 == 3), r.withField("neg_type", F.lit("made_up"))).otherwise(r)))
+    return contract.check_failure_modes(planted).drop("choice_index")
 
 
 @query
@@ -563,7 +568,11 @@ def check_evidence(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def check_error_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.check_error_envelope(derived.passage_completions(spark, sf))
+    """Error envelopes; every other one reports an error that is not known."""
+    completions = derived.passage_completions(spark, sf)
+    other = F.split_part("request_id", F.lit(":"), F.lit(2)).cast("bigint") % 26 == 0
+    planted = F.when(other, F.replace("content", F.lit(ERROR_TOO_FEW_NEGATIVES), F.lit("OUT_OF_IDEAS"))).otherwise(F.col("content"))
+    return contract.check_error_envelope(completions.withColumn("content", planted))
 
 
 @query

@@ -244,10 +244,7 @@ ORACLE: dict[str, str] = {
         from passages p join fate f using (id) where f.sound and p.id % 2 = 0""",
     "parse_literal_packages": f"""with {_TEXT} select {_FIELDS}, cast({_DEFAULT_SCORE} as double) as confidence
         from passages p join fate f using (id) where f.sound and p.id % 2 = 1
-        union all select id, 0, 0, 1, '', '', 'positive', null, null, 0.4 from fate where single
-        union all select p.id, 0, p.pos, p.item_id, p.title, p.passage, p.label, p.neg_type, p.explanation,
-          cast({_DEFAULT_SCORE} as double)
-        from passages p join fate f using (id) where f.mixed and false""",
+        union all select id, 0, 0, 1, '', '', 'positive', null, null, 0.4 from fate where single""",
     "candidates": f"""with {_TEXT} select {_FIELDS}, cast({_DEFAULT_SCORE} as double) as confidence
         from passages p join fate f using (id) where f.sound""",
     "confidence_strict": f"""with {_TEXT} select p.id, p.pos, p.label, cast(p.confidence as double) as confidence
@@ -340,9 +337,10 @@ ORACLE: dict[str, str] = {
         ) select *, case when label = 'positive' then words between 80 and 150
           when label = 'negative' then words between 60 and 140 end as ok from counted""",
     "check_failure_modes": f"""with {_PASSAGES}, per as (
-          select b.id, cast(count(distinct neg_type) filter (label = 'negative') as int) as distinct_modes
+          select b.id, cast(count(distinct neg_type) filter (label = 'negative' and not (pos = 2 and b.id % 67 = 3)) as int) as distinct_modes,
+            cast(count(*) filter (label = 'negative' and pos = 2 and b.id % 67 = 3) as int) as unknown_modes
           from base b left join passages p using (id) group by b.id
-        ) select id, distinct_modes, 0 as unknown_modes, distinct_modes >= 4 as ok from per""",
+        ) select id, distinct_modes, unknown_modes, distinct_modes >= 4 and unknown_modes = 0 as ok from per""",
     "check_fields": f"""with {_PASSAGES} select b.id,
         cast(count(*) filter (confidence < 0 or confidence > 1) as int) as bad_confidence,
         cast(count(*) filter (label = 'positive' and neg_type is not null) as int) as positive_with_neg_type,
@@ -354,8 +352,8 @@ ORACLE: dict[str, str] = {
     "check_evidence": f"""with {_PASSAGES} select id, evidence as chunk_id, count(*) as citations
         from passages where evidence = 'c8' group by id, evidence""",
     "check_error_envelope": f"""with {_CHOICES} select 'passages:' || cast(id as varchar) as request_id, choice_index,
-        'COULD_NOT_GENERATE_N_NEGATIVES' as error, 'too short' as reason,
-        cast(id % 5 as int) as produced_negatives, true as known_error
+        case when id % 26 = 0 then 'OUT_OF_IDEAS' else 'COULD_NOT_GENERATE_N_NEGATIVES' end as error, 'too short' as reason,
+        cast(id % 5 as int) as produced_negatives, id % 26 <> 0 as known_error
         from choices where reason = 'error_envelope'""",
     "check_answer_leak": f"""with {_BASE}, said as (
           select id, {_normalised("text")} as answer, {_normalised("instruction")} as said from base
