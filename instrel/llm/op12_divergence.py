@@ -38,7 +38,7 @@ LEAST_DOCS = 10
 TOP = 10
 #: Fixed value: proportions are counted in units of 10^-9.
 SCALE = 10**9
-#: Terms of a shard, about; sources of a block, about.
+#: Terms of a shard, at most about; sources of a block, about.
 SHARD, BLOCK = 8192, 32
 #: Bytes of all tables up to which they are broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -47,6 +47,9 @@ COUNTED, DENSE = 400_000, 2_000_000
 #: Levels of a perfect hash, and bits of a level for each key; keys that no level parts are listed.
 LEVELS, ROOM = 24, 2
 SEED = 42
+#: Neighbouring slots whose counts stand in one row, and slots that a task of the pair sums looks at.
+WIDE, PIECE = 16, 1024
+_WIDE = [f"n{k}" for k in range(WIDE)]
 
 # A-Z in lower case; all ASCII but letters parts terms.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -155,20 +158,17 @@ def document_counts(rows: DataFrame) -> DataFrame:
     return rows.select("lang", "text").mapInArrow(each, "lang string, term string, n bigint")
 
 
-def perfect_hashes(kept: DataFrame, shard: int = SHARD) -> DataFrame:
-    """``lang, shard, shards, sizes, bits, terms``: a table for each shard of ``kept(lang, term)``; ``terms`` are in the order of slots."""
-    shards = kept.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard)).cast("int").alias("shards"))
-    dealt = kept.join(shards, "lang").withColumn(
-        "shard", F.pmod(F.shiftrightunsigned(F.xxhash64("term"), 32), F.col("shards").cast("bigint")).cast("int"))
+def perfect_hashes(kept: DataFrame, shards: int) -> DataFrame:
+    """``lang, shard, sizes, bits, terms``: a table for each language's terms of each of ``shards`` shards; ``terms`` are in the order of slots."""
+    dealt = kept.withColumn("shard", F.pmod(F.shiftrightunsigned(F.xxhash64("term"), 32), F.lit(shards).cast("bigint")).cast("int"))
 
     def each(table: pa.Table) -> pa.Table:
         sizes, packed, terms = build(text_bytes(table.column("term").combine_chunks()))
         return pa.table({
-            "lang": table.column("lang")[:1], "shard": table.column("shard")[:1], "shards": table.column("shards")[:1],
-            "sizes": pa.array([sizes], pa.list_(pa.int32())), "bits": pa.array([packed], pa.binary()), "terms": pa.array([[t.decode() for t in terms]], pa.list_(pa.string()))})
+            "lang": table.column("lang")[:1], "shard": table.column("shard")[:1], "sizes": pa.array([sizes], pa.list_(pa.int32())),
+            "bits": pa.array([packed], pa.binary()), "terms": pa.array([[t.decode() for t in terms]], pa.list_(pa.string()))})
 
-    return dealt.groupBy("lang", "shard").applyInArrow(
-        each, "lang string, shard int, shards int, sizes array<int>, bits binary, terms array<string>")
+    return dealt.groupBy("lang", "shard").applyInArrow(each, "lang string, shard int, sizes array<int>, bits binary, terms array<string>")
 
 
 def _buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[str, str], Counter]]:
@@ -184,46 +184,56 @@ def _buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[str, str
     yield counted
 
 
-def _recount_by_slots(rows: DataFrame, tables: DataFrame) -> DataFrame:
-    """``lang, source, shard, slot, n`` through broadcast tables, whose size the caller has checked."""
+def _recount_by_slots(rows: DataFrame, tables: DataFrame, shards: int) -> DataFrame:
+    """``lang, source, shard, block, n0, n1, ..``: counts of ``WIDE`` slots from ``block`` x ``WIDE`` on, through broadcast tables, whose size the
+
+    caller has checked.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(
-        {(r.lang, r.shard): (r.shards, r.sizes, bytes(r.bits), [t.encode() for t in r.terms]) for r in tables.collect()})
+        {(r.lang, r.shard): (r.sizes, bytes(r.bits), [t.encode() for t in r.terms]) for r in tables.collect()})
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: dict[tuple[str, int], PerfectHash] = {}
-        shards = {lang: held[0] for (lang, _), held in sent.value.items()}
+        langs = {lang for lang, _ in sent.value}
         dense: dict[tuple[str, str, int], np.ndarray] = {}
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for (lang, source, shard), counts in dense.items():
-                at = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()), pa.array(np.full(len(at), shard, np.int32)),
-                     pa.array(at.astype(np.int32)), pa.array(counts[at])], ["lang", "source", "shard", "slot", "n"])
+        def out() -> pa.RecordBatch:
+            """All that is held, in one batch: a batch for each of very many small tables would cost more than what is in it."""
+            found = [(key, counts.reshape(-1, WIDE)) for key, counts in dense.items()]
+            at = [np.flatnonzero(rows.any(axis=1)) for _, rows in found]
+            n = np.concatenate([rows[i] for (_, rows), i in zip(found, at, strict=True)] or [np.zeros((0, WIDE), np.int64)])
+            keys = [[key[c] for (key, _), i in zip(found, at, strict=True) for _ in range(len(i))] for c in range(3)]
             dense.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.int32()),
+                 pa.array(np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int32)), *(pa.array(np.ascontiguousarray(n[:, k])) for k in range(WIDE))],
+                ["lang", "source", "shard", "block", *_WIDE])
 
+        held = 0
         for counted in _buffered(batches):
             for (lang, source), words in counted.items():
-                if lang not in shards or not words:
+                if lang not in langs or not words:
                     continue
                 terms, n = np.array([*words, b""], dtype=object)[:-1], np.fromiter(words.values(), np.int64, len(words))
                 hashes = hash_terms(list(words))
-                dealt = ((hashes >> np.uint64(32)) % np.uint64(shards[lang])).astype(np.int64)
+                dealt = ((hashes >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
                 for shard in np.unique(dealt).tolist():
                     if (lang, shard) not in sent.value:
                         continue
                     if (lang, shard) not in ready:
-                        ready[lang, shard] = PerfectHash(*sent.value[lang, shard][1:])
+                        ready[lang, shard] = PerfectHash(*sent.value[lang, shard])
                     own = np.flatnonzero(dealt == shard)
                     slots = ready[lang, shard].slots(terms[own].tolist(), hashes[own])
                     if (lang, source, shard) not in dense:
-                        dense[lang, source, shard] = np.zeros(len(ready[lang, shard].terms), np.int64)
+                        dense[lang, source, shard] = np.zeros(-(-len(ready[lang, shard].terms) // WIDE) * WIDE, np.int64)
+                        held += len(dense[lang, source, shard])
                     dense[lang, source, shard][slots[slots >= 0]] += n[own][slots >= 0]
-                    if sum(map(len, dense.values())) > DENSE:
-                        yield from out()
-        yield from out()
+                    if held > DENSE:
+                        yield out()
+                        held = 0
+        yield out()
 
-    return rows.mapInArrow(each, "lang string, source string, shard int, slot int, n bigint")
+    return rows.mapInArrow(each, "lang string, source string, shard int, block int, " + ", ".join(f"{n} bigint" for n in _WIDE))
 
 
 def _recount_by_join(rows: DataFrame, slots: DataFrame) -> DataFrame:
@@ -236,33 +246,41 @@ def _recount_by_join(rows: DataFrame, slots: DataFrame) -> DataFrame:
                      pa.array(words.values(), pa.int64())], ["lang", "source", "term", "n"])
 
     summed = rows.mapInArrow(each, "lang string, source string, term string, n bigint").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    return summed.join(slots, ["lang", "term"]).select("lang", "source", "shard", "slot", "n")
+    return summed.join(slots, ["lang", "term"]).groupBy("lang", "source", "shard", F.expr(f"slot div {WIDE}").cast("int").alias("block")).agg(
+        *(F.sum(F.when(F.col("slot") % WIDE == k, F.col("n")).otherwise(0)).alias(n) for k, n in enumerate(_WIDE)))
 
 
-def pair_sums(counts: DataFrame, groups: DataFrame, sizes: DataFrame, block: int = BLOCK) -> DataFrame:
+def pair_sums(counts: DataFrame, groups: DataFrame, sizes: DataFrame, shards: int, block: int = BLOCK) -> DataFrame:
     """``lang, source, item, value``: the divergence of all pairs of a language's sources, summed over its kept terms.
 
-    ``counts``: lang, source, shard, slot, n; ``groups``: lang, source, total, kept, shards, sources; ``sizes``: lang, shard, size.
+    ``counts``: lang, source, shard, block and the counts of its slots; ``groups``: lang, source, total, kept, sources; ``sizes``: lang, shard, size.
     """
     dealt = groups.withColumn("blocks", F.ceil(F.col("sources") / F.lit(block)).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("source"), F.col("blocks").cast("bigint")).cast("int"))
-    heads = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).join(sizes, ["lang", "shard"], "left").select(
-        "lang", "source", "shard", "own", "blocks", "kept", F.lit(-1).alias("slot"), F.col("total").alias("n"), F.coalesce("size", F.lit(0)).alias("size"))
-    cells = counts.join(dealt.select("lang", "source", "own", "blocks", "kept"), ["lang", "source"]).select(
-        "lang", "source", "shard", "own", "blocks", "kept", "slot", "n", F.lit(0).alias("size"))
+        "own", F.pmod(F.xxhash64("source"), F.col("blocks").cast("bigint")).cast("int")).select("lang", "source", "total", "kept", "own", "blocks")
+    # A piece of a shard for each ``PIECE`` slots, one at least, so that a language without terms has its pairs too.
+    pieces = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(sizes, ["lang", "shard"], "left").withColumn(
+        "size", F.coalesce("size", F.lit(0)))
+    keys = ["lang", "source", "shard", "own", "blocks", "kept"]
+    heads = pieces.withColumn("piece", F.explode(F.expr(f"sequence(0, cast(greatest(size - 1, 0) div {PIECE} as int))"))).select(
+        *keys, "piece", F.lit(-1).alias("block"), F.expr(f"cast(least(size - piece * {PIECE}, {PIECE}) as int)").alias("size"), F.col("total").alias(_WIDE[0]),
+        *(F.lit(0).cast("bigint").alias(n) for n in _WIDE[1:]))
+    cells = counts.join(dealt, ["lang", "source"]).select(
+        *keys, F.expr(f"cast(block div {PIECE // WIDE} as int)").alias("piece"), F.expr(f"block % {PIECE // WIDE}").alias("block"),
+        F.lit(0).alias("size"), *_WIDE)
     both = heads.unionByName(cells).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "lang", "shard", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "source", "own", "kept", "slot", "n", "size")
+        "lang", "shard", "piece", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "source", "own", "kept", "block", "size", *_WIDE)
 
     def each(table: pa.Table) -> pa.Table:
-        held = {c: table.column(c).to_numpy() for c in ("own", "kept", "slot", "n", "size", "a", "b")}
+        held = {c: table.column(c).to_numpy() for c in ("own", "kept", "block", "size", "a", "b")}
+        n = np.stack([table.column(c).to_numpy() for c in _WIDE], axis=1)
         names = table.column("source").combine_chunks().dictionary_encode()
-        codes = names.indices.to_numpy()
-        head = held["slot"] < 0
+        codes, head = names.indices.to_numpy(), held["block"] < 0
         size = int(held["size"].max())
-        matrix = np.zeros((len(names.dictionary), size), np.int64)
-        matrix[codes[~head], held["slot"][~head]] = held["n"][~head]
+        matrix = np.zeros((len(names.dictionary), PIECE // WIDE, WIDE), np.int64)
+        matrix[codes[~head], held["block"][~head]] = n[~head]
+        matrix = matrix.reshape(len(matrix), -1)[:, :size]
         totals, own = np.zeros(len(matrix), np.int64), np.zeros(len(matrix), np.int64)
-        totals[codes[head]], own[codes[head]] = held["n"][head], held["own"][head]
+        totals[codes[head]], own[codes[head]] = n[head, 0], held["own"][head]
         kept, a, b = int(held["kept"][0]), int(held["a"][0]), int(held["b"][0])
         if size:
             matrix = np.stack([proportions(row, total, kept) for row, total in zip(matrix, totals.tolist(), strict=True)])
@@ -279,7 +297,7 @@ def pair_sums(counts: DataFrame, groups: DataFrame, sizes: DataFrame, block: int
             "lang": pa.array([table.column("lang")[0].as_py()] * len(found), pa.string()), "source": take(first), "item": take(second),
             "value": pa.array(values, pa.int64())})
 
-    partial = both.groupBy("lang", "shard", "a", "b").applyInArrow(each, "lang string, source string, item string, value bigint")
+    partial = both.groupBy("lang", "shard", "piece", "a", "b").applyInArrow(each, "lang string, source string, item string, value bigint")
     return partial.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
@@ -290,11 +308,15 @@ def _proportion(n: str, total: str):
 
 def term_scores(counts: DataFrame, groups: DataFrame, slots: DataFrame, top: int = TOP) -> DataFrame:
     """``lang, source, item, value, rank``: the terms a group uses most beyond its language."""
-    used = counts.groupBy("lang", "shard", "slot").agg(F.sum("n").alias("lang_n"))
-    scored = counts.join(used.join(slots, ["lang", "shard", "slot"]), ["lang", "shard", "slot"]).join(groups, ["lang", "source"]).select(
-        "lang", "source", F.col("term").alias("item"), _proportion("n", "total").alias("p"), _proportion("lang_n", "lang_total").alias("q"))
+    used = counts.groupBy("lang", "shard", "block").agg(*(F.sum(n).alias(f"lang_{n}") for n in _WIDE))
+    pairs = F.array(*(F.struct(F.col(n).alias("n"), F.col(f"lang_{n}").alias("lang_n")) for n in _WIDE))
+    cells = counts.join(used, ["lang", "shard", "block"]).join(groups, ["lang", "source"]).select(
+        "lang", "source", "shard", "block", "total", "lang_total", "kept", F.posexplode(pairs).alias("at", "c")).where("c.n > 0").select(
+        "lang", "source", "shard", (F.col("block") * WIDE + F.col("at")).alias("slot"),
+        _proportion("c.n", "total").alias("p"), _proportion("c.lang_n", "lang_total").alias("q")).where("p > q")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    return scored.where("p > q").select("lang", "source", "item", F.expr("((p - q) * (p - q)) div (p + q)").alias("value")).withColumn(
+    return cells.join(slots, ["lang", "shard", "slot"]).select(
+        "lang", "source", F.col("term").alias("item"), F.expr("((p - q) * (p - q)) div (p + q)").alias("value")).withColumn(
         "rank", F.row_number().over(best)).where(F.col("rank") <= top)
 
 
@@ -310,26 +332,28 @@ def divergence(
     """
     rows = _rows(docs, lang_col, source_col, text_col)
     frequent = document_counts(rows).groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= least_docs).select("lang", "term")
-    tables = stored(perfect_hashes(stored(frequent, "kept"), shard), "hashes")
+    kept = stored(frequent, "kept")
+    shards = max(1, -(-kept.count() // shard))
+    tables = stored(perfect_hashes(kept, shards), "hashes")
     slots = tables.select("lang", "shard", F.posexplode("terms").alias("slot", "term"))
     held = tables.agg(F.sum(F.length("bits") + F.aggregate("terms", F.lit(0).cast("bigint"), lambda n, t: n + F.octet_length(t) + 8))).first()[0] or 0
-    recounted = _recount_by_slots(rows, tables) if held <= broadcast_bytes else _recount_by_join(rows, slots)
-    counts = stored(recounted.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n")), "recount")
+    recounted = _recount_by_slots(rows, tables, shards) if held <= broadcast_bytes else _recount_by_join(rows, slots)
+    counts = stored(recounted.groupBy("lang", "source", "shard", "block").agg(*(F.sum(n).alias(n) for n in _WIDE)), "recount")
 
     sizes = tables.select("lang", "shard", F.size("terms").alias("size"))
     of_lang = rows.select("lang", "source").distinct().groupBy("lang").agg(F.count(F.lit(1)).cast("int").alias("sources"))
-    of_terms = tables.groupBy("lang").agg(F.max("shards").alias("shards"), F.sum(F.size("terms")).alias("kept"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    of_terms = tables.groupBy("lang").agg(F.sum(F.size("terms")).alias("kept"))
+    totals = counts.groupBy("lang", "source").agg(F.sum(sum(map(F.col, _WIDE), F.lit(0))).alias("total"))
     lang_totals = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     zero = F.lit(0).cast("bigint")
     groups = stored(
         rows.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(of_lang, "lang").join(of_terms, "lang", "left")
         .join(lang_totals, "lang", "left").select(
             "lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("lang_total", zero).alias("lang_total"),
-            F.coalesce("kept", zero).alias("kept"), F.coalesce("shards", F.lit(1)).alias("shards"), "sources"), "groups")
+            F.coalesce("kept", zero).alias("kept"), "sources"), "groups")
 
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pairs = pair_sums(counts, groups, sizes, block).withColumn("rank", F.row_number().over(by_value))
+    pairs = pair_sums(counts, groups, sizes, shards, block).withColumn("rank", F.row_number().over(by_value))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.withColumn("part", F.lit("pair")).select(*columns).unionByName(
         term_scores(counts, groups, slots, top).withColumn("part", F.lit("term")).select(*columns))

@@ -89,6 +89,7 @@ def test_small_buffers_change_nothing(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "lang string, source string, text string")
     monkeypatch.setattr(op, "DENSE", 3)
     monkeypatch.setattr(op, "COUNTED", 2)
+    monkeypatch.setattr(op, "PIECE", 16)
     assert found(op.divergence(frame, shard=7)) == brute(rows)
 
 
