@@ -28,6 +28,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ DEPTH = 6
 #: Context bytes whose subtrees stay together.
 NEAR = 3
 #: Bytes of the texts of a block, about, and of what a block looks at at once.
-BLOCK, PART = 16 << 20, 4 << 20
+BLOCK, PART = 16 << 20, 2 << 20
 #: Buckets, and bytes of text above which there are more of them.
 BUCKETS, BUCKET_BYTES = 512, 16 << 30
 #: Grams that a bucket holds before it adds them up.
@@ -66,9 +68,23 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + series - shift
 
 
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of gamma at n + 1/2 and at n + 1 for small n."""
+    n = np.arange(1 << 16, dtype=float)
+    return log_gamma(n + 0.5), log_gamma(n + 1.0)
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov block probability of so many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
+    halves, wholes = _tables()
+    both = zeros + ones
+    most = np.minimum(both, len(wholes) - 1).astype(np.int64)
+    found = halves[np.minimum(zeros, most).astype(np.int64)] + halves[np.minimum(ones, most).astype(np.int64)] - wholes[most]
+    many = np.flatnonzero(both >= len(wholes))
+    if len(many):
+        found[many] = log_gamma(zeros[many] + 0.5) + log_gamma(ones[many] + 0.5) - log_gamma(both[many] + 1.0)
+    return found - np.log(np.pi)
 
 
 def coded(words: list[bytes]) -> bytes:
@@ -135,24 +151,25 @@ def _keys(grams: np.ndarray, prefix: np.ndarray, length: int) -> np.ndarray:
     return (context.astype(np.int64)[:, None] << 8) | prefix
 
 
-def mix_subtrees(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, Level]:
-    """For all grams of some contexts of ``NEAR`` bytes: the probability of each bit mixed from that depth on (NaN without training),
-
-    and the level of these contexts.
-    """
-    prefix, bits = _nodes(grams)
+def subtree_levels(grams: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """The levels of some contexts of ``NEAR`` bytes, deepest first, from all their grams."""
     trained = counts > 0
-    keys, where = np.unique(_keys(grams, prefix, DEPTH)[trained].ravel(), return_inverse=True)
-    weights, flat = np.repeat(counts[trained], 8).astype(float), bits[trained].ravel()
-    level = Level(keys, np.bincount(where, weights * (1 - flat), len(keys)), np.bincount(where, weights * flat, len(keys)), None)
-    levels = [level]
+    prefix, bits = _nodes(grams[trained])
+    keys, where = np.unique(_keys(grams[trained], prefix, DEPTH).ravel(), return_inverse=True)
+    weights, flat = np.repeat(counts[trained], 8).astype(float), bits.ravel()
+    levels = [Level(keys, np.bincount(where, weights * (1 - flat), len(keys)), np.bincount(where, weights * flat, len(keys)), None)]
     for length in range(DEPTH, NEAR, -1):
-        level = level.parents(8 * length)
-        levels.append(level)
+        levels.append(levels[-1].parents(8 * length))
+    return levels
+
+
+def mix_subtrees(grams: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """For each gram the probability of each bit mixed from ``NEAR`` bytes of context on; NaN without training."""
+    prefix, bits = _nodes(grams)
     mixed = None
     for level, length in zip(levels, range(DEPTH, NEAR - 1, -1), strict=True):
         mixed = level.mix(_keys(grams, prefix, length).ravel(), bits.ravel(), mixed)
-    return mixed.reshape(-1, 8), levels[-1]
+    return mixed.reshape(-1, 8)
 
 
 class Top:
@@ -213,57 +230,53 @@ def unpacked_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(unpacked(blob, "<u8"), dtype=np.uint64)
 
 
-class Block:
-    """The texts of a block: its distinct grams and words, in an order that the texts alone decide, and what training holds of them."""
-
-    def __init__(self, texts: list[bytes], train: list[bool], buckets: int):
-        self.words = [t.lower().split() for t in texts]
-        self.texts = [coded(w) for w in self.words]
-        trained = [_distinct(grams_of(part)) for part in self._parts([t for t, y in zip(self.texts, train, strict=True) if y])]
-        others = [_distinct(grams_of(part)) for part in self._parts([t for t, y in zip(self.texts, train, strict=True) if not y])]
-        every = trained + [(k, np.zeros_like(n)) for k, n in others]
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        grams, counts = add_up(*(np.concatenate([e[i] for e in every]) if every else none[i] for i in (0, 1)))
-        where = gram_bucket(grams, buckets)
-        order = np.argsort(where, kind="stable")
-        self.grams, self.counts = grams[order], counts[order]
-        self.cuts = np.searchsorted(where[order], np.arange(buckets + 1))
-        bag: Counter = Counter()
-        for words, y in zip(self.words, train, strict=True):
-            if y:
-                bag.update(words)
-                bag[END] += 1
-            else:
-                for word in words:
-                    bag.setdefault(word, 0)
-                bag.setdefault(END, 0)
-        self.bag = [{} for _ in range(buckets)]
-        for word, n in bag.items():
-            self.bag[xxh32_intdigest(word) % buckets][word] = n
-
-    @staticmethod
-    def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
-        """Texts of about ``PART`` bytes at once."""
-        part, size = [], 0
-        for text in texts:
-            part.append(text)
-            size += len(text)
-            if size >= PART:
-                yield part
-                part, size = [], 0
-        if part:
+def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts of about ``PART`` bytes at once."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= PART:
             yield part
-
-    def code_sums(self, codes: np.ndarray) -> np.ndarray:
-        """The sum of the codes of each text's grams; ``codes`` are in the order of ``grams``."""
-        order = np.argsort(self.grams)
-        known, code = self.grams[order], codes[order]
-        sums = []
-        for part in self._parts(self.texts):
-            found = code[np.searchsorted(known, grams_of(part))].astype(np.float64)
-            starts = np.cumsum([0, *(len(t) for t in part[:-1])])
-            sums.append(np.add.reduceat(found, starts))
-        return np.concatenate(sums) if sums else np.zeros(0)
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def gram_counts(texts: list[bytes], train: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of coded texts, sorted, and how often those of training hold each."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for own in (True, False):
+        for part in _parts([t for t, y in zip(texts, train, strict=True) if y == own]):
+            found, n = _distinct(grams_of(part))
+            keys.append(found)
+            counts.append(n if own else np.zeros_like(n))
+    return add_up(np.concatenate(keys), np.concatenate(counts))
+
+
+def word_bags(texts: list[bytes], train: list[bool], buckets: int, counted: bool = True) -> list[dict[bytes, int]]:
+    """The distinct tokens of coded texts by bucket, in an order that the texts decide; with ``counted`` how often training holds them."""
+    tokens = lambda own: chain.from_iterable(t.split(b" ") for t, y in zip(texts, train, strict=True) if y == own)
+    bag = dict.fromkeys(tokens(False), 0)
+    for word, n in (Counter(tokens(True)) if counted else dict.fromkeys(tokens(True), 0)).items():
+        bag[word] = n
+    bags: list[dict[bytes, int]] = [{} for _ in range(buckets)]
+    for word, n in bag.items():
+        bags[xxh32_intdigest(word) % buckets][word] = n
+    return bags
+
+
+def code_sums(texts: list[bytes], known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The sum of the codes of each coded text's grams; ``known`` are all their grams, sorted."""
+    sums = [np.zeros(0)]
+    for part in _parts(texts):
+        grams = grams_of(part)
+        order = np.argsort(grams)
+        ranked = np.empty(len(grams))
+        # Sorted grams are found one behind the other, which is far quicker than here and there.
+        ranked[order] = codes[np.searchsorted(known, grams[order])]
+        sums.append(np.add.reduceat(ranked, np.cumsum([0, *(len(t) for t in part[:-1])])))
+    return np.concatenate(sums)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, pa.Table]]:
@@ -288,9 +301,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str,
         yield name(), pa.Table.from_batches(held)
 
 
-def _block_of(table: pa.Table, buckets: int) -> Block:
-    texts = [t for chunk in table.column("text").chunks for t in text_bytes(chunk)]
-    return Block(texts, [not h for h in table.column("held_out").to_pylist()], buckets)
+def _texts_of(table: pa.Table) -> tuple[list[bytes], list[bool]]:
+    """The coded texts of a block's rows, and which of them training holds."""
+    texts = [coded(t.lower().split()) for chunk in table.column("text").chunks for t in text_bytes(chunk)]
+    return texts, [not h for h in table.column("held_out").to_pylist()]
+
+
+def _dealt(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted grams by bucket, and where each bucket's start."""
+    where = gram_bucket(grams, buckets)
+    order = np.argsort(where, kind="stable")
+    return order, np.searchsorted(where[order], np.arange(buckets + 1))
 
 
 _SENT = "bucket int, block string, grams binary, gram_counts binary, words binary, word_counts binary"
@@ -300,11 +321,14 @@ def _sent(rows: DataFrame, buckets: int, most: int) -> DataFrame:
     """A row for each bucket of each block: its sorted grams and its words with the counts of both in training."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, table in _blocks(batches, most):
-            block = _block_of(table, buckets)
-            grams = [packed_keys(block.grams[a:b]) for a, b in zip(block.cuts, block.cuts[1:], strict=False)]
-            counts = [packed(block.counts[a:b].astype("<i8")) for a, b in zip(block.cuts, block.cuts[1:], strict=False)]
-            words = [b" ".join(bag) for bag in block.bag]
-            word_counts = [packed(np.fromiter(bag.values(), "<i8", len(bag))) for bag in block.bag]
+            texts, train = _texts_of(table)
+            found, n = gram_counts(texts, train)
+            order, cuts = _dealt(found, buckets)
+            found, n, spans = found[order], n[order].astype("<i8"), list(zip(cuts, cuts[1:], strict=False))
+            grams, counts = [packed_keys(found[a:b]) for a, b in spans], [packed(n[a:b]) for a, b in spans]
+            bags = word_bags(texts, train, buckets)
+            words = [b" ".join(bag) for bag in bags]
+            word_counts = [packed(np.fromiter(bag.values(), "<i8", len(bag))) for bag in bags]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(buckets), pa.int32()), pa.array([name] * buckets), *(pa.array(x, pa.binary()) for x in (grams, counts, words, word_counts))],
                 ["bucket", "block", "grams", "gram_counts", "words", "word_counts"])
@@ -322,7 +346,7 @@ def _merged(sent: DataFrame) -> DataFrame:
     """Each bucket's grams and words with the sums of their counts, and the sums of its subtrees (``keys`` and so on) for the levels above."""
     def finish(bucket: int, grams: np.ndarray, counts: np.ndarray, words: dict[bytes, int]) -> pa.RecordBatch:
         grams, counts = add_up(grams, counts)
-        _, level = mix_subtrees(grams, counts)
+        level = subtree_levels(grams, counts)[-1]
         keys, where = np.unique(level.keys & ((1 << 8 * NEAR) - 1), return_inverse=True)
         sums = [packed(np.bincount(where, x, len(keys))) for x in (level.zeros, level.ones, level.weighted)]
         total = np.fromiter(words.values(), "<i8", len(words))
@@ -376,7 +400,7 @@ def _answered(sent: DataFrame, merged: DataFrame, top: Top) -> DataFrame:
         for bucket, row in _by_bucket(batches):
             if row["block"] is None:
                 known = unpacked_keys(row["grams"])
-                mixed, _ = mix_subtrees(known, unpacked(row["gram_counts"], "<i8"))
+                mixed = mix_subtrees(known, subtree_levels(known, unpacked(row["gram_counts"], "<i8")))
                 codes = told.value.log_probability(known, mixed).astype("<f4")
                 counts = dict(zip(row["words"].split(b" ") if row["words"] else [], unpacked(row["word_counts"], "<i8").tolist(), strict=True))
                 continue
@@ -429,21 +453,29 @@ def score_documents(
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts, answers = texts.sort_by("nr"), answers.sort_by("bucket")
-        block = _block_of(texts, buckets)
+        own, train = _texts_of(texts)
+        known, _ = gram_counts(own, train)
+        order, cuts = _dealt(known, buckets)
+        bags = word_bags(own, train, buckets, counted=False)
         codes = [unpacked(x, "<f4") for x in answers.column("codes").to_pylist()]
         counts = [unpacked(x, "<i8") for x in answers.column("counts").to_pylist()]
-        if [len(c) for c in codes] != np.diff(block.cuts).tolist() or [len(c) for c in counts] != [len(b) for b in block.bag]:
+        if [len(c) for c in codes] != np.diff(cuts).tolist() or [len(c) for c in counts] != [len(b) for b in bags]:
             raise RuntimeError("the table did not give the same rows twice")
-        found = {w: n for bag, own in zip(block.bag, counts, strict=True) for w, n in zip(bag, own.tolist(), strict=True)}
+        found = {w: n for bag, of in zip(bags, counts, strict=True) for w, n in zip(bag, of.tolist(), strict=True)}
         logs = {w: np.log10((n + 0.5) / spread) for w, n in found.items()}
-        code = block.code_sums(np.concatenate(codes) if codes else np.zeros(0, np.float32))
-        tokens = [len(w) + 1 for w in block.words]
-        known = [sum(found[w] > 0 for w in words) + (found[END] > 0) for words in block.words]
-        base = [float(sum(map(logs.__getitem__, words))) + logs[END] for words in block.words]
-        sizes = np.array([len(t) for t in block.texts], dtype=np.int64)
+        code = np.empty(len(known), np.float32)
+        code[order] = np.concatenate(codes)
+        code = code_sums(own, known, code)
+        tokens, seen, base = [], [], []
+        for text in own:
+            words = text.split(b" ")
+            tokens.append(len(words))
+            seen.append(len(words) - list(map(found.__getitem__, words)).count(0))
+            base.append(float(sum(map(logs.__getitem__, words))))
+        sizes = np.array([len(t) for t in own], dtype=np.int64)
         return pa.table({
             "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(tokens, pa.int64()),
-            "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([total] * len(tokens), pa.int64()),
+            "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array([total] * len(tokens), pa.int64()),
             "base_score": pa.array(base, pa.float64()), "score": pa.array(code / np.log(10)), "bytes": pa.array(sizes),
             "bits_per_byte": pa.array(-code / np.log(2) / sizes)})
 

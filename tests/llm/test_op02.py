@@ -17,6 +17,9 @@ def test_log_gamma_and_estimator():
     for zeros, ones, bit in ((0, 0, 1), (0, 1, 1), (0, 2, 0), (1, 2, 1)):
         product *= ((ones if bit else zeros) + 0.5) / (zeros + ones + 1)
     assert np.isclose(op.log_kt(np.array([1.0]), np.array([3.0]))[0], math.log(product))
+    counts = [(0, 0), (70000, 2), (65535, 0), (65536, 1), (3, 65533), (10**9, 10**8)]
+    want = [math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi) for a, b in counts]
+    assert np.allclose(op.log_kt(*np.array(counts, float).T), want, rtol=1e-9, atol=1e-6)
 
 
 class Brute:
@@ -142,7 +145,8 @@ def test_bytes_sum_to_one():
     for context in {int(g) >> 8 for g in grams}:
         asked = np.array([context << 8 | byte for byte in range(256)], dtype=np.uint64)
         every, sums = op.add_up(np.concatenate([grams, asked]), np.concatenate([counts, np.zeros(256, np.int64)]))
-        mixed, level = op.mix_subtrees(every, sums)
+        levels = op.subtree_levels(every, sums)
+        mixed, level = op.mix_subtrees(every, levels), levels[-1]
         keys, where = np.unique(level.keys & ((1 << 8 * op.NEAR) - 1), return_inverse=True)
         top = op.Top(keys, *(np.bincount(where, x, len(keys)) for x in (level.zeros, level.ones, level.weighted)))
         code = top.log_probability(every, mixed)[np.searchsorted(every, asked)]
