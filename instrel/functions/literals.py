@@ -18,7 +18,7 @@ _ESCAPE = r"""\\(?:[\\'"nrtbf]|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4})"""
 _STRING = "|".join(rf"{q}[^{q}\\\n\r]*+(?:{_ESCAPE}[^{q}\\\n\r]*+)*+{q}" for q in ("'", '"'))
 # At most 15 digits, no trailing zeros and no more than three zeros behind the point: as ``repr`` gives them back.
 _NUMBER = r"-?(?:0|[1-9][0-9]{0,8})\.(?:0|(?!0000)[0-9]{0,5}[1-9])(?![0-9eE_.jJ])|(?:0|-?[1-9][0-9]{0,17})(?![0-9eE_.jJxXoObB])"
-_TOKEN = rf"{_STRING}|None|True|False|{_NUMBER}|[\[\]{{}},:]|[ \n\t]++"
+_TOKEN = rf"{_STRING}|None|True|False|{_NUMBER}|[\[\]{{}},: \n\t]++"
 _ENDS = r"\A[\[{](?s:.*)[\]}]\z"
 
 # An odd number of backslashes makes an escape, an even number is so many pairs.

@@ -38,7 +38,7 @@ def parse_items(
         unread = F.col("_json").isNull()
     # Literals are spelled as JSON by column functions; Python gets only the texts that this does not read.
     df = with_once(df, _tokens=F.when(unread, literal_tokens(F.col(text))))
-    spelled, alone = tokens_as_json(F.col("_tokens")), F.get("_tokens", F.lit(0)) == "{"
+    spelled, alone = tokens_as_json(F.col("_tokens")), F.startswith(F.get("_tokens", F.lit(0)), F.lit("{"))
     if single:
         spelled = F.when(alone, F.concat(F.lit("["), spelled, F.lit("]"))).otherwise(spelled)
     df = read(with_once(df, _spelled=spelled), "_literal", "_spelled")
