@@ -461,8 +461,9 @@ def score_documents(
         counts = [unpacked(x, "<i8") for x in answers.column("counts").to_pylist()]
         if [len(c) for c in codes] != np.diff(cuts).tolist() or [len(c) for c in counts] != [len(b) for b in bags]:
             raise RuntimeError("the table did not give the same rows twice")
-        found = {w: n for bag, of in zip(bags, counts, strict=True) for w, n in zip(bag, of.tolist(), strict=True)}
-        logs = {w: np.log10((n + 0.5) / spread) for w, n in found.items()}
+        words, n = [w for bag in bags for w in bag], np.concatenate(counts)
+        found = dict(zip(words, n.tolist(), strict=True))
+        logs = dict(zip(words, np.log10((n + 0.5) / spread).tolist(), strict=True))
         code = np.empty(len(known), np.float32)
         code[order] = np.concatenate(codes)
         code = code_sums(own, known, code)
