@@ -26,8 +26,14 @@ def parse_items(
         raise ValueError("mode is auto, json or literal")
 
     def read(df: DataFrame, name: str, column: str) -> DataFrame:
-        once = with_once(df, **{name: raw_items(F.col(column), drop_non_dict)})
-        return once.withColumn(name, plain_items(F.col(name)))
+        # Each step is a column of its own, as what follows refers to it several times.
+        plain = with_once(with_once(df, _raw=raw_items(F.col(column))), **{name: plain_items(F.col("_raw"))}).drop("_raw")
+        if not drop_non_dict:
+            return plain
+        # Only lists that hold something else than objects are read again, member by member.
+        rest = F.when(F.col(name).isNull(), F.col(column))
+        some = with_once(plain, _some=raw_items(rest, drop_non_dict=True))
+        return with_once(some, **{name: F.coalesce(F.col(name), plain_items(F.col("_some")))}).drop("_some")
 
     if mode == "json":
         return read(df, "items", text)
