@@ -17,8 +17,10 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +38,8 @@ from instrel.llm.common import sized_batches
 BLOCK = 32 << 20
 #: Words whose ids a task packs together on their way back.
 PACKED = 500_000
+#: Pieces of text whose words a task puts in a row at once.
+PARTS = 1 << 18
 
 
 @cache
@@ -92,27 +96,6 @@ class _Numbers(dict):
         return number
 
 
-class _Pieces(dict):
-    """Numbers of pieces of text that follow a blank; ``texts`` holds all pieces as they stand in the text."""
-
-    def __init__(self):
-        super().__init__()
-        self.texts: list[str] = []
-        self.leading: dict[str, int] = {}
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self.texts)
-        self.texts.append(" " + piece)
-        return number
-
-    def first(self, piece: str) -> int:
-        """Number of a piece that no blank precedes."""
-        if piece not in self.leading:
-            self.leading[piece] = len(self.texts)
-            self.texts.append(piece)
-        return self.leading[piece]
-
-
 # A blank between two characters that are no white space; the library's white space includes the pattern's.
 _ALONE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER = re.compile(r"[^\S \n]")
@@ -140,7 +123,7 @@ class Block(NamedTuple):
 
     name: int
     ids: list[pa.Array]
-    words: list[str]
+    words: pa.Array
     sizes: np.ndarray
     numbers: np.ndarray
 
@@ -153,42 +136,58 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parted: bool) -> It
     cut = regex.compile(pattern).findall
     task = TaskContext.get()
     nr, held = 0, 0
-    pieces, rows, ids, sums = _Pieces(), [], [], xxh64()
+    # Pieces of texts: those that a blank precedes, and those that none does, which are numbered behind the others.
+    later, first = _Numbers(), _Numbers()
+    rows, ids, sums = [], [], xxh64()
 
     def close() -> Block:
         known = _Numbers()
-        number = known.__getitem__
-        found = [cut(text) for text in pieces.texts]
-        lengths = np.array([len(words) for words in found], dtype=np.int64)
-        flat = np.fromiter((number(w) for words in found for w in words), dtype=np.uint32, count=int(lengths.sum()))
+        flat, lengths = array("I"), array("I")
+        for piece in chain((" " + piece for piece in later), first):
+            words = cut(piece)
+            lengths.append(len(words))
+            flat.extend(map(known.__getitem__, words))
+        flat, lengths = np.array(flat, np.uint32), np.array(lengths, np.int64)
         parts = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-        numbers = ragged(parts, flat, lengths)
-        ends = np.concatenate(([0], np.cumsum(lengths[parts])))[np.cumsum([0, *map(len, rows)])]
-        order = np.argsort(-np.bincount(numbers, minlength=len(known)), kind="stable")
-        ranks = np.empty(len(known), dtype=np.uint32)
-        ranks[order] = np.arange(len(known), dtype=np.uint32)
-        words = list(known)
+        starts = np.cumsum([0, *map(len, rows)], dtype=np.int64)[:-1]
+        parts[starts] += len(later)
+        later.clear(), first.clear(), rows.clear()
+        sizes = np.add.reduceat(lengths.astype(np.int32)[parts], starts, dtype=np.int64)
+        words = pa.array(list(known), pa.string())
+        known.clear()
+        # Some parts at a time: the indices are larger than the numbers.
+        numbers, counts, at = np.empty(int(sizes.sum()), np.uint32), np.zeros(len(words), np.int64), 0
+        for start in range(0, len(parts), PARTS):
+            some = ragged(parts[start:start + PARTS], flat, lengths)
+            counts += np.bincount(some, minlength=len(words))
+            numbers[at:at + len(some)] = some
+            at += len(some)
+        order = np.argsort(-counts, kind="stable")
+        ranks = np.empty(len(words), dtype=np.uint32)
+        ranks[order] = np.arange(len(words), dtype=np.uint32)
+        np.take(ranks, numbers, out=numbers, mode="clip")
         sums.update(f"{task.partitionId() if task else 0} {nr}")
-        return Block(sums.intdigest() >> 1, ids, [words[i] for i in order.tolist()], np.diff(ends), ranks[numbers])
+        return Block(sums.intdigest() >> 1, ids, words.take(pa.array(order)), sizes, numbers)
 
     for batch in sized_batches(batches, BLOCK // 8):
         for text in batch.column("text").to_pylist():
             text = text or ""
             sums.update(text)
             if not parted:
-                rows.append(np.array([pieces.first(text)], dtype=np.uint32))
+                rows.append(np.array([first[text]], dtype=np.uint32))
                 continue
-            first, *rest = pieces_of(text)
+            start, *rest = pieces_of(text)
             row = np.empty(len(rest) + 1, dtype=np.uint32)
-            row[0] = pieces.first(first)
-            row[1:] = list(map(pieces.__getitem__, rest))
+            row[0] = first[start]
+            row[1:] = list(map(later.__getitem__, rest))
             rows.append(row)
-        ids.append(batch.column("doc_id"))
+        # A copy: a slice would hold the texts that came with it.
+        ids.append(batch.column("doc_id").take(pa.array(np.arange(batch.num_rows))))
         held += batch.nbytes
         if held >= BLOCK:
             yield close()
             nr, held = nr + 1, 0
-            pieces, rows, ids, sums = _Pieces(), [], [], xxh64()
+            rows, ids, sums = [], [], xxh64()
     if rows:
         yield close()
 
@@ -220,11 +219,13 @@ def encode(
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, pattern, parted):
-            for start in range(0, len(block.words), 50_000):
-                some = block.words[start:start + 50_000]
+            name, words = block.name, block.words
+            del block
+            for start in range(0, len(words), 50_000):
+                some = words.slice(start, 50_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), block.name)), pa.array(np.arange(start, start + len(some), dtype=np.int32)),
-                     pa.array(some, pa.string())], ["block", "nr", "word"])
+                    [pa.array(np.full(len(some), name)), pa.array(np.arange(start, start + len(some), dtype=np.int32)), some],
+                    ["block", "nr", "word"])
 
     def numbers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, pattern, parted):

@@ -1,10 +1,12 @@
 """BPE against the public library, round trips, odd rows."""
 
 import random
+import tracemalloc
 from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -57,3 +59,24 @@ def test_documents(spark, parted):
 def test_empty(spark):
     encoded = op.encode(spark.createDataFrame([], "doc_id long, text string"), PATH, public_tokenizers.PATTERN)
     assert op.decode(encoded, PATH).count() == 0
+
+
+def test_memory_of_a_block(tmp_path):
+    """A block of distinct words takes a bounded multiple of its text, and its ids do not hold the texts they came with."""
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.getrandbits(50):x}" for _ in range(400)) for _ in range(600)]
+    whole = pa.record_batch({"doc_id": pa.array(range(600)), "text": pa.array(texts)})
+    with pa.OSFile(str(tmp_path / "in"), "wb") as out, pa.ipc.new_stream(out, whole.schema) as writer:
+        writer.write_batch(whole)
+    size = whole.nbytes
+    del whole
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    with open(tmp_path / "in", "rb") as stream:
+        block, = op._blocks(iter(pa.ipc.open_stream(stream)), public_tokenizers.PATTERN, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    block = block._replace(words=None)
+    assert pa.total_allocated_bytes() - before < size / 4
+    assert peak < 25 * size, peak / size
+    assert sum(map(len, block.ids)) == 600
