@@ -98,7 +98,7 @@ def analyse(package_text: DataFrame) -> dict[str, DataFrame]:
     """Reports on the packages of a text table, each lazy. The texts are parsed once, into the shared folder."""
     parsed = parsing.parse_items(package_text)
     path = shared_dir(package_text.sparkSession, "parsed")
-    parsed.write.parquet(path)
+    parsed.write.option("compression", "zstd").parquet(path)
     parsed = package_text.sparkSession.read.schema(parsed.schema).parquet(path)
     packages = parsing.to_responses(parsing.strict_packages(parsed))
     candidates = parsing.explode_candidates(packages, fields=("label", "confidence"))

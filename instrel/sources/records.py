@@ -170,7 +170,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     inside = set(zip(starts.column("file").to_pylist(), starts.column("block").to_pylist(), strict=True))
     folder = shared_dir(spark, "records")
     pieces = _pieces(lines, inside)
-    pieces.write.parquet(folder)
+    pieces.write.option("compression", "zstd").parquet(folder)
     pieces = spark.read.schema(pieces.schema).parquet(folder)
     found = pieces.where(F.col("kind") == WHOLE).select("file", "first", "record", F.lit(False).alias("too_long"))
     if not pieces.where(F.col("kind") != WHOLE).isEmpty():

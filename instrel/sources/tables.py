@@ -133,19 +133,20 @@ def package_rows(read: DataFrame) -> DataFrame:
 
     A CSV file has no choice number. It is the row's place among the rows of its id in the order of a hash of all
     columns, so it does not depend on how the rows were read; equal rows are numbered on. Hashes are numbered in
-    parts, so that an id of very many rows is the work of many tasks.
+    parts, so that an id of very many rows is the work of many tasks. The texts are shuffled once.
     """
-    rows = read.withColumn("_hash", F.xxhash64("Instruction", "Response", "Query", "OgPositive"))
+    # In a struct null ids are equal, so that copies are dropped and joined by the same key.
+    rows = read.withColumns({"_key": F.struct("ID"), "_hash": F.xxhash64("Instruction", "Response", "Query", "OgPositive")})
     part = F.pmod(F.shiftrightunsigned("_hash", 58), F.lit(_PARTS)).cast("int").alias("_part")
-    counts = rows.groupBy(F.col("ID").alias("_id"), "_hash", part).agg(F.count(F.lit(1)).alias("_copies"))
+    counts = rows.groupBy(F.col("_key").alias("_id"), "_hash", part).agg(F.count(F.lit(1)).alias("_copies"))
     before = Window.partitionBy("_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.groupBy("_id", "_part").agg(F.sum("_copies").alias("_held")).select(
         F.col("_id").alias("_of"), F.col("_part").alias("_in"), F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_id", "_part").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
     ahead = counts.withColumn("_ahead", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(
-        offsets, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in"))).select(
+        offsets, (F.col("_id") == F.col("_of")) & (F.col("_part") == F.col("_in"))).select(
         "_id", F.col("_hash").alias("_same"), (F.col("_offset") + F.col("_ahead")).alias("_first"), "_copies")
-    numbered = rows.dropDuplicates(["ID", "_hash"]).join(ahead, F.col("ID").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_same")))
+    numbered = rows.dropDuplicates(["_key", "_hash"]).join(ahead, (F.col("_key") == F.col("_id")) & (F.col("_hash") == F.col("_same")))
     place = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1)).alias("choice_index")
     return numbered.select(F.col("ID").alias("id"), place, "Query", "OgPositive", "Instruction", "Response").select(
         "id", F.col("choice_index").cast("int"), F.col("Query").alias("query"), F.col("OgPositive").alias("og_positive"),

@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import package_frame, score_frame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from instrel.operators import distributions, intake, relevance, summaries
 from instrel.plans import catalog
 from instrel.plans.flows import Prompts
-from instrel.sources import batches
+from instrel.sources import batches, tables
 from instrel.streaming import ingest
 
 QA = "id bigint, question string, answer string, chunk string"
@@ -189,3 +191,25 @@ def test_batches_of_a_scorer_are_bounded_and_of_like_lengths():
         assert len(at) == 1 or lengths[at].max() * len(at) <= 20_000
     assert [lengths[at].max() for at in batches_] == sorted((lengths[at].max() for at in batches_), reverse=True)
     assert list(relevance.packed_batches(np.zeros(0, int), 5)) == []
+
+
+def test_texts_of_package_rows_are_shuffled_once(spark, tmp_path):
+    rows = [(None, "q", "p", "i", "r")] * 2 + [(None, "q", "p", "i", "s"), ("1", "q", None, "i", "r"), ("1", None, "p", "i", "r"), ("2", "q", "p", "i", "r")]
+    spark.createDataFrame(rows, "ID string, Query string, OgPositive string, Instruction string, Response string").write.parquet(str(tmp_path / "t"))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = tables.package_rows(spark.read.parquet(str(tmp_path / "t")))
+        got = sorted(((r.id, r.choice_index, r.response) for r in numbered.collect()), key=str)
+        planned = numbered._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert [r[:2] for r in got] == [("1", 0), ("1", 1), ("2", 0), (None, 0), (None, 1), (None, 2)]
+    assert sorted(r[2] for r in got if r[0] is None) == ["r", "r", "s"]
+    # Between the scan and the end, a row of texts meets one exchange: that of its copies.
+    depth, line = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789")), planned.splitlines()
+    joins = [i for i, x in enumerate(line) if "SortMergeJoin [_key" in x]
+    assert len(joins) == 1, planned
+    left = [x for x in line[joins[0] + 1:]]
+    left = left[:next(i for i, x in enumerate(left) if i and depth(x) <= depth(left[0]))]
+    assert sum("Exchange hashpartitioning" in x for x in left) == 1, planned
