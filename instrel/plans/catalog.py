@@ -503,8 +503,10 @@ def stream_requests_once(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "stream-once")
     qa = derived.qa(spark, sf)
     for _ in range(2):
-        qa.coalesce(1).write.mode("append").parquet(f"{folder}/qa")
-        ingest.run_requests_once(spark, f"{folder}/qa", f"{folder}/requests", f"{folder}/progress", PROMPTS, max_files=1)
+        qa.write.mode("append").parquet(f"{folder}/qa")
+        # All files of a copy are one batch, however many tasks wrote them.
+        files = len(spark.read.schema(ingest.QA_SCHEMA).parquet(f"{folder}/qa").inputFiles())
+        ingest.run_requests_once(spark, f"{folder}/qa", f"{folder}/requests", f"{folder}/progress", PROMPTS, max_files=files)
     out = batches.read_batches(spark, f"{folder}/requests")
     return out.select("request_id", "id", "style", "length", "prompt")
 

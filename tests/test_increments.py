@@ -213,3 +213,19 @@ def test_texts_of_package_rows_are_shuffled_once(spark, tmp_path):
     left = [x for x in line[joins[0] + 1:]]
     left = left[:next(i for i, x in enumerate(left) if i and depth(x) <= depth(left[0]))]
     assert sum("Exchange hashpartitioning" in x for x in left) == 1, planned
+
+
+def test_stream_query_writes_and_reads_its_files_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i % 90, f"text {i}", "en", "s", 1) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.repartition(6).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    monkeypatch.setattr(catalog, "shared_dir", lambda spark, name: str(tmp_path / name))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = sorted(r.id for r in catalog.stream_requests_once(spark, str(tmp_path / "sf")).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert got == [i for i in range(90) if i % 50 != 49]
+    assert len(list((tmp_path / "stream-once" / "qa").glob("*.parquet"))) > 4
+    assert batches.manifest(spark, str(tmp_path / "stream-once" / "requests")).count() == 2  # a batch for each copy
