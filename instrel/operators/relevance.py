@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,25 +57,13 @@ def relevance_pairs(candidates: DataFrame) -> DataFrame:
     return candidates.select(*PAIR_KEYS, F.inline(texts))
 
 
-def score_pairs(pairs: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
-    """Logits of every pair, batch by batch. ids may be of any type.
+def score_pairs(pairs: DataFrame, make_scorer: Callable[[], Scorer], budget: int | None = None) -> DataFrame:
+    """Logits of every pair, in batches as of ``score_candidates``. ids may be of any type.
 
     ``make_scorer`` runs once in each worker process, whose later tasks find its scorer under ``name``.
     """
-    name = uuid.uuid4().hex
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = scorer_of_process(name, make_scorer)
-        for batch in batches:
-            logits = scorer(batch["text"])
-            out = batch[[*PAIR_KEYS, "kind"]].copy()
-            out["true_logit"] = logits.iloc[:, 0].to_numpy()
-            out["false_logit"] = logits.iloc[:, 1].to_numpy()
-            yield out
-
     wanted = pairs.select(*PAIR_KEYS, "kind", "text")
-    schema = wanted.drop("text").schema.add("true_logit", "double").add("false_logit", "double")
-    return wanted.mapInPandas(score, schema)
+    return _scored(wanted, {"text": ("true_logit", "false_logit")}, make_scorer, budget or BUDGET)
 
 
 def pair_logits(scored: DataFrame) -> DataFrame:
@@ -93,6 +82,8 @@ def pair_logits(scored: DataFrame) -> DataFrame:
 
 #: Characters of a batch that a scorer gets at once: its longest text times its number of texts.
 BUDGET = 1 << 18
+#: Bytes of rows whose texts are Python objects at once.
+SLICE = 4 << 20
 
 
 def packed_batches(lengths: np.ndarray, budget: int) -> Iterator[np.ndarray]:
@@ -105,34 +96,51 @@ def packed_batches(lengths: np.ndarray, budget: int) -> Iterator[np.ndarray]:
         start += most
 
 
+def _slices(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most_bytes``, at least one row each."""
+    for batch in batches:
+        before = sum(column.nbytes for column in batch.columns)
+        step = max(1, int(batch.num_rows * most_bytes / max(before, 1)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
+def _scored(rows: DataFrame, texts: dict[str, tuple[str, str]], make_scorer: Callable[[], Scorer], budget: int) -> DataFrame:
+    """The rows with two logits, named by ``texts``, in place of each of these columns.
+
+    Only the texts of ``SLICE`` bytes of rows are Python objects at once; all other columns stay in Arrow.
+    """
+    name, keys = uuid.uuid4().hex, [c for c in rows.columns if c not in texts]
+    named = [c for both in texts.values() for c in both]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = scorer_of_process(name, make_scorer)
+        for batch in _slices(batches, SLICE):
+            both = pd.concat([batch.column(c).to_pandas() for c in texts], ignore_index=True)
+            logits = np.empty((len(both), 2))
+            for at in packed_batches(both.str.len().fillna(0).to_numpy(), budget):
+                logits[at] = scorer(both.iloc[at].reset_index(drop=True)).iloc[:, :2].to_numpy(dtype=float)
+            n = batch.num_rows
+            found = [pa.array(logits[i * n:(i + 1) * n, j]) for i in range(len(texts)) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), *found], [*keys, *named])
+
+    schema = rows.select(*keys).schema
+    for column in named:
+        schema = schema.add(column, "double")
+    return rows.mapInArrow(score, schema)
+
+
 def score_candidates(candidates: DataFrame, make_scorer: Callable[[], Scorer], budget: int = BUDGET) -> DataFrame:
     """The four logits of each candidate, in its own row: both its texts are made and scored where it is, without a shuffle.
 
-    The texts of a batch of rows are sorted by length and go to the scorer in batches of like lengths that hold ``budget``
+    The texts of some rows are sorted by length and go to the scorer in batches of like lengths that hold ``budget``
     characters at most when padded to their longest, so that little is padded and memory is bounded. Keys may be of any type.
     """
-    name = uuid.uuid4().hex
     query, passage = F.coalesce(F.col("query"), F.lit("")), F.coalesce(F.col("passage"), F.lit(""))
     texts = candidates.select(
         *PAIR_KEYS, _scorer_text(query, passage).alias("query_text"),
         _scorer_text(combine_query(query, F.col("instruction")), passage).alias("instruction_text"))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = scorer_of_process(name, make_scorer)
-        for batch in batches:
-            both = pd.concat([batch["query_text"], batch["instruction_text"]], ignore_index=True)
-            logits = np.empty((len(both), 2))
-            for at in packed_batches(both.str.len().to_numpy(), budget):
-                logits[at] = scorer(both.iloc[at].reset_index(drop=True)).iloc[:, :2].to_numpy(dtype=float)
-            out, n = batch[PAIR_KEYS].copy(), len(batch)
-            out["q_true"], out["q_false"] = logits[:n, 0], logits[:n, 1]
-            out["i_true"], out["i_false"] = logits[n:, 0], logits[n:, 1]
-            yield out
-
-    schema = texts.select(*PAIR_KEYS).schema
-    for column in ("q_true", "q_false", "i_true", "i_false"):
-        schema = schema.add(column, "double")
-    return texts.mapInPandas(score, schema)
+    return _scored(texts, {"query_text": ("q_true", "q_false"), "instruction_text": ("i_true", "i_false")}, make_scorer, budget)
 
 
 def verdicts(logits: DataFrame) -> DataFrame:

@@ -229,3 +229,25 @@ def test_stream_query_writes_and_reads_its_files_by_many_tasks(spark, tmp_path,
     assert got == [i for i in range(90) if i % 50 != 49]
     assert len(list((tmp_path / "stream-once" / "qa").glob("*.parquet"))) > 4
     assert batches.manifest(spark, str(tmp_path / "stream-once" / "requests")).count() == 2  # a batch for each copy
+
+
+def test_few_texts_are_objects_at_once(spark):
+    """A scorer gets batches within the budget from both entrances, and texts become Python objects by slices of rows."""
+    seen = spark.sparkContext.accumulator(0)
+    budget = 1000
+
+    def make():
+        def score(texts):
+            if len(texts) > 1 and texts.str.len().max() * len(texts) > budget:
+                seen.add(1)
+            return pd.DataFrame({"t": texts.str.len() * 1.0, "f": texts.str.len() * 0.0})
+
+        return score
+
+    pairs = spark.range(3000).selectExpr("cast(id as string) as id", "0 as choice_index", "1 as pos", "'query' as kind", "repeat('x', cast(id % 50 as int)) as text")
+    got = {r.id: r.true_logit for r in relevance.score_pairs(pairs, make, budget).collect()}
+    assert got == {str(i): float(i % 50) for i in range(3000)} and seen.value == 0
+    whole = pa.record_batch({"id": pa.array(range(5000)), "text": pa.array(["y" * 100] * 5000)})
+    parts = list(relevance._slices(iter([whole]), 50_000))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([whole]))
+    assert max(p.num_rows for p in parts) < 600
