@@ -26,13 +26,12 @@ order in which the block had sent them. A block adds them up by text.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -55,6 +54,7 @@ HELD = 2_000_000
 END = b"\n"
 
 _HALF = np.log(0.5)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -254,27 +254,43 @@ def gram_counts(texts: list[bytes], train: list[bool]) -> tuple[np.ndarray, np.n
     return add_up(np.concatenate(keys), np.concatenate(counts))
 
 
-def word_bags(texts: list[bytes], train: list[bool], buckets: int, counted: bool = True) -> list[dict[bytes, int]]:
-    """The distinct tokens of coded texts by bucket, in an order that the texts decide; with ``counted`` how often training holds them."""
-    tokens = lambda own: chain.from_iterable(t.split(b" ") for t, y in zip(texts, train, strict=True) if y == own)
-    bag = dict.fromkeys(tokens(False), 0)
-    for word, n in (Counter(tokens(True)) if counted else dict.fromkeys(tokens(True), 0)).items():
-        bag[word] = n
-    bags: list[dict[bytes, int]] = [{} for _ in range(buckets)]
-    for word, n in bag.items():
-        bags[xxh32_intdigest(word) % buckets][word] = n
-    return bags
+def tokens_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct tokens of coded texts as first met, the number of each token in turn, and how many each text has."""
+    cut = pc.split_pattern(pa.array(texts, pa.binary()), b" ")
+    met = cut.flatten().dictionary_encode()
+    return met.dictionary.to_pylist(), met.indices.to_numpy(), cut.value_lengths().to_numpy().astype(np.int64)
+
+
+def dealt_words(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of words by bucket, and where each bucket's start."""
+    where = np.fromiter(map(xxh32_intdigest, words), np.int64, len(words)) % buckets
+    order = np.argsort(where, kind="stable")
+    return order, np.searchsorted(where[order], np.arange(buckets + 1))
+
+
+def distinct_grams(texts: list[bytes]) -> np.ndarray:
+    """The distinct grams of coded texts, sorted."""
+    return _distinct(np.concatenate([np.zeros(0, np.uint64), *(_distinct(grams_of(part))[0] for part in _parts(texts))]))[0]
 
 
 def code_sums(texts: list[bytes], known: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """The sum of the codes of each coded text's grams; ``known`` are all their grams, sorted."""
     sums = [np.zeros(0)]
+    # An odd factor is one to one and spreads grams over the upper bits.
+    known = known * _SPREAD
+    order = np.argsort(known)
+    known, codes = known[order], codes[order]
     for part in _parts(texts):
-        grams = grams_of(part)
-        order = np.argsort(grams)
+        grams = grams_of(part) * _SPREAD
+        # Upper bits of the gram over its place are sorted, as numbers sort far quicker than places do by numbers. Grams that agree
+        # in the upper bits may mix: some are then looked up more than once.
+        low = np.uint64((1 << len(grams).bit_length()) - 1)
+        places = (np.sort(grams & ~low | np.arange(len(grams), dtype=np.uint64)) & low).astype(np.int64)
+        grams = grams[places]
+        first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
         ranked = np.empty(len(grams))
-        # Sorted grams are found one behind the other, which is far quicker than here and there.
-        ranked[order] = codes[np.searchsorted(known, grams[order])]
+        # Nearly sorted grams are found one behind the other, which is far quicker than here and there.
+        ranked[places] = np.repeat(codes[np.searchsorted(known, grams[first])], np.diff(first, append=len(grams)))
         sums.append(np.add.reduceat(ranked, np.cumsum([0, *(len(t) for t in part[:-1])])))
     return np.concatenate(sums)
 
@@ -326,9 +342,11 @@ def _sent(rows: DataFrame, buckets: int, most: int) -> DataFrame:
             order, cuts = _dealt(found, buckets)
             found, n, spans = found[order], n[order].astype("<i8"), list(zip(cuts, cuts[1:], strict=False))
             grams, counts = [packed_keys(found[a:b]) for a, b in spans], [packed(n[a:b]) for a, b in spans]
-            bags = word_bags(texts, train, buckets)
-            words = [b" ".join(bag) for bag in bags]
-            word_counts = [packed(np.fromiter(bag.values(), "<i8", len(bag))) for bag in bags]
+            distinct, numbers, lengths = tokens_of(texts)
+            n = np.bincount(numbers[np.repeat(train, lengths)], minlength=len(distinct)).astype("<i8")
+            order, cuts = dealt_words(distinct, buckets)
+            distinct, n, spans = [distinct[i] for i in order.tolist()], n[order], list(zip(cuts.tolist(), cuts[1:].tolist(), strict=False))
+            words, word_counts = [b" ".join(distinct[a:b]) for a, b in spans], [packed(n[a:b]) for a, b in spans]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(buckets), pa.int32()), pa.array([name] * buckets), *(pa.array(x, pa.binary()) for x in (grams, counts, words, word_counts))],
                 ["bucket", "block", "grams", "gram_counts", "words", "word_counts"])
@@ -453,30 +471,28 @@ def score_documents(
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts, answers = texts.sort_by("nr"), answers.sort_by("bucket")
-        own, train = _texts_of(texts)
-        known, _ = gram_counts(own, train)
+        own, _ = _texts_of(texts)
+        known = distinct_grams(own)
         order, cuts = _dealt(known, buckets)
-        bags = word_bags(own, train, buckets, counted=False)
+        distinct, numbers, lengths = tokens_of(own)
+        places, ends = dealt_words(distinct, buckets)
         codes = [unpacked(x, "<f4") for x in answers.column("codes").to_pylist()]
         counts = [unpacked(x, "<i8") for x in answers.column("counts").to_pylist()]
-        if [len(c) for c in codes] != np.diff(cuts).tolist() or [len(c) for c in counts] != [len(b) for b in bags]:
+        if [len(c) for c in codes] != np.diff(cuts).tolist() or [len(c) for c in counts] != np.diff(ends).tolist():
             raise RuntimeError("the table did not give the same rows twice")
-        words, n = [w for bag in bags for w in bag], np.concatenate(counts)
-        found = dict(zip(words, n.tolist(), strict=True))
-        logs = dict(zip(words, np.log10((n + 0.5) / spread).tolist(), strict=True))
+        n = np.empty(len(distinct), np.int64)
+        n[places] = np.concatenate(counts)
+        logs = np.log10((n + 0.5) / spread)
         code = np.empty(len(known), np.float32)
         code[order] = np.concatenate(codes)
         code = code_sums(own, known, code)
-        tokens, seen, base = [], [], []
-        for text in own:
-            words = text.split(b" ")
-            tokens.append(len(words))
-            seen.append(len(words) - list(map(found.__getitem__, words)).count(0))
-            base.append(float(sum(map(logs.__getitem__, words))))
+        starts = np.cumsum(lengths) - lengths
+        seen = np.add.reduceat(n[numbers] > 0, starts, dtype=np.int64)
+        base = [float(sum(logs[numbers[a:a + m]].tolist())) for a, m in zip(starts.tolist(), lengths.tolist(), strict=True)]
         sizes = np.array([len(t) for t in own], dtype=np.int64)
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(tokens, pa.int64()),
-            "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array([total] * len(tokens), pa.int64()),
+            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(lengths, pa.int64()),
+            "n_known": pa.array(seen, pa.int64()), "train_tokens": pa.array([total] * len(own), pa.int64()),
             "base_score": pa.array(base, pa.float64()), "score": pa.array(code / np.log(10)), "bytes": pa.array(sizes),
             "bits_per_byte": pa.array(-code / np.log(2) / sizes)})
 

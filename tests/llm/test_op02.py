@@ -167,3 +167,18 @@ def test_repeats_and_empty(spark):
     out = op.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_tokens) for r in out) == [(1, 4), (1, 4), (2, 2)]
     assert op.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_codes_and_tokens_of_places():
+    """Sums of codes gram by gram, and tokens one by one; equal places of the upper bits may mix."""
+    rng = np.random.default_rng(7)
+    texts = [op.coded([bytes(rng.integers(97, 100, rng.integers(1, 6)).astype(np.uint8)) for _ in range(rng.integers(0, 40))]) for _ in range(300)]
+    known = op.distinct_grams(texts)
+    assert known.tolist() == op.gram_counts(texts, [True] * len(texts))[0].tolist()
+    codes = rng.random(len(known)).astype(np.float32)
+    of = dict(zip(known.tolist(), codes.tolist(), strict=True))
+    want = [sum(of[g] for g in op.grams_of([t]).tolist()) for t in texts]
+    assert np.allclose(op.code_sums(texts, known, codes), want, rtol=1e-12)
+    words, numbers, lengths = op.tokens_of(texts)
+    assert len(set(words)) == len(words) and lengths.tolist() == [len(t.split(b" ")) for t in texts]
+    assert [words[i] for i in numbers.tolist()] == [w for t in texts for w in t.split(b" ")]
